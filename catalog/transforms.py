@@ -8,6 +8,7 @@ from catalog.base import orders_daily, query, r, supplier_daily, supplier_regist
 from tidemark.operators import calendar as C
 from tidemark.operators import transforms as X
 from tidemark.plans.features import apply_transforms
+from tidemark.session import materialize
 
 
 def z_sql(name: str, frame: str, need: int) -> str:
@@ -236,5 +237,6 @@ SELECT series_id, transform, date, round(value, 5) AS value FROM (
     ),
 )
 def features_mon(spark, d):
-    out = apply_transforms(supplier_daily(spark, d), supplier_registry(spark, d), "mon")
+    panel = materialize(supplier_daily(spark, d), "panel")
+    out = apply_transforms(panel, supplier_registry(spark, d), "mon")
     return out.select("series_id", "transform", "date", r("value", 5))

@@ -7,7 +7,9 @@ frequency first (``calendar.to_native``) unless the rows are the intended unit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import EXPECTED_GAP_DAYS, PERIODS_PER_YEAR
@@ -16,16 +18,24 @@ from tidemark.operators.windows import by_date, expanding_moments, rolling_momen
 
 
 
-def rolling_zscore(panel: DataFrame, window: int = 252, min_periods: int | None = None, lag: int = 0) -> DataFrame:
+def rolling_zscore(
+    panel: DataFrame,
+    window: int | str = 252,
+    min_periods: int | None = None,
+    lag: int = 0,
+    by: str | Sequence[str] = "series_id",
+) -> DataFrame:
     """Distance of the current value from the mean of a trailing window, in its sample deviations.
 
     ``lag`` moves the window back, never the current value.  ``min_periods``
-    counts non-missing values in the window (default: half of it).
+    counts non-missing values in the window (default: half of it).  ``window``
+    may name a column with one width per ``by`` group.
     """
-    need = window // 2 if min_periods is None else min_periods
+    width = F.lit(window) if isinstance(window, int) else F.col(window)
+    need = F.floor(width / 2) if min_periods is None else F.lit(min_periods)
     keep = [F.col(c) for c in panel.columns]
     z = F.try_divide(F.col("value") - F.col("roll_mean"), F.col("roll_std"))
-    return rolling_moments(panel, window, lag).select(*keep, F.when(F.col("roll_n") >= need, z).alias("z"))
+    return rolling_moments(panel, window, lag, by=by).select(*keep, F.when(F.col("roll_n") >= need, z).alias("z"))
 
 
 def expanding_zscore(panel: DataFrame, min_periods: int = 60, lag: int = 0) -> DataFrame:
@@ -107,17 +117,16 @@ def frequency_check(panel: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
-def zscore_by_duration(native: DataFrame, years: float, lag: int = 0) -> DataFrame:
-    """Rolling z over a duration for a native panel with a ``frequency`` column.
+def window_rows(frequency: Column, years) -> Column:
+    """Rows of a window given as a duration, per row; half rows round to the even number."""
+    per_year = F.create_map(*[F.lit(x) for pair in PERIODS_PER_YEAR.items() for x in pair])
+    return F.bround(per_year[frequency] * years, 0).cast("int")
 
-    The window is a constant per frequency, so there is one branch for each of
-    the four frequencies, not one per series.
-    """
-    out = None
-    for freq in PERIODS_PER_YEAR:
-        part = rolling_zscore(native.where(F.col("frequency") == freq), resolve_window(freq, years), lag=lag)
-        out = part if out is None else out.unionByName(part)
-    return out
+
+def zscore_by_duration(native: DataFrame, years: float, lag: int = 0) -> DataFrame:
+    """Rolling z over a duration for a native panel with a ``frequency`` column, all frequencies in one pass."""
+    sized = native.withColumn("__rows", window_rows(F.col("frequency"), F.lit(years)))
+    return rolling_zscore(sized, "__rows", lag=lag).drop("__rows")
 
 
 def zscore_of_diff(panel: DataFrame, window: int = 260) -> DataFrame:

@@ -11,6 +11,8 @@ partitioning by series, so there is a single shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -55,16 +57,24 @@ def _running(value: str, over) -> Column:
 
 
 def rolling_moments(
-    df: DataFrame, window: int, lag: int = 0, value: str = "value", by: str = "series_id", order: str = "date"
+    df: DataFrame,
+    window: int | str,
+    lag: int = 0,
+    value: str = "value",
+    by: str | Sequence[str] = "series_id",
+    order: str = "date",
 ) -> DataFrame:
     """Adds ``roll_n``, ``roll_mean``, ``roll_std`` over the ``window`` rows ending ``lag`` rows back.
 
-    The standard deviation is the sample one; NULL for fewer than two values.
+    ``window`` is a number, or the name of a column holding one width per ``by``
+    group, so series with different windows share one pass.  The standard
+    deviation is the sample one; NULL for fewer than two values.
     """
-    if window < 1 or lag < 0:
+    if lag < 0 or (isinstance(window, int) and window < 1):
         raise ValueError(f"window must be >= 1 and lag >= 0, got {window} and {lag}")
-    rows = Window.partitionBy(by).orderBy(order)
-    if window <= SLIDING_MAX:
+    by = [by] if isinstance(by, str) else list(by)
+    rows = Window.partitionBy(*by).orderBy(order)
+    if isinstance(window, int) and window <= SLIDING_MAX:
         frame = rows.rowsBetween(-(window - 1) - lag, -lag)
         return df.withColumns(
             {
@@ -73,23 +83,30 @@ def rolling_moments(
                 "roll_std": F.stddev_samp(value).over(frame),
             }
         )
-    in_block = Window.partitionBy(by, "__block").orderBy("__pos")
-    head = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = Window.partitionBy(by, "__block").orderBy(F.desc("__pos")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    width = F.lit(window) if isinstance(window, int) else F.col(window)
+    block = Window.partitionBy(*by, "__block")
+    head = block.orderBy("__pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = block.orderBy(F.desc("__pos")).rowsBetween(Window.unboundedPreceding, -1)
+    blocked = (
+        df.withColumn("__pos", F.row_number().over(rows) - 1)
+        .withColumn("__block", F.floor(F.col("__pos") / width).cast("int"))
+        .withColumn("__after", _running(value, after))
     )
-    blocked = df.withColumn("__pos", F.row_number().over(rows) - 1).withColumn(
-        "__block", F.floor(F.col("__pos") / window)
+    # The window of a row is its block up to the row, plus the rows of the block
+    # before that come after the same position; the last position needs none.
+    if isinstance(window, int):
+        # Ordered like the head frames, so that both passes share one sort.
+        before = F.lag("__after", window).over(Window.partitionBy(*by).orderBy("__block", "__pos"))
+    else:
+        blocked = blocked.withColumn("__offset", F.col("__pos") % width)
+        before = F.lag("__after", 1).over(Window.partitionBy(*by, "__offset").orderBy("__block"))
+    out = (
+        blocked.withColumn("__before", before)
+        .withColumn("__head", _running(value, head))
+        .withColumn("__stat", _merge(F.col("__before"), F.col("__head")))
     )
-    summed = blocked.withColumn("__tail", _running(value, tail)).withColumn("__head", _running(value, head))
-    # Ordered like the head frames, so that both passes share one sort.
-    by_pos = Window.partitionBy(by).orderBy("__block", "__pos")
-    # A window ending at the last row of a block is that block and has no tail part.
-    before = F.when(F.col("__pos") % window != window - 1, F.lag("__tail", window - 1).over(by_pos))
-    # Before the first full window the head of block 0 holds all rows there are.
-    out = summed.withColumn("__before", before).withColumn("__stat", _merge(F.col("__before"), F.col("__head")))
     if lag:
-        out = out.withColumn("__stat", F.lag("__stat", lag).over(by_pos))
+        out = out.withColumn("__stat", F.lag("__stat", lag).over(Window.partitionBy(*by).orderBy("__block", "__pos")))
     stat = F.col("__stat")
     # A constant window has exactly zero spread, whatever rounding did to its mean.
     flat = stat["lo"] == stat["hi"]
@@ -99,7 +116,7 @@ def rolling_moments(
             "roll_mean": F.when(flat, stat["lo"]).when(stat["n"] > 0, stat["mean"]),
             "roll_std": F.when(stat["n"] > 1, F.when(flat, F.lit(0.0)).otherwise(F.sqrt(stat["m2"] / (stat["n"] - 1)))),
         }
-    ).drop("__pos", "__block", "__tail", "__head", "__before", "__stat")
+    ).drop("__pos", "__block", "__offset", "__after", "__head", "__before", "__stat")
 
 
 def expanding_moments(

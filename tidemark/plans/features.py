@@ -1,14 +1,12 @@
 """Registry-driven transforms over all series at once.
 
-The plan has one branch per kind of transform, never one per series: a pass over
-the panel's own rows, a pass over native-frequency rows, and one rolling branch
-for each (frequency, window length) the registry really uses.
+The plan does not grow with the registry: one pass over the panel's own rows,
+and one pass over native-frequency rows in which every series brings its own
+frequency and window lengths along as columns.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from tidemark.functions.names import SUFFIX
 from tidemark.functions.numeric import pct_change
 from tidemark.operators.asof import spread_on_days, validity
 from tidemark.operators.calendar import to_native
-from tidemark.operators.transforms import resolve_window, rolling_zscore
+from tidemark.operators.transforms import rolling_zscore, window_rows
 from tidemark.operators.windows import by_date, expanding_moments
 
 MODES = {"mon": "mon_transforms", "fm": "fm_transforms"}
@@ -53,43 +51,45 @@ def _collect_long(df: DataFrame, named: dict[str, tuple[Column, Column]], *keep:
     return df.select("series_id", "date", *keep, F.inline(F.array_compact(items)))
 
 
-def _native_rows(panel: DataFrame, spec: DataFrame, end: Column) -> DataFrame:
-    """Native-frequency rows of the series that need them, with their days of validity."""
-    wanted = spec.where(_wants(*NATIVE, *ROLLING_YEARS))
-    return validity(to_native(panel, wanted, keep=["transforms"]), "date", end=end)
-
+def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column) -> DataFrame:
+    """Transforms of native-frequency rows, labelled with the days they are the latest for.
 
-def _native_transforms(native: DataFrame, lag: int) -> DataFrame:
-    rows = expanding_moments(native.where(_wants(*NATIVE)), lag)
+    Running statistics and offsets come first; then each row is handed to one
+    task per rolling window its series asks for (and one for the rest), and the
+    rolling pass runs per (series, task) on the partitioning already there.
+    """
+    wanted = spec.where(_wants(*NATIVE, *ROLLING_YEARS))
+    native = validity(to_native(panel, wanted, keep=["transforms"]), "date", end=end)
     value, freq = F.col("value"), F.col("frequency")
     base, need = F.lit(None).cast("double"), F.lit(None).cast("int")
     for f, n in PERIODS_PER_YEAR.items():
         base = F.when(freq == f, F.lag("value", n).over(by_date())).otherwise(base)
         need = F.when(freq == f, F.lit(n)).otherwise(need)
+    previous = F.lag("value", 1).over(by_date())
     z = F.when(F.col("exp_n") >= need, F.try_divide(value - F.col("exp_mean"), F.col("exp_std")))
-    rows = rows.withColumns({"__diff": value - F.lag("value", 1).over(by_date()), "__base": base, "__z": z})
-    return _collect_long(
-        rows,
-        {
-            "diff": (_has("diff"), F.col("__diff")),
-            "yoy": (_has("yoy"), pct_change(value, F.col("__base"))),
-            "zscore_expanding": (_has("zscore_expanding"), F.col("__z")),
-        },
-        "valid_to",
+    rows = (
+        expanding_moments(native, lag)
+        .withColumns({"__diff": value - previous, "__yoy": pct_change(value, base), "__exp_z": z})
+        .drop("exp_n", "exp_mean", "exp_std")
     )
-
-
-def _rolling_transforms(native: DataFrame, spec: DataFrame, lag: int) -> list[DataFrame]:
-    # At most 3 x 4 pairs: which of them exist is a tiny aggregation of the registry.
-    used = spec.select("frequency", F.explode("transforms").alias("t")).where(F.col("t").isin(list(ROLLING_YEARS)))
-    out = []
-    for freq, name in sorted((r.frequency, r.t) for r in used.distinct().collect()):
-        rows = native.where(_has(name) & (F.col("frequency") == freq))
-        z = rolling_zscore(rows, resolve_window(freq, ROLLING_YEARS[name]), lag=lag)
-        out.append(
-            z.select("series_id", "date", "valid_to", F.lit(SUFFIX[name]).alias("transform"), F.col("z").alias("value"))
+    tasks = F.array_compact(
+        F.array(
+            F.when(_wants(*NATIVE), F.lit(0)),
+            *[F.when(_has(name), F.lit(years)) for name, years in ROLLING_YEARS.items()],
         )
-    return out
+    )
+    tasked = rows.withColumn("task", F.explode(tasks)).withColumn(
+        "__rows", F.when(F.col("task") > 0, window_rows(freq, F.col("task"))).otherwise(1)
+    )
+    done = rolling_zscore(tasked, "__rows", lag=lag, by=["series_id", "task"])
+    plain = F.col("task") == 0
+    named = {
+        "diff": (plain & _has("diff"), F.col("__diff")),
+        "yoy": (plain & _has("yoy"), F.col("__yoy")),
+        "zscore_expanding": (plain & _has("zscore_expanding"), F.col("__exp_z")),
+    }
+    named |= {name: (F.col("task") == years, F.col("z")) for name, years in ROLLING_YEARS.items()}
+    return _collect_long(done, named, "valid_to")
 
 
 def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Column) -> DataFrame:
@@ -121,15 +121,15 @@ def apply_transforms(panel: DataFrame, registry: DataFrame, mode: str, lag: int
     ``mode`` picks the list: ``mon`` (monitoring) or ``fm`` (features).  ``lag``
     moves the windows of z-scores back and nothing else.  Every registered series
     also yields its level.  Values computed at native frequency are held over the
-    panel's dates from the end of their period on, so none shows early.
+    panel's dates from the end of their period on, so none shows early.  The
+    panel is read several times: pass a stored one, not a long computation.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}, got {mode!r}")
     spec = registry.select("series_id", "frequency", _checked(MODES[mode]).alias("transforms"))
     grid = panel.select("date").distinct()
     end = panel.agg(F.max("date")).scalar()
-    native = _native_rows(panel, spec, end)
-    labelled = reduce(DataFrame.unionByName, [_native_transforms(native, lag), *_rolling_transforms(native, spec, lag)])
+    labelled = _native_transforms(panel, spec, lag, end)
     held = (
         spread_on_days(labelled, "date", "day")
         .join(grid.select(F.col("date").alias("day")), "day", "left_semi")

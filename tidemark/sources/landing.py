@@ -54,22 +54,17 @@ def day(text: Column) -> Column:
     return F.substring(F.trim(text), 1, 10).try_cast("date")
 
 
-def read_observation_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per line, split from unreadable lines by ``_corrupt``."""
-    return (
-        spark.read.schema(OBSERVATION_PAGE)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(path)
-    )
-
-
 def parse_observation_pages(raw: DataFrame, payload: str) -> DataFrame:
-    """As ``read_observation_pages`` for documents held in a text column."""
+    """Documents held in a text column, split from unreadable ones by ``_corrupt``."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     return raw.select(F.from_json(payload, OBSERVATION_PAGE, options).alias("page")).select("page.*")
 
 
+def read_observation_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed files with one JSON document per line."""
+    return parse_observation_pages(spark.read.text(path), "value")
+
+
 def quarantined_pages(pages: DataFrame) -> DataFrame:
     """Documents that could not be read, with their text."""
     return pages.where(F.col("_corrupt").isNotNull()).select(F.col("_corrupt").alias("payload"))
