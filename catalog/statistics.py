@@ -1 +1,81 @@
+"""Lag, revision and stationarity statistics."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.base import ordered_vintages, query, r, supplier_daily, supplier_registry, with_ctes
+from tidemark.operators import stats as T
+
+ENDS_SQL = """, ends AS (SELECT series_id, date, min(realtime_start) AS eff, arg_min(CAST({v} AS STRUCT(v DOUBLE)), realtime_start).v AS fv,
+  arg_max(CAST({v} AS STRUCT(v DOUBLE)), realtime_start).v AS lv FROM ovint GROUP BY 1, 2)
+""".format(v="{'v': value}")
+
+
+@query(
+    "revision_rate",
+    with_ctes(
+        "ovint",
+        body=ENDS_SQL
+        + """SELECT series_id, count(CASE WHEN fv IS NOT NULL AND lv IS NOT NULL THEN 1 END) AS n_both,
+  avg(CASE WHEN round(fv, 4) <> round(lv, 4) THEN 1.0 WHEN fv IS NOT NULL AND lv IS NOT NULL THEN 0.0 END) AS revised_share
+FROM ends GROUP BY 1""",
+    ),
+)
+def revision_rate(spark, d):
+    return T.revision_rate(ordered_vintages(spark, d))
+
+
+@query(
+    "lag_sweep",
+    with_ctes(
+        "ovint",
+        "reg",
+        body=ENDS_SQL
+        + """, m AS (SELECT series_id, count(*) AS n, CAST(trunc(median(eff - date)) AS INTEGER) AS median_lag,
+  CAST(trunc(round(quantile_cont(eff - date, 0.9), 6)) AS INTEGER) AS p90_lag,
+  round(avg(CASE WHEN round(fv, 4) <> round(lv, 4) THEN 1.0 WHEN fv IS NOT NULL AND lv IS NOT NULL THEN 0.0 END) * 100, 1) AS revised_pct
+  FROM ends WHERE date >= DATE '1998-06-01' GROUP BY 1)
+SELECT reg.series_id, frequency AS freq, CASE WHEN reg.series_id NOT IN (SELECT series_id FROM ovint) THEN 'NO-VINTAGE'
+  WHEN m.n IS NULL THEN 'NO-RECENT-PERIOD' ELSE 'OK' END AS status, coalesce(n, 0) AS n, median_lag, p90_lag,
+  lag AS config_lag, median_lag - coalesce(lag, 1) AS gap_vs_config, revised_pct, is_vintage
+FROM reg LEFT JOIN m USING (series_id)""",
+    ),
+)
+def lag_sweep(spark, d):
+    return T.lag_sweep(ordered_vintages(spark, d), supplier_registry(spark, d), since="1998-06-01")
+
+
+@query(
+    "df_tstat",
+    with_ctes(
+        "s3v",
+        body=""", p AS (SELECT series_id, value - x AS dy, x FROM (
+  SELECT series_id, value, lag(value) OVER (PARTITION BY series_id ORDER BY date) AS x FROM s3v)),
+g AS (SELECT series_id, CAST(regr_count(dy, x) AS BIGINT) AS n, regr_slope(dy, x) AS b, regr_sxx(dy, x) AS sxx,
+  regr_sxy(dy, x) AS sxy, regr_syy(dy, x) AS syy FROM p GROUP BY 1)
+SELECT series_id, n, round(b, 8) AS slope, round(b / sqrt((syy - b * sxy) / (n - 2) / sxx), 6) AS t_stat FROM g""",
+    ),
+)
+def df_tstat(spark, d):
+    return T.df_tstat(supplier_daily(spark, d)).select("series_id", "n", r("slope", 8), r("t_stat"))
+
+
+@query("adf_screen")
+def adf_screen(spark, d):
+    """No SQL check: the lag order is searched.  Tested against a direct computation."""
+    out = T.recommend_window(T.adf_screen(supplier_daily(spark, d)))
+    return out.withColumns({"adf_stat": F.round("adf_stat", 6), "p_value": F.round("p_value", 6)})
+
+
+@query(
+    "monthly_change",
+    with_ctes(
+        "s3v",
+        body="""SELECT series_id, date, value, round(value - b, 4) AS diff, round((value / nullif(b, 0) - 1) * 100, 6) AS pct FROM (
+  SELECT *, lag(value) OVER (PARTITION BY series_id ORDER BY date) AS b FROM (
+    SELECT series_id, last_day(date) AS date, arg_max(value, s3v.date) AS value FROM s3v GROUP BY 1, 2))""",
+    ),
+)
+def monthly_change(spark, d):
+    return T.monthly_change(supplier_daily(spark, d)).select("series_id", "date", "value", r("diff", 4), r("pct"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import pct_change, ratio
 from tidemark.operators.calendar import ffill_on_grid, resample_last
 from tidemark.operators.transforms import rolling_zscore
-from tidemark.operators.windows import so_far
+from tidemark.operators.windows import by_date, so_far
 
 
 
@@ -149,6 +149,33 @@ def ratio_excess_growth(panel: DataFrame, legs: DataFrame, window: int = 60) ->
     )
 
 
+def net_of_two_hybrid_change(panel: DataFrame, legs: DataFrame, cutover: str, periods: int = 252) -> DataFrame:
+    """Row-counted change in percent of ``net_of_two`` on a grid that is dense before ``cutover``.
+
+    Before the cut-over every business day is a row and a blank c counts as
+    zero; from it on only days c is observed are rows.  a and b count where they
+    fall on the grid and are carried forward from there.
+    """
+    cut = F.to_date(F.lit(cutover))
+    t = align_legs(panel, legs, ["a", "b", "c"])
+    dense = (
+        t.groupBy("composite_id")
+        .agg(F.min("date").alias("lo"))
+        .where(F.col("lo") < cut)
+        .select("composite_id", F.explode(F.sequence("lo", F.date_sub(cut, 1))).alias("date"))
+        .where(F.weekday("date") < 5)
+    )
+    early = dense.join(t.where(F.col("date") < cut), ["composite_id", "date"], "left").select(
+        "composite_id", "date", "a", "b", F.coalesce("c", F.lit(0.0)).alias("c")
+    )
+    grid = early.unionByName(t.where((F.col("date") >= cut) & F.col("c").isNotNull()))
+    so_far_ = so_far("composite_id")
+    a, b = (F.last(x, ignorenulls=True).over(so_far_) for x in ("a", "b"))
+    net = grid.select("composite_id", "date", (a / 1000.0 - b / 1000.0 - F.col("c")).alias("net"))
+    base = F.lag("net", periods).over(by_date("composite_id"))
+    return _out(net.withColumn("__change", pct_change(F.col("net"), base)), F.col("__change"))
+
+
 def notional(panel: DataFrame, face_values: DataFrame) -> DataFrame:
     """Contracts times face value, in billions; series without a face value are left out."""
     return panel.join(face_values.select("series_id", "face_value"), "series_id").select(

@@ -65,9 +65,13 @@ def coverage_violations(panel: DataFrame, floors: DataFrame) -> DataFrame:
     return stats.join(floors, "series_id").where(bad).select("series_id", "first_valid", "first_by", "n", "min_n")
 
 
-def dropped_counts(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Non-missing counts per series before and after a join, inside the date range of ``after``."""
-    lo, hi = (after.agg(f("date")).scalar() for f in (F.min, F.max))
+def dropped_counts(before: DataFrame, after: DataFrame, within: DataFrame | None = None) -> DataFrame:
+    """Non-missing counts per series before and after a join, inside the date range of ``within``.
+
+    Without ``within`` the range is that of ``after``.  Values outside it are out
+    of scope, not lost.
+    """
+    lo, hi = ((within or after).agg(f("date")).scalar() for f in (F.min, F.max))
     inside = before.where(F.col("date").between(lo, hi))
 
     def count(df: DataFrame, name: str) -> DataFrame:
