@@ -179,11 +179,7 @@ PAGE_FLOOR = {"leverage": "1997-01-01", "basis_trade": "1998-01-01"}
 
 
 def macro_daily(spark, d):
-    """All lines dealt out to the registry's indicators by supplier; canonical from 1996 on, deep before.
-
-    The value is the mean line value in thousands, so that every indicator has a
-    plausible size whatever the scale of the data.
-    """
+    """All lines dealt out to the registry's indicators by supplier; the value is the line value in thousands."""
     key = (F.col("l_suppkey") % len(MACRO_IDS) + 1).cast("int")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
 
@@ -194,8 +190,7 @@ def macro_daily(spark, d):
                 F.element_at(F.array(*[F.lit(i) for i in MACRO_IDS]), key).alias("series_id"),
                 F.col("l_shipdate").cast("date").alias("date"),
             )
-            .agg(F.sum(price).alias("s"), F.count("*").alias("n"))
-            .select("series_id", "date", (F.col("s").cast("double") / F.col("n") / 1000.0).alias("value"))
+            .agg((F.sum(price).cast("double") / 1000.0).alias("value"))
         )
 
     return stored(spark, d, "macro", build)
@@ -225,7 +220,7 @@ def _in(ids) -> str:
 
 
 CTES["mac"] = f"""SELECT {MACRO_IDS!r}[CAST(l_suppkey % {len(MACRO_IDS)} + 1 AS INTEGER)] AS series_id, CAST(l_shipdate AS DATE) AS date,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) / 1000 AS value FROM lineitem GROUP BY 1, 2"""
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / 1000 AS value FROM lineitem GROUP BY 1, 2"""
 CTE_NEEDS["mac"] = []
 FILL = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
@@ -292,7 +287,7 @@ def _page_sql(name: str) -> str:
     if floor is not None:
         start = f"greatest({start}, DATE '{floor}')"
     return DERIVED_SQL + (
-        f"SELECT series_id, date, round(value, 5) AS value FROM derived WHERE series_id IN {_in(series)} "
+        f"SELECT series_id, date, round(value, 6) AS value FROM derived WHERE series_id IN {_in(series)} "
         f"AND value IS NOT NULL AND date >= {start}"
     )
 
@@ -300,7 +295,7 @@ def _page_sql(name: str) -> str:
 def _page(name: str):
     def run(spark, d):
         shown = B.page(derived(spark, d), name, PAGE_FLOOR.get(name))
-        return shown.select("series_id", "date", r("value", 5))
+        return shown.select("series_id", "date", r("value"))
 
     return run
 
