@@ -42,9 +42,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def money(column: str):
-    """Sums of money as decimals: the same to the last digit in any order of addition."""
-    return F.sum(F.col(column).cast("decimal(18,2)"))
+def money(column):
+    """Sum of money over whole cents: the same to the last digit in any order of addition."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.sum(F.rint(value * 100).cast("bigint")) / F.lit(100.0)
 
 
 def r(column: str, digits: int = 6):

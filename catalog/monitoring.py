@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import query, supplier_daily, table, with_ctes
 from tidemark.functions import numeric as N
 from tidemark.operators import monitor as M
+from tidemark.sources.literal import literal_table
 
 SPEC_SQL = """spec AS (SELECT 'N' || CAST(s_nationkey AS VARCHAR) AS card, s_name AS label, 'S' || CAST(s_suppkey AS VARCHAR) AS series_id,
   CASE WHEN s_suppkey % 4 = 0 THEN 'S' || CAST(s_suppkey + 1 AS VARCHAR) END AS as_of_series,
@@ -104,7 +105,7 @@ INTERVALS_SQL = ", iv AS (SELECT * FROM (VALUES " + ", ".join(
 
 
 def intervals_of(spark):
-    rows = spark.createDataFrame(INTERVALS, "priority int, name string, start string, end string")
+    rows = literal_table(spark, INTERVALS, "priority int, name string, start string, end string")
     return rows.select("priority", "name", F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
 
 

@@ -23,6 +23,7 @@ from tidemark.operators.monitor import scorecard
 from tidemark.operators.transforms import rolling_zscore
 from tidemark.plans.features import apply_transforms
 from tidemark.session import materialize
+from tidemark.sources.literal import literal_table
 
 # The flagship's registry: lag in calendar days per order priority.
 PRIORITY_LAG = [("1-URGENT", 0), ("2-HIGH", 1), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 5), ("5-LOW", 25)]
@@ -49,7 +50,7 @@ FROM z WHERE z IS NOT NULL GROUP BY series_id""",
 )
 def flagship(spark, d):
     """Order value per priority: publication lag, business grid, rolling z, latest value with its light."""
-    registry = spark.createDataFrame(PRIORITY_LAG, "series_id string, lag int")
+    registry = literal_table(spark, PRIORITY_LAG, "series_id string, lag int")
     z = rolling_zscore(P.pit_align(orders_daily(spark, d), registry), 252)
     panel = z.select("series_id", "date", F.col("z").alias("value"))
     spec = registry.select(

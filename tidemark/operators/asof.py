@@ -25,53 +25,70 @@ def asof_last(
     by: Sequence[str],
     carry: Sequence[str],
     ties: Sequence[str] = (),
-    distinct_requests: bool = False,
+    one_per_day: bool = False,
 ) -> DataFrame:
     """Left rows plus ``carry`` columns of the latest right row with ``right_on <= left_on``.
 
     A matched right row keeps its NULLs (they are carried as one struct); a left
     row without match gets NULLs.  Among right rows of the same day the last in
-    ``ties`` order wins.  Left rows are matched once per distinct (by, day) and
-    joined back on that pair, so a key holding most of the facts is spread over
-    its days; ``distinct_requests`` skips this for a left side unique per (by, day).
+    ``ties`` order wins.
+
+    ``one_per_day`` says the left side holds at most one row per (by, day): its
+    rows then pass through the window themselves.  Otherwise each distinct
+    (by, day) is matched once and joined back, so a key holding most of the facts
+    is spread over its days.
     """
     by = list(by)
-    asked = left.select(*by, F.col(left_on).alias("__ts"))
-    if not distinct_requests:
-        asked = asked.where(F.col("__ts").isNotNull()).distinct()
-    none = F.lit(None)
-    right_types = dict(right.dtypes)
-    tie_cols = [F.col(t).alias(f"__tie{i}") for i, t in enumerate(ties)]
+    extra = [c for c in left.columns if c not in (*by, left_on)] if one_per_day else []
+    asked = left if one_per_day else left.select(*by, left_on).where(F.col(left_on).isNotNull()).distinct()
+    right_types, left_types = dict(right.dtypes), dict(left.dtypes)
+    tie_names = [f"__tie{i}" for i in range(len(ties))]
+
+    def nulls(columns, types):
+        return F.struct(*[F.lit(None).cast(types[c]).alias(c) for c in columns])
+
     requests = asked.select(
         *by,
-        "__ts",
+        F.col(left_on).alias("__ts"),
         F.lit(1).alias("__side"),
-        *[none.cast(right_types[t]).alias(f"__tie{i}") for i, t in enumerate(ties)],
-        F.struct(*[none.cast(right_types[c]).alias(c) for c in carry]).alias("__row"),
+        *[F.lit(None).cast(right_types[t]).alias(n) for t, n in zip(ties, tie_names)],
+        nulls(carry, right_types).alias("__row"),
+        *[F.col(c).alias(f"__left_{c}") for c in extra],
     )
     history = right.where(F.col(right_on).isNotNull()).select(
         *by,
         F.col(right_on).alias("__ts"),
         F.lit(0).alias("__side"),
-        *tie_cols,
+        *[F.col(t).alias(n) for t, n in zip(ties, tie_names)],
         F.struct(*[F.col(c) for c in carry]).alias("__row"),
+        *[F.lit(None).cast(left_types[c]).alias(f"__left_{c}") for c in extra],
     )
     seen = (
         Window.partitionBy(*by)
-        .orderBy("__ts", "__side", *[f"__tie{i}" for i in range(len(ties))])
+        .orderBy("__ts", "__side", *tie_names)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     matched = (
         history.unionByName(requests)
         .withColumn("__hit", F.last(F.when(F.col("__side") == 0, F.col("__row")), ignorenulls=True).over(seen))
         .where(F.col("__side") == 1)
-        .select(*by, F.col("__ts").alias(left_on), *[F.col(f"__hit.{c}").alias(c) for c in carry])
+        .select(
+            *by,
+            F.col("__ts").alias(left_on),
+            *[F.col(f"__left_{c}").alias(c) for c in extra],
+            *[F.col(f"__hit.{c}").alias(c) for c in carry],
+        )
     )
-    if distinct_requests:
-        extra = [c for c in left.columns if c not in (*by, left_on)]
-        if not extra:
-            return matched
-    return left.join(matched, [*by, left_on], "left")
+    return matched if one_per_day else left.join(matched, [*by, left_on], "left")
+
+
+def calendar_side(df: DataFrame, date: str = "date", name: str = "date") -> DataFrame:
+    """Distinct days of ``df``, to be broadcast.
+
+    The bound is the calendar, not the data: a century is about 37,000 rows of
+    four bytes, all dates the type can hold under four million.
+    """
+    return F.broadcast(df.select(F.col(date).alias(name)).distinct())
 
 
 def validity(rows: DataFrame, start: str, ties: Sequence[str] = (), end: Column | None = None, key: str = "series_id") -> DataFrame:

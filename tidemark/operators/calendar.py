@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import native_label, period_end
-from tidemark.operators.asof import spread_on_days, validity
+from tidemark.operators.asof import calendar_side, spread_on_days, validity
 from tidemark.operators.windows import by_date
 
 
@@ -61,7 +61,7 @@ def ffill_on_grid(panel: DataFrame, grid: DataFrame) -> DataFrame:
     """
     end = grid.agg(F.max("date")).scalar()
     held = spread_on_days(validity(panel, "date", end=end), "date", "grid_date")
-    on_grid = held.join(grid.select(F.col("date").alias("grid_date")), "grid_date", "left_semi")
+    on_grid = held.join(calendar_side(grid, name="grid_date"), "grid_date", "left_semi")
     return on_grid.select("series_id", F.col("grid_date").alias("date"), F.col("date").alias("label"), "value")
 
 
@@ -109,7 +109,7 @@ def trading_days(panel: DataFrame, min_obs: int = 100, min_density: float = 0.5,
         .where(F.col("n") / (F.col("k_hi") - F.col("k_lo") + 1) > min_density)
         .select("series_id")
     )
-    open_days = valued.where(weekday).join(market, "series_id", "left_semi").select("date").distinct()
+    open_days = calendar_side(valued.where(weekday).join(market, "series_id", "left_semi"))
     any_market = F.coalesce(market.agg(F.count("*") > 0).scalar(), F.lit(False))
     marked = panel.where(weekday).join(open_days.withColumn("is_open", F.lit(True)), "date", "left")
     return marked.where(F.col("is_open").isNotNull() | ~any_market).select("series_id", "date", "value")
@@ -123,13 +123,15 @@ def hybrid_grid_change(panel: DataFrame, cutover: str, periods: int = 252) -> Da
     """
     cut = F.to_date(F.lit(cutover))
     valued = panel.where(F.col("value").isNotNull())
-    starts = valued.groupBy("series_id").agg(F.min("date").alias("lo")).where(F.col("lo") < cut)
-    dense = starts.select("series_id", F.explode(F.sequence("lo", F.date_sub(cut, 1))).alias("date")).where(
-        F.weekday("date") < 5
-    )
-    # An early weekend observation is off the dense grid and drops out with it.
-    early = dense.join(valued.where(F.col("date") < cut), ["series_id", "date"], "left").select(
-        "series_id", "date", F.coalesce("value", F.lit(0.0)).alias("value")
+    # Each early value emits the business days up to the next one; an early
+    # weekend observation is off the dense grid and drops out.
+    until = F.least(F.coalesce(F.date_sub(F.lead("date").over(by_date()), 1), cut), F.date_sub(cut, 1))
+    spans = valued.withColumn("until", until).where(F.col("date") < cut)
+    days = spans.withColumn("day", F.explode(F.sequence("date", "until"))).where(F.weekday("day") < 5)
+    early = days.select(
+        "series_id",
+        F.col("day").alias("date"),
+        F.when(F.col("day") == F.col("date"), F.col("value")).otherwise(0.0).alias("value"),
     )
     grid = early.unionByName(valued.where(F.col("date") >= cut))
     base = F.lag("value", periods).over(by_date())
@@ -156,17 +158,20 @@ def pending_tail(panel: DataFrame, index: DataFrame) -> DataFrame:
     Interior gaps stay NULL and unflagged.
     """
     valued = panel.where(F.col("value").isNotNull())
-    last = valued.groupBy("series_id").agg(F.max("date").alias("last_date"), F.max_by("value", "date").alias("last_value"))
     first_day, last_day = (index.agg(f("date")).scalar() for f in (F.min, F.max))
-    rows = (
-        last.withColumn("date", F.explode(F.sequence(first_day, last_day)))
-        .join(index.select("date"), "date", "left_semi")
-        .join(valued, ["series_id", "date"], "left")
-    )
-    held = F.col("date") > F.col("last_date")
-    return rows.select(
-        "series_id", "date", F.when(held, F.col("last_value")).otherwise(F.col("value")).alias("value"), held.alias("is_pending")
+    # Each value emits the days up to the next one, the first also those before it.
+    spans = valued.withColumns(
+        {
+            "since": F.when(F.lag("date").over(by_date()).isNull(), F.least(first_day, F.col("date"))).otherwise(F.col("date")),
+            "next": F.lead("date").over(by_date()),
+        }
+    ).withColumn("until", F.coalesce(F.date_sub("next", 1), F.greatest(last_day, F.col("date"))))
+    days = spans.withColumn("day", F.explode(F.sequence("since", "until"))).join(
+        calendar_side(index, name="day"), "day", "left_semi"
     )
+    held = F.col("next").isNull() & (F.col("day") > F.col("date"))
+    value = F.when(held | (F.col("day") == F.col("date")), F.col("value"))
+    return days.select("series_id", F.col("day").alias("date"), value.alias("value"), held.alias("is_pending"))
 
 
 def trailing_years(panel: DataFrame, years: int) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import pct_change, ratio
-from tidemark.operators.calendar import ffill_on_grid, resample_last
+from tidemark.operators.asof import asof_last
+from tidemark.operators.calendar import resample_last
 from tidemark.operators.transforms import rolling_zscore
-from tidemark.operators.windows import by_date, so_far
+from tidemark.operators.windows import by_date, months_back, so_far
 
 
 
@@ -68,11 +69,11 @@ def spread(panel: DataFrame, legs: DataFrame) -> DataFrame:
 def growth_differential(panel: DataFrame, legs: DataFrame) -> DataFrame:
     """Difference of calendar year-over-year changes, at month starts."""
     t = align_legs(resample_last(panel, "MS"), legs, ["m", "c"])
-    base = t.select(
-        "composite_id", F.add_months("date", 12).alias("date"), F.col("m").alias("m0"), F.col("c").alias("c0")
+    m0, c0 = (months_back(x, 12, "composite_id") for x in ("m", "c"))
+    return _out(
+        t.withColumns({"__m0": m0, "__c0": c0}),
+        pct_change(F.col("m"), F.col("__m0")) - pct_change(F.col("c"), F.col("__c0")),
     )
-    both = t.join(base, ["composite_id", "date"], "left")
-    return _out(both, pct_change(F.col("m"), F.col("m0")) - pct_change(F.col("c"), F.col("c0")))
 
 
 def ratio_scaled(panel: DataFrame, legs: DataFrame, scale: float = 0.001) -> DataFrame:
@@ -94,10 +95,6 @@ def _as_series(composite: DataFrame) -> DataFrame:
     return composite.withColumnRenamed("composite_id", "series_id")
 
 
-def _as_composite(panel: DataFrame) -> DataFrame:
-    return panel.withColumnRenamed("series_id", "composite_id")
-
-
 def month_end_ratio(panel: DataFrame, legs: DataFrame, scale: float = 1.0) -> DataFrame:
     """``x * scale / y`` at month ends where both have a value in that month.
 
@@ -112,17 +109,19 @@ def ratio_with_monthly_z(panel: DataFrame, legs: DataFrame, scale: float = 1000.
     """Daily ratio line and, from month-end ratios, its full-window z held until the next month end."""
     line = ratio_scaled(panel, legs, scale)
     monthly = _as_series(month_end_ratio(panel, legs, scale))
-    # Every calendar month is a row, so a gap counts as a missing value, not as no row.
-    span = monthly.groupBy("series_id").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    months = span.select(
-        "series_id", F.explode(F.sequence(F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("interval 1 month"))).alias("m")
-    ).select("series_id", F.last_day("m").alias("date"))
-    z = rolling_zscore(months.join(monthly, ["series_id", "date"], "left"), window, min_periods=window)
-    labels = z.select("series_id", "date", F.col("z").alias("value"))
-    held = _as_composite(ffill_on_grid(labels, line.select("date").distinct())).select(
-        "composite_id", "date", F.col("value").alias("z")
+    # Every calendar month is a row, so a gap counts as a missing value, not as
+    # no row: each month also emits the empty months up to the next one.
+    this = F.trunc("date", "month")
+    following = F.add_months(F.trunc(F.lead("date").over(by_date()), "month"), -1)
+    spans = monthly.withColumn("until", F.coalesce(following, this))
+    filled = spans.withColumn("month", F.explode(F.sequence(this, "until", F.expr("interval 1 month")))).select(
+        "series_id", F.last_day("month").alias("date"), F.when(F.col("month") == this, F.col("value")).alias("value")
+    )
+    z = rolling_zscore(filled, window, min_periods=window)
+    labels = z.select(F.col("series_id").alias("composite_id"), F.col("date").alias("label"), "z")
+    return asof_last(
+        line.withColumnRenamed("value", "ratio"), labels, "date", "label", by=["composite_id"], carry=["z"], one_per_day=True
     )
-    return line.withColumnRenamed("value", "ratio").join(held, ["composite_id", "date"], "left")
 
 
 def ratio_excess_growth(panel: DataFrame, legs: DataFrame, window: int = 60) -> DataFrame:
@@ -131,13 +130,8 @@ def ratio_excess_growth(panel: DataFrame, legs: DataFrame, window: int = 60) ->
     Rows are months with both legs; growth compares calendar months.
     """
     t = align_legs(resample_last(panel, "ME"), legs, ["x", "y"])
-    base = t.select(
-        "composite_id",
-        F.last_day(F.add_months("date", 12)).alias("date"),
-        F.col("x").alias("x0"),
-        F.col("y").alias("y0"),
-    )
-    full = _present(t, ["x", "y"]).join(base, ["composite_id", "date"], "left")
+    x0, y0 = (months_back(x, 12, "composite_id").alias(f"{x}0") for x in ("x", "y"))
+    full = _present(t.select("*", x0, y0), ["x", "y"])
     rows = full.select(
         F.col("composite_id").alias("series_id"),
         "date",
@@ -158,15 +152,17 @@ def net_of_two_hybrid_change(panel: DataFrame, legs: DataFrame, cutover: str, pe
     """
     cut = F.to_date(F.lit(cutover))
     t = align_legs(panel, legs, ["a", "b", "c"])
-    dense = (
-        t.groupBy("composite_id")
-        .agg(F.min("date").alias("lo"))
-        .where(F.col("lo") < cut)
-        .select("composite_id", F.explode(F.sequence("lo", F.date_sub(cut, 1))).alias("date"))
-        .where(F.weekday("date") < 5)
-    )
-    early = dense.join(t.where(F.col("date") < cut), ["composite_id", "date"], "left").select(
-        "composite_id", "date", "a", "b", F.coalesce("c", F.lit(0.0)).alias("c")
+    # Each early row emits the business days up to the next one.
+    until = F.least(F.coalesce(F.date_sub(F.lead("date").over(by_date("composite_id")), 1), cut), F.date_sub(cut, 1))
+    spans = t.withColumn("until", until).where(F.col("date") < cut)
+    days = spans.withColumn("day", F.explode(F.sequence("date", "until"))).where(F.weekday("day") < 5)
+    own = F.col("day") == F.col("date")
+    early = days.select(
+        "composite_id",
+        F.col("day").alias("date"),
+        F.when(own, F.col("a")).alias("a"),
+        F.when(own, F.col("b")).alias("b"),
+        F.coalesce(F.when(own, F.col("c")), F.lit(0.0)).alias("c"),
     )
     grid = early.unionByName(t.where((F.col("date") >= cut) & F.col("c").isNotNull()))
     so_far_ = so_far("composite_id")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import calendar_side
 from tidemark.operators.calendar import resample_last
 
 KEY = ("series_id", "date")
@@ -53,7 +54,7 @@ def splice(canonical: DataFrame, deep: DataFrame, index: DataFrame | None = None
         deep.select(*KEY, F.col("value").alias("deep_value")), list(KEY), "full"
     )
     out = both.select(*KEY, F.coalesce("value", "deep_value").alias("value"))
-    return out if index is None else out.join(index.select("date"), "date", "left_semi").select(*KEY, "value")
+    return out if index is None else out.join(calendar_side(index), "date", "left_semi").select(*KEY, "value")
 
 
 def splice_monthly(canonical: DataFrame, deep: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def join_registered(panel: DataFrame, extra: DataFrame, registry: DataFrame) ->
     Long form of a left join onto the panel's dates: off-grid dates drop.
     """
     listed = registry.where(F.col("lag").isNotNull()).select("series_id")
-    days = panel.select("date").distinct()
+    days = calendar_side(panel)
     kept = extra.join(listed, "series_id", "left_semi").join(days, "date", "left_semi")
     return panel.select(*KEY, "value").unionByName(kept.select(*KEY, "value"))
 

@@ -29,10 +29,12 @@ def scorecard(panel: DataFrame, spec: DataFrame) -> DataFrame:
     blank row.
     """
     latest = latest_values(panel)
-    as_of = latest.select(F.col("series_id").alias("as_of_series"), F.col("as_of").alias("as_of_other"))
+    as_of = latest.select(F.col("series_id").alias("__dated_by"), F.col("as_of").alias("__as_of"))
     value = F.col("value") * F.coalesce("scale", F.lit(1.0))
-    rows = spec.join(latest, "series_id", "left").join(as_of, "as_of_series", "left").withColumn("value", value)
-    day = F.when(F.col("value").isNotNull(), F.coalesce("as_of_other", "as_of"))
+    # Rows without another series are dated by their own: no pile of NULL keys.
+    dated = spec.withColumn("__dated_by", F.coalesce("as_of_series", "series_id"))
+    rows = dated.join(latest, "series_id", "left").join(as_of, "__dated_by", "left").withColumn("value", value)
+    day = F.when(F.col("value").isNotNull(), F.coalesce("__as_of", "as_of"))
     return rows.select(
         "card",
         "label",
@@ -111,8 +113,9 @@ def episode_peaks(panel: DataFrame, threshold: float, merge_days: int = 180) ->
 def interval_label(events: DataFrame, intervals: DataFrame, date: str = "peak_date") -> DataFrame:
     """Name of the first interval (by ``priority``) a date lies in, NULL for none.
 
-    Dates and intervals meet on the calendar year, so the range condition is
-    checked inside an equi-join and never against all intervals.
+    Only the distinct dates, bounded by the calendar, meet the intervals (on the
+    calendar year, so the range condition is checked inside an equi-join); the
+    events themselves just look their date up.
     """
     by_year = intervals.select(
         F.explode(F.sequence(F.year("start"), F.year("end"))).alias("__year"),
@@ -120,15 +123,14 @@ def interval_label(events: DataFrame, intervals: DataFrame, date: str = "peak_da
         F.col("end").alias("__end"),
         F.struct("priority", "name").alias("__named"),
     )
-    keys = events.columns
-    hits = events.withColumn("__year", F.year(date)).join(by_year, "__year")
+    days = events.select(date).distinct().withColumn("__year", F.year(date))
     named = (
-        hits.where(F.col(date).between(F.col("__start"), F.col("__end")))
-        .select(F.col(date), "__named")
+        days.join(by_year, "__year")
+        .where(F.col(date).between(F.col("__start"), F.col("__end")))
         .groupBy(date)
         .agg(F.min("__named").getField("name").alias("interval_name"))
     )
-    return events.join(named, date, "left").select(*keys, "interval_name")
+    return events.join(F.broadcast(named), date, "left").select(*events.columns, "interval_name")
 
 
 def interval_clip(panel: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import asof_last, spread_on_days, validity
+from tidemark.operators.asof import asof_last, calendar_side, spread_on_days, validity
 from tidemark.schema import require_columns
 
 
@@ -114,7 +114,7 @@ def asof_backward(releases: DataFrame, queries: DataFrame, lag_days: int = 0) ->
         by=["series_id"],
         carry=["pit_value", "data_date", "effective_date"],
         ties=["data_date"],
-        distinct_requests=True,
+        one_per_day=True,
     )
 
 
@@ -132,7 +132,7 @@ def vintage_levels(vintages: DataFrame, grid: DataFrame, lag_days: int = 0, ties
     )
     end = grid.agg(F.max("date")).scalar()
     held = spread_on_days(validity(releases, "usable_from", ties=["date"], end=end), "usable_from", "grid_date")
-    on_grid = held.join(grid.select(F.col("date").alias("grid_date")), "grid_date", "left_semi")
+    on_grid = held.join(calendar_side(grid, name="grid_date"), "grid_date", "left_semi")
     return on_grid.select("series_id", F.col("grid_date").alias("date"), "value", F.col("date").alias("obs_date"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import EXPECTED_GAP_DAYS, PERIODS_PER_YEAR
 from tidemark.functions.numeric import pct_change
-from tidemark.operators.windows import by_date, expanding_moments, rolling_moments, so_far
+from tidemark.operators.windows import by_date, expanding_moments, months_back, rolling_moments, so_far
 
 
 
@@ -53,13 +53,11 @@ def yoy(native: DataFrame, periods: int) -> DataFrame:
 def yoy_calendar(monthly: DataFrame, months: int = 12) -> DataFrame:
     """Change in percent against the same month a year earlier, by calendar.
 
-    ``monthly`` carries month-start stamps.  A month missing a year earlier
-    gives NULL instead of moving the comparison to its neighbour.
+    ``monthly`` has one row per month.  A month missing a year earlier gives NULL
+    instead of moving the comparison to its neighbour.
     """
-    base = monthly.select("series_id", F.add_months("date", months).alias("date"), F.col("value").alias("base"))
-    return (
-        monthly.join(base, ["series_id", "date"], "left")
-        .select("series_id", "date", "value", pct_change(F.col("value"), F.col("base")).alias("yoy"))
+    return monthly.select(
+        "series_id", "date", "value", pct_change(F.col("value"), months_back("value", months)).alias("yoy")
     )
 
 

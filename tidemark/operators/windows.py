@@ -30,6 +30,16 @@ def so_far(key: str = "series_id") -> WindowSpec:
     return by_date(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def months_back(value: str, months: int, key: str = "series_id") -> Column:
+    """Value of the same key exactly ``months`` calendar months earlier, NULL when that month has no row.
+
+    A range frame over the month number: no self-join, and a gap never moves the
+    comparison to its neighbour.
+    """
+    month = F.year("date") * 12 + F.month("date")
+    return F.max(value).over(Window.partitionBy(key).orderBy(month).rangeBetween(-months, -months))
+
+
 def _merge(a: Column, b: Column) -> Column:
     """Combine the statistics of two disjoint row sets; either may be empty."""
     n = a["n"] + b["n"]

@@ -14,6 +14,7 @@ from tidemark.operators import composites as K
 from tidemark.operators.calendar import anchor_trim, resample_last
 from tidemark.operators.monitor import scorecard
 from tidemark.operators.transforms import diff, expanding_zscore, rolling_zscore, yoy_calendar, zscore_of_diff
+from tidemark.sources.literal import literal_table
 
 # Day the overnight facility opened; before it a blank means zero.
 FACILITY_START = "2013-09-23"
@@ -149,7 +150,7 @@ SPEC_SCHEMA = (
 
 
 def _legs(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(rows, "composite_id string, role string, series_id string")
+    return literal_table(spark, rows, "composite_id string, role string, series_id string")
 
 
 def _named(df: DataFrame, name: str, value: str = "value") -> DataFrame:
@@ -178,7 +179,7 @@ def derived_panel(panel: DataFrame, cutover: str = FACILITY_START) -> DataFrame:
     valuation = K.ratio_with_monthly_z(panel, _legs(spark, VALUATION))
     margin = K.ratio_excess_growth(panel, _legs(spark, MARGIN))
     credit = K.three_term_balance(resample_last(panel, "ME"), _legs(spark, NET_CREDIT))
-    faces = spark.createDataFrame([(s, f) for s, _, f in NOTIONALS], "series_id string, face_value long")
+    faces = literal_table(spark, [(s, f) for s, _, f in NOTIONALS], "series_id string, face_value long")
     notionals = _renamed(K.notional(panel, faces), {s: n for s, n, _ in NOTIONALS}, "value")
     changes = diff(notionals.where(F.col("value").isNotNull()))
     change_z = zscore_of_diff(notionals, 260)
@@ -219,5 +220,5 @@ def page(derived: DataFrame, name: str, floor: str | None = None) -> DataFrame:
 
 
 def macro_scorecard(derived: DataFrame) -> DataFrame:
-    spec = derived.sparkSession.createDataFrame(SCORECARD, SPEC_SCHEMA)
+    spec = literal_table(derived.sparkSession, SCORECARD, SPEC_SCHEMA)
     return scorecard(derived, spec)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import PERIODS_PER_YEAR
 from tidemark.functions.names import SUFFIX
 from tidemark.functions.numeric import pct_change
-from tidemark.operators.asof import spread_on_days, validity
+from tidemark.operators.asof import calendar_side, spread_on_days, validity
 from tidemark.operators.calendar import to_native
 from tidemark.operators.transforms import rolling_zscore, window_rows
 from tidemark.operators.windows import by_date, expanding_moments
@@ -102,7 +102,7 @@ def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Col
     valued = panel.where(F.col("value").isNotNull()).join(wanted, "series_id")
     held = spread_on_days(validity(valued, "date", end=end), "date", "day")
     rows = (
-        held.join(grid.select(F.col("date").alias("day")), "day", "left_semi")
+        held.join(calendar_side(grid, name="day"), "day", "left_semi")
         .withColumn("observed", F.when(F.col("day") == F.col("date"), F.col("value")))
         .select("series_id", "transforms", F.col("day").alias("date"), F.col("value").alias("filled"), "observed")
     )
@@ -127,12 +127,12 @@ def apply_transforms(panel: DataFrame, registry: DataFrame, mode: str, lag: int
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}, got {mode!r}")
     spec = registry.select("series_id", "frequency", _checked(MODES[mode]).alias("transforms"))
-    grid = panel.select("date").distinct()
+    grid = panel.select("date")
     end = panel.agg(F.max("date")).scalar()
     labelled = _native_transforms(panel, spec, lag, end)
     held = (
         spread_on_days(labelled, "date", "day")
-        .join(grid.select(F.col("date").alias("day")), "day", "left_semi")
+        .join(calendar_side(grid, name="day"), "day", "left_semi")
         .select("series_id", "transform", F.col("day").alias("date"), "value")
     )
     levels = panel.join(spec.select("series_id"), "series_id", "left_semi").select(

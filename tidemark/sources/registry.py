@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.quality import enforce, registry_violations
 from tidemark.schema import REGISTRY
+from tidemark.sources.literal import literal_table
 
 # The macro-financial indicators this engine ships with.
 # (series_id, name, source, frequency, category, unit, monitoring transforms,
@@ -72,7 +73,7 @@ MEASURED_LAG = {"CPIAUCSL": 50, "M2SL": 52, "PCEPILFE": 58}
 
 
 def default_registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INDICATORS, REGISTRY)
+    return literal_table(spark, INDICATORS, REGISTRY)
 
 
 def by_category(registry: DataFrame, category: str) -> DataFrame:
