@@ -50,11 +50,12 @@ def period_end(d: Column, rule: str) -> Column:
     raise ValueError(f"unknown period rule {rule!r}")
 
 
-def native_label(d: Column, frequency: Column) -> Column:
-    """Right-edge label at the declared frequency, chosen per row."""
+def native_label(d: Column, frequency: Column, month_rule: str = "ME") -> Column:
+    """Label at the declared frequency, chosen per row; on the right edge unless months are stamped at their start."""
+    rules = PERIOD_RULE | {"M": month_rule}
     label = F.when(frequency == "D", d)
     for freq in ("W", "M", "Q"):
-        label = label.when(frequency == freq, period_end(d, PERIOD_RULE[freq]))
+        label = label.when(frequency == freq, period_end(d, rules[freq]))
     return label.otherwise(
         F.raise_error(F.concat(F.lit("unknown frequency "), F.coalesce(frequency, F.lit("NULL")))).cast("date")
     )

@@ -30,16 +30,17 @@ def resample_last(panel: DataFrame, rule: str) -> DataFrame:
     )
 
 
-def to_native(panel: DataFrame, registry: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def to_native(panel: DataFrame, registry: DataFrame, keep: Sequence[str] = (), month_rule: str = "ME") -> DataFrame:
     """Restore each series to its declared frequency in one aggregation for all of them.
 
     Labels sit on the right edge of the period, so a value never shows before
-    its period is over.  ``keep`` carries further registry columns along.
+    its period is over (month-start labels, for display only, break that).
+    ``keep`` carries further registry columns along.
     """
     spec = registry.select("series_id", "frequency", *keep)
     labelled = panel.where(F.col("value").isNotNull()).join(spec, "series_id")
     return (
-        labelled.groupBy("series_id", "frequency", *keep, native_label(F.col("date"), F.col("frequency")).alias("label"))
+        labelled.groupBy("series_id", "frequency", *keep, native_label(F.col("date"), F.col("frequency"), month_rule).alias("label"))
         .agg(F.max_by("value", "date").alias("value"))
         .select("series_id", F.col("label").alias("date"), "value", "frequency", *keep)
     )

@@ -51,7 +51,7 @@ def _collect_long(df: DataFrame, named: dict[str, tuple[Column, Column]], *keep:
     return df.select("series_id", "date", *keep, F.inline(F.array_compact(items)))
 
 
-def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column) -> DataFrame:
+def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column, month_rule: str) -> DataFrame:
     """Transforms of native-frequency rows, labelled with the days they are the latest for.
 
     Running statistics and offsets come first; then each row is handed to one
@@ -59,7 +59,7 @@ def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column)
     rolling pass runs per (series, task) on the partitioning already there.
     """
     wanted = spec.where(_wants(*NATIVE, *ROLLING_YEARS))
-    native = validity(to_native(panel, wanted, keep=["transforms"]), "date", end=end)
+    native = validity(to_native(panel, wanted, ["transforms"], month_rule), "date", end=end)
     value, freq = F.col("value"), F.col("frequency")
     base, need = F.lit(None).cast("double"), F.lit(None).cast("int")
     for f, n in PERIODS_PER_YEAR.items():
@@ -115,7 +115,9 @@ def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Col
     )
 
 
-def apply_transforms(panel: DataFrame, registry: DataFrame, mode: str, lag: int = 0) -> DataFrame:
+def apply_transforms(
+    panel: DataFrame, registry: DataFrame, mode: str, lag: int = 0, month_rule: str = "ME"
+) -> DataFrame:
     """All configured transforms of all registered series, long: ``series_id, transform, date, value``.
 
     ``mode`` picks the list: ``mon`` (monitoring) or ``fm`` (features).  ``lag``
@@ -126,10 +128,12 @@ def apply_transforms(panel: DataFrame, registry: DataFrame, mode: str, lag: int
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}, got {mode!r}")
+    if mode == "fm" and month_rule != "ME":
+        raise ValueError(f"month rule {month_rule!r} shows a month before it is over; features need 'ME'")
     spec = registry.select("series_id", "frequency", _checked(MODES[mode]).alias("transforms"))
     grid = panel.select("date")
     end = panel.agg(F.max("date")).scalar()
-    labelled = _native_transforms(panel, spec, lag, end)
+    labelled = _native_transforms(panel, spec, lag, end, month_rule)
     held = (
         spread_on_days(labelled, "date", "day")
         .join(calendar_side(grid, name="day"), "day", "left_semi")
