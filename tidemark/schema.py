@@ -40,8 +40,8 @@ REGISTRY = T.StructType(
         T.StructField("frequency", T.StringType(), False),
         T.StructField("category", T.StringType(), False),
         T.StructField("unit", T.StringType(), True),
-        T.StructField("mon_transforms", T.ArrayType(T.StringType(), False), False),
-        T.StructField("fm_transforms", T.ArrayType(T.StringType(), False), False),
+        T.StructField("mon_transforms", T.ArrayType(T.StringType()), False),
+        T.StructField("fm_transforms", T.ArrayType(T.StringType()), False),
         T.StructField("lag", T.IntegerType(), True),
         T.StructField("is_vintage", T.BooleanType(), False),
     ]
