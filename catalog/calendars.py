@@ -197,12 +197,7 @@ def pending_tail(spark, d):
     ),
 )
 def trailing_years(spark, d):
-    panel = supplier_daily(spark, d)
-    out = None
-    for n in (1, 2, 3, 5, 7, 10):
-        part = C.trailing_years(panel, n).select(F.lit(n).alias("years"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return C.trailing_years(supplier_daily(spark, d), 1, 2, 3, 5, 7, 10)
 
 
 @query(

@@ -175,7 +175,8 @@ def pending_tail(panel: DataFrame, index: DataFrame) -> DataFrame:
     return days.select("series_id", F.col("day").alias("date"), value.alias("value"), held.alias("is_pending"))
 
 
-def trailing_years(panel: DataFrame, years: int) -> DataFrame:
-    """Rows of the last ``years`` years before the panel's latest date."""
+def trailing_years(panel: DataFrame, *years: int) -> DataFrame:
+    """Rows of the last so many years before the panel's latest date, for each number of years."""
     latest = panel.agg(F.max("date")).scalar()
-    return panel.where(F.col("date") >= F.add_months(latest, -12 * years))
+    spans = panel.withColumn("years", F.explode(F.array(*[F.lit(n) for n in years])))
+    return spans.where(F.col("date") >= F.add_months(latest, F.col("years") * -12))

@@ -50,10 +50,7 @@ def splice(canonical: DataFrame, deep: DataFrame, index: DataFrame | None = None
 
     ``index`` (distinct dates) restricts the result to the canonical calendar.
     """
-    both = canonical.select(*KEY, "value").join(
-        deep.select(*KEY, F.col("value").alias("deep_value")), list(KEY), "full"
-    )
-    out = both.select(*KEY, F.coalesce("value", "deep_value").alias("value"))
+    out = accumulate(deep, canonical)
     return out if index is None else out.join(calendar_side(index), "date", "left_semi").select(*KEY, "value")
 
 

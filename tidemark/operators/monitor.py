@@ -113,20 +113,13 @@ def episode_peaks(panel: DataFrame, threshold: float, merge_days: int = 180) ->
 def interval_label(events: DataFrame, intervals: DataFrame, date: str = "peak_date") -> DataFrame:
     """Name of the first interval (by ``priority``) a date lies in, NULL for none.
 
-    Only the distinct dates, bounded by the calendar, meet the intervals (on the
-    calendar year, so the range condition is checked inside an equi-join); the
-    events themselves just look their date up.
+    The intervals are turned into one name per calendar day, which bounds their
+    size by the calendar however many overlap; events then look their day up.
     """
-    by_year = intervals.select(
-        F.explode(F.sequence(F.year("start"), F.year("end"))).alias("__year"),
-        F.col("start").alias("__start"),
-        F.col("end").alias("__end"),
-        F.struct("priority", "name").alias("__named"),
-    )
-    days = events.select(date).distinct().withColumn("__year", F.year(date))
     named = (
-        days.join(by_year, "__year")
-        .where(F.col(date).between(F.col("__start"), F.col("__end")))
+        intervals.select(
+            F.explode(F.sequence("start", "end")).alias(date), F.struct("priority", "name").alias("__named")
+        )
         .groupBy(date)
         .agg(F.min("__named").getField("name").alias("interval_name"))
     )

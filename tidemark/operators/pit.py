@@ -156,11 +156,15 @@ def diagnose_lookahead(raw: DataFrame, pit: DataFrame, day: str, tolerance: floa
     """Per series: latest raw value and latest point-in-time value at ``day``, and whether they differ."""
     at = F.to_date(F.lit(day))
 
-    def latest(df: DataFrame, name: str) -> DataFrame:
-        known = df.where((F.col("date") <= at) & F.col("value").isNotNull())
-        return known.groupBy("series_id").agg(F.max_by("value", "date").alias(name))
+    sides = raw.select("series_id", "date", "value", F.lit(0).alias("side")).unionByName(
+        pit.select("series_id", "date", "value", F.lit(1).alias("side"))
+    )
+    known = sides.where((F.col("date") <= at) & F.col("value").isNotNull())
+
+    def latest(side: int):
+        return F.max_by("value", F.when(F.col("side") == side, F.col("date")))
 
-    both = latest(raw, "raw_value").join(latest(pit, "pit_value"), "series_id", "full")
+    both = known.groupBy("series_id").agg(latest(0).alias("raw_value"), latest(1).alias("pit_value"))
     diff = F.col("raw_value") - F.col("pit_value")
     flagged = F.coalesce(F.abs(diff) > tolerance, F.lit(False)) & F.col("raw_value").isNotNull()
     return both.select("series_id", "raw_value", "pit_value", diff.alias("diff"), flagged.alias("look_ahead"))

@@ -72,16 +72,16 @@ def dropped_counts(before: DataFrame, after: DataFrame, within: DataFrame | None
     of scope, not lost.
     """
     lo, hi = ((within or after).agg(f("date")).scalar() for f in (F.min, F.max))
-    inside = before.where(F.col("date").between(lo, hi))
-
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("series_id").agg(F.count("value").alias(name))
-
-    both = count(inside, "n_before").join(count(after, "n_after"), "series_id", "full")
-    n_before, n_after = (F.coalesce(c, F.lit(0)) for c in ("n_before", "n_after"))
-    return both.select(
-        "series_id", n_before.alias("n_before"), n_after.alias("n_after"), (n_after < n_before).alias("dropped")
+    sides = (
+        before.where(F.col("date").between(lo, hi))
+        .select("series_id", "value", F.lit(True).alias("is_before"))
+        .unionByName(after.select("series_id", "value", F.lit(False).alias("is_before")))
+    )
+    valued = F.col("value").isNotNull()
+    counts = sides.groupBy("series_id").agg(
+        F.count_if(valued & F.col("is_before")).alias("n_before"), F.count_if(valued & ~F.col("is_before")).alias("n_after")
     )
+    return counts.withColumn("dropped", F.col("n_after") < F.col("n_before"))
 
 
 def shallow_history(panel: DataFrame, listed: DataFrame, since_year: int = 2019) -> DataFrame:

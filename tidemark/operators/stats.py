@@ -47,20 +47,23 @@ def lag_sweep(vintages: DataFrame, registry: DataFrame, since: str | None = None
     without a configured lag is compared with ``default_lag``.
     """
     ends = _first_and_last(vintages)
-    recent = ends if since is None else ends.where(F.col("date") >= F.to_date(F.lit(since)))
-    lag_days = F.datediff("effective_date", "date")
-    measured = recent.withColumn("lag_days", lag_days).groupBy("series_id").agg(
-        F.count("*").alias("n"),
-        F.median("lag_days").cast("int").alias("median_lag"),
-        # Interpolation may land a hair below a whole day; that is not a day less.
-        F.round(F.percentile("lag_days", 0.9), 6).cast("int").alias("p90_lag"),
-        F.round(F.avg(_revised()) * 100.0, 1).alias("revised_pct"),
+    recent = F.lit(True) if since is None else F.col("date") >= F.to_date(F.lit(since))
+    lag_days = F.when(recent, F.datediff("effective_date", "date"))
+    measured = (
+        ends.withColumns({"lag_days": lag_days, "revised": F.when(recent, _revised())})
+        .groupBy("series_id")
+        .agg(
+            F.count("lag_days").alias("n"),
+            F.median("lag_days").cast("int").alias("median_lag"),
+            # Interpolation may land a hair below a whole day; that is not a day less.
+            F.round(F.percentile("lag_days", 0.9), 6).cast("int").alias("p90_lag"),
+            F.round(F.avg("revised") * 100.0, 1).alias("revised_pct"),
+        )
     )
-    known = vintages.select("series_id").distinct().withColumn("has_vintage", F.lit(True))
-    rows = registry.join(known, "series_id", "left").join(measured, "series_id", "left")
+    rows = registry.join(measured, "series_id", "left")
     status = (
-        F.when(F.col("has_vintage").isNull(), F.lit("NO-VINTAGE"))
-        .when(F.col("n").isNull(), F.lit("NO-RECENT-PERIOD"))
+        F.when(F.col("n").isNull(), F.lit("NO-VINTAGE"))
+        .when(F.col("n") == 0, F.lit("NO-RECENT-PERIOD"))
         .otherwise(F.lit("OK"))
     )
     return rows.select(
