@@ -41,6 +41,20 @@ def scan_panel_pruned(spark, d):
     return S.read_panel(spark, path, series=["S2", "S5"], buckets=8)
 
 
+@query(
+    "scan_bucketed",
+    with_ctes(
+        "s3v",
+        body="SELECT series_id, min(date) AS first_valid, max(date) AS last_valid, count(*) AS n, arg_max(value, date) AS last_value FROM s3v GROUP BY 1",
+    ),
+)
+def scan_bucketed(spark, d):
+    """Coverage read off a table bucketed by series: no shuffle."""
+    path = scratch_path(spark, "bucketed")
+    stored = S.save_panel_table(supplier_daily(spark, d), "panel_" + path[-32:], path, buckets=8)
+    return Q.series_coverage(stored)
+
+
 @query(
     "scan_vintage",
     with_ctes(

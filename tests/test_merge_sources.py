@@ -105,6 +105,20 @@ def test_store_round_trip_and_pruning(spark, panel_of, vintages_of):
     assert "PartitionFilters: [bucket" in plan and "PushedFilters: [In(series_id" in plan
 
 
+def test_bucketed_table_needs_no_shuffle(spark, panel_of):
+    from tidemark.operators.transforms import expanding_zscore, rolling_zscore
+
+    p = panel_of({f"s{i}": walk(80, i) for i in range(6)})
+    path = scratch_path(spark, "table")
+    t = S.save_panel_table(p, "panel_a", path, buckets=4)
+    assert t.exceptAll(p).count() == 0 and t.count() == p.count()
+    for df in (rolling_zscore(t, 60), expanding_zscore(t), t.groupBy("series_id").count()):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    again = S.open_panel_table(spark, "panel_b", path, buckets=4)
+    assert again.exceptAll(p).count() == 0
+    assert "Exchange" not in again.groupBy("series_id").count()._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_unreadable_file_does_not_stop_a_scan(spark, tmp_path):
     for name in ("GOOD", "prefix_A"):
         pd.DataFrame({"date": [day("2024-01-01")], "value": [1.0]}).to_parquet(tmp_path / f"{name}.parquet")

@@ -140,6 +140,12 @@ def test_pipeline_end_to_end(spark, panel_of, vintages_of, registry_of):
     names = {(r.series_id, r.transform) for r in features.select("series_id", "transform").distinct().collect()}
     assert names == {("d", "level"), ("d", "diff_bps"), ("d", "zscore_exp"), ("p", "level"), ("p", "diff"), ("m", "level"), ("m", "yoy")}
     assert features.groupBy("series_id", "transform", "date").count().where("count > 1").isEmpty()
+    # The same job over bucketed tables gives the same features.
+    again = pipeline.run(
+        spark, panel_of({"d": daily}), reg, scratch_path(spark, "pipeline"), v, [panel_of({"p": weekly})], floors, 4, tables="job"
+    )
+    other = spark.read.parquet(again["features"]).select(*features.columns)
+    assert features.exceptAll(other).isEmpty() and other.exceptAll(features).isEmpty()
     monitoring = spark.read.parquet(paths["monitoring"])
     assert "m" not in {r.series_id for r in monitoring.select("series_id").distinct().collect()}
 

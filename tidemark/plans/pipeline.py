@@ -22,6 +22,7 @@ def run(
     floors: DataFrame | None = None,
     buckets: int = store.BUCKETS,
     mode: str = "errorifexists",
+    tables: str | None = None,
 ) -> dict[str, str]:
     """Write the raw, monitoring, point-in-time and feature tables below ``out``; returns their paths.
 
@@ -30,11 +31,18 @@ def run(
     history of named series: a violation stops the job before the
     point-in-time tables are written.  Each stage reads the stored result of the
     one before, so nothing is computed twice and a lost executor costs its tasks
-    only.
+    only.  With a table name prefix in ``tables`` the two panels are saved as
+    tables bucketed by series, and the passes over them do not shuffle.
     """
     paths = {name: f"{out}/{name}" for name in ("raw", "monitoring", "pit", "features")}
     validate(registry)
 
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        if tables is not None:
+            return store.save_panel_table(df, f"{tables}_{name}", paths[name], buckets, mode)
+        store.write_panel(df, paths[name], buckets, mode)
+        return store.read_panel(spark, paths[name], buckets=buckets)
+
     panel = accumulate(require_rows(observations, "observations"))
     for source in extra or []:
         joined = join_registered(panel, source, registry)
@@ -43,16 +51,13 @@ def run(
         lost = dropped_counts(source.join(listed, "series_id", "left_semi"), kept, panel).where("dropped")
         enforce(lost, "values lost when joining onto the panel dates")
         panel = joined
-    store.write_panel(panel, paths["raw"], buckets, mode)
-    raw = store.read_panel(spark, paths["raw"], buckets=buckets)
+    raw = stored(panel, "raw")
 
     store.write_features(apply_transforms(raw, registry, "mon"), paths["monitoring"], buckets, mode)
 
     pit = pit_panel(raw, vintages, registry)
     if floors is not None:
         enforce(coverage_violations(pit, floors), "protected history is too short")
-    store.write_panel(pit, paths["pit"], buckets, mode)
-    stored_pit = store.read_panel(spark, paths["pit"], buckets=buckets)
-
-    store.write_features(apply_transforms(stored_pit, registry, "fm"), paths["features"], buckets, mode)
+    features = apply_transforms(stored(pit, "pit"), registry, "fm")
+    store.write_features(features, paths["features"], buckets, mode)
     return paths

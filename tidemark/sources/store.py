@@ -1,9 +1,14 @@
 """Panel and vintage stores on parquet.
 
-Rows are laid out by a hash bucket of the series id, not one folder per series:
-the number of folders stays fixed for millions of series, a series still prunes
-to one folder, and sorting inside the files lets row-group statistics skip the
-rest.
+Two layouts, for two kinds of reading:
+
+* ``write_panel`` / ``read_panel``: folders by a hash bucket of the series id, not
+  one folder per series.  The number of folders stays fixed for millions of
+  series, a named series prunes to one folder, and sorting inside the files lets
+  row-group statistics skip the rest.  A hot bucket is split over files.
+* ``save_panel_table`` / ``open_panel_table``: a table bucketed by series id, for
+  passes over everything.  Windows, aggregations and joins by series then need
+  no shuffle at all.  Only for panels, where a series is bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -90,6 +95,29 @@ def read_vintages(
     return bound_vintages(_read(spark, path, VINTAGE, series, buckets), data_from, realtime_from)
 
 
+def save_panel_table(panel: DataFrame, table: str, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> DataFrame:
+    """Panel as an external table bucketed by series id, one sorted file per bucket."""
+    rows = panel.select("series_id", "date", "value").repartition(buckets, "series_id")
+    (
+        rows.write.mode(mode)
+        .format("parquet")
+        .bucketBy(buckets, "series_id")
+        .sortBy("series_id", "date")
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return panel.sparkSession.table(table)
+
+
+def open_panel_table(spark: SparkSession, table: str, path: str, buckets: int = BUCKETS) -> DataFrame:
+    """The same table in a session whose catalog does not know it yet."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} (series_id STRING, date DATE, value DOUBLE) USING parquet "
+        f"CLUSTERED BY (series_id) SORTED BY (series_id, date) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(table)
+
+
 def stack_series_files(spark: SparkSession, folder: str, skip_prefix: str | None = None) -> DataFrame:
     """One parquet file per series (``date``, ``value``), the series id being the file stem."""
     files = spark.read.schema("date date, value double").option("ignoreCorruptFiles", "true").parquet(folder)
