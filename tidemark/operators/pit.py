@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import asof_last, calendar_side, spread_on_days, validity
@@ -45,7 +45,11 @@ def pit_align(panel: DataFrame, registry: DataFrame, strict: bool = True) -> Dat
     the grid is never joined.  Grid days before a series starts have no row.
     """
     shifted = publication_lag(panel, registry, strict)
-    end = shifted.agg(F.max("date")).scalar()
+    return _hold_on_weekdays(shifted, shifted.agg(F.max("date")).scalar())
+
+
+def _hold_on_weekdays(shifted: DataFrame, end: Column) -> DataFrame:
+    """Shifted values on the weekdays up to ``end``."""
     known = shifted.where(F.col("value").isNotNull()).withColumnRenamed("date", "visible_from")
     held = spread_on_days(validity(known, "visible_from", end=end), "visible_from", "date", weekdays_only=True)
     return held.select("series_id", "date", "value", "obs_date")
@@ -127,29 +131,35 @@ def vintage_levels(vintages: DataFrame, grid: DataFrame, lag_days: int = 0, ties
     """
     if lag_days < 0:
         raise ValueError(f"lag_days must be >= 0, got {lag_days}")
-    releases = check_release_order(first_release(vintages, ties)).withColumn(
-        "usable_from", F.date_add("effective_date", lag_days)
-    )
     end = grid.agg(F.max("date")).scalar()
-    held = spread_on_days(validity(releases, "usable_from", ties=["date"], end=end), "usable_from", "grid_date")
+    held = spread_on_days(_release_spans(vintages, end, lag_days, ties), "usable_from", "grid_date")
     on_grid = held.join(calendar_side(grid, name="grid_date"), "grid_date", "left_semi")
     return on_grid.select("series_id", F.col("grid_date").alias("date"), "value", F.col("date").alias("obs_date"))
 
 
+def _release_spans(vintages: DataFrame, end: Column, lag_days: int, ties: Sequence[str]) -> DataFrame:
+    """First releases with the days each is the latest one known."""
+    releases = check_release_order(first_release(vintages, ties)).withColumn(
+        "usable_from", F.date_add("effective_date", lag_days)
+    )
+    return validity(releases, "usable_from", ties=["date"], end=end)
+
+
 def pit_panel(
     panel: DataFrame, vintages: DataFrame | None, registry: DataFrame, lag_days: int = 0, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Fixed-lag series on the business grid plus first-release levels on the same grid."""
-    fixed = pit_align(panel, registry, strict=False)
+    shifted = publication_lag(panel, registry, strict=False)
+    lo, hi = (shifted.agg(f("date")).scalar() for f in (F.min, F.max))
+    fixed = _hold_on_weekdays(shifted, hi)
     if vintages is None:
         return fixed
-    # The grid is the span of the fixed-lag path, straight from the shifted stamps.
-    shifted = publication_lag(panel, registry, strict=False)
-    span = shifted.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    grid = span.select(F.explode(F.sequence("lo", "hi")).alias("date")).where(F.weekday("date") < 5)
     listed = registry.where(F.col("is_vintage")).select("series_id")
-    levels = vintage_levels(vintages.join(listed, "series_id", "left_semi"), grid, lag_days, ties)
-    return fixed.unionByName(levels)
+    spans = _release_spans(vintages.join(listed, "series_id", "left_semi"), hi, lag_days, ties)
+    # The grid is all weekdays of one span, so cutting the spans replaces a join to it.
+    inside = spans.withColumns({"since": F.greatest("usable_from", lo), "valid_to": F.least("valid_to", hi)})
+    levels = spread_on_days(inside, "since", "day", weekdays_only=True)
+    return fixed.unionByName(levels.select("series_id", F.col("day").alias("date"), "value", F.col("date").alias("obs_date")))
 
 
 def diagnose_lookahead(raw: DataFrame, pit: DataFrame, day: str, tolerance: float = 1e-9) -> DataFrame:
