@@ -26,7 +26,7 @@ from tidemark.plans.features import apply_transforms
 from tidemark.session import materialize, scratch_path
 from tidemark.sources.registry import INDICATORS
 from tidemark.streaming.merge import merge_stream, read_merged
-from tidemark.streaming.resample import resample_stream
+from tidemark.streaming.resample import resample_stream, utc_day
 
 # --- warehouse ----------------------------------------------------------------
 
@@ -333,7 +333,8 @@ def macro_scorecard(spark, d):
 def event_stream(spark, d):
     schema = table(spark, d, "events").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    return files.withColumn("ts", F.col("ts").cast("timestamp"))
+    # A watermark needs an instant: the wall clock is read as UTC in any session.
+    return files.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
 
 @query(
@@ -345,7 +346,7 @@ def stream_merge(spark, d):
     """Events as observations of their user's day; an error event is a missing value."""
     seen = event_stream(spark, d).select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("series_id"),
-        F.to_date("ts").alias("date"),
+        utc_day(F.col("ts")).alias("date"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
         "ts",
     )
