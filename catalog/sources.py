@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import (
-    money,
-    ordered_vintages,
     query,
     supplier_daily,
     supplier_registry,

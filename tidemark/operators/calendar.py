@@ -12,7 +12,6 @@ from tidemark.operators.asof import calendar_side, spread_on_days, validity
 from tidemark.operators.windows import by_date
 
 
-
 def business_grid(df: DataFrame, date: str = "date") -> DataFrame:
     """Monday-to-Friday days between the first and last ``date``, no holidays."""
     span = df.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))

@@ -21,7 +21,6 @@ from tidemark.operators.transforms import rolling_zscore
 from tidemark.operators.windows import by_date, months_back, so_far
 
 
-
 def legs_table(df: DataFrame, composite_id: str, roles: dict[str, Column | str]) -> DataFrame:
     """Legs rows from a table with one row per composite and a column per role."""
     cols = {r: (F.col(c) if isinstance(c, str) else c) for r, c in roles.items()}
@@ -165,8 +164,7 @@ def net_of_two_hybrid_change(panel: DataFrame, legs: DataFrame, cutover: str, pe
         F.coalesce(F.when(own, F.col("c")), F.lit(0.0)).alias("c"),
     )
     grid = early.unionByName(t.where((F.col("date") >= cut) & F.col("c").isNotNull()))
-    so_far_ = so_far("composite_id")
-    a, b = (F.last(x, ignorenulls=True).over(so_far_) for x in ("a", "b"))
+    a, b = (F.last(x, ignorenulls=True).over(so_far("composite_id")) for x in ("a", "b"))
     net = grid.select("composite_id", "date", (a / 1000.0 - b / 1000.0 - F.col("c")).alias("net"))
     base = F.lag("net", periods).over(by_date("composite_id"))
     return _out(net.withColumn("__change", pct_change(F.col("net"), base)), F.col("__change"))

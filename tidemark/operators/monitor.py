@@ -9,7 +9,6 @@ from tidemark.functions.numeric import light
 from tidemark.operators.windows import by_date, so_far
 
 
-
 def latest_values(panel: DataFrame) -> DataFrame:
     """Latest non-missing value and its date per series: one combinable aggregation."""
     return (

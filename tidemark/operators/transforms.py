@@ -17,7 +17,6 @@ from tidemark.functions.numeric import pct_change
 from tidemark.operators.windows import by_date, expanding_moments, months_back, rolling_moments, so_far
 
 
-
 def rolling_zscore(
     panel: DataFrame,
     window: int | str = 252,

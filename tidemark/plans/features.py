@@ -24,7 +24,6 @@ NATIVE = ("diff", "yoy", "zscore_expanding")
 ROW_COUNTED = ("pct_change_1m", "diff_bps")
 
 
-
 def _wants(*names: str) -> Column:
     return F.arrays_overlap("transforms", F.array(*[F.lit(n) for n in names]))
 
