@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import catalog
 from tools.check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,8 @@ def test_query(key, spark, duck):
 
 
 def test_every_check_has_its_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == {"adf_screen"}
 
