@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality, ship, toxicity
+from tidemark.llm import bpe, mixing, neardup, quality, ship, suffixdedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,6 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The setting of the contract: three words, 85 of 100.
+NEAR = neardup.Setting(width=3, similar=85)
+
+
+@query("op2_minhash_near_dedup")
+def op2(spark, sf_dir):
+    """The component of every document under links of at least 85 percent."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), NEAR).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
 @query("op4_quality_rules")
 def op4(spark, sf_dir):
     """Base counts and the line-first verdict of every document."""
@@ -49,6 +61,16 @@ def op4(spark, sf_dir):
     )
 
 
+@query("op5_source_mixing")
+def op5(spark, sf_dir):
+    """Words taken of every document under the target weights of the sources."""
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select(F.col("doc_id").alias("id"), "source", mixing.word_count(F.col("text").cast("string")).alias("size"))
+    return mixing.taken_per_row(mixing.mix(sized)).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source"
+    )
+
+
 def held_out(column: str):
     """Rows never learned from: crc32 of the id as text, modulo 4, is 2."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % 4 == 2
@@ -80,3 +102,15 @@ def op8(spark, sf_dir):
     """Ids of every text, decoded again to bytes."""
     encoded = bpe.encode_table(table(spark, sf_dir, "documents"), RANK_FILE, PATTERN)
     return bpe.digests(bpe.decode_table(encoded, RANK_FILE, PATTERN))
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, sf_dir):
+    """What is left of every document without its 400-byte repeats."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

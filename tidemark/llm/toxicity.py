@@ -243,3 +243,18 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     return source.mapInArrow(run, f"id {kind}, score double")
+
+
+def below(docs: DataFrame, model: Model, limit: float, text_column: str = "text") -> DataFrame:
+    """``docs`` without the rows that score ``limit`` or more; columns unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_column)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(place).cast(pa.string())
+            for a, b in text_slices(texts):
+                keep = shared.value.scores(texts.slice(a, b - a)) < limit
+                yield batch.slice(a, b - a).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
