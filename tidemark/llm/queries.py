@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, maxscore, mixing, neardup, quality, ship, suffixdedup, toxicity, urlrules
+from tidemark.llm import bpe, chat, htmltext, maxscore, mixing, neardup, quality, ship, suffixdedup, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -135,6 +135,14 @@ def op8(spark, sf_dir):
     return bpe.digests(bpe.decode_table(encoded, RANK_FILE, PATTERN))
 
 
+@query("op9_html_extraction")
+def op9(spark, sf_dir):
+    """The visible text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
+
+
 @query("op10_suffix_array_dedup")
 def op10(spark, sf_dir):
     """What is left of every document without its 400-byte repeats."""
