@@ -121,7 +121,7 @@ def train(
     max_unlabelled: int = MAX_UNLABELLED,
     bits: int = 18,
     min_texts: int = 8,
-    epochs: int = 12,
+    steps: int = 204,
     seed: int = 7,
 ) -> Model:
     """Fit on at most ``max_positive`` confirmed texts and ``max_unlabelled`` others (columns: text)."""
@@ -129,7 +129,7 @@ def train(
     u_rows = _sample_features(_smallest(unlabelled, max_unlabelled), bits)
     if not p_rows or not u_rows or prior <= 0:
         return Model(bits, np.zeros(1 << bits), -40.0)
-    return fit(p_rows, u_rows, prior, bits, min_texts, epochs, seed)
+    return fit(p_rows, u_rows, prior, bits, min_texts, steps, seed)
 
 
 def told(p_rows, u_rows, bits, min_texts, seen):
@@ -155,8 +155,8 @@ def _flat(rows, keep):
     return keep[index[known]], value[known].astype(np.float64), text[known]
 
 
-def fit(p_rows, u_rows, prior, bits, min_texts=8, epochs=12, seed=7, rate=0.01, decay=1e-3) -> Model:
-    """Mini-batch descent (Adam) on the non-negative risk with the logistic loss."""
+def fit(p_rows, u_rows, prior, bits, min_texts=8, steps=204, seed=7, rate=0.01, decay=1e-3) -> Model:
+    """Mini-batch descent (Adam) on the non-negative risk with the logistic loss, at least ``steps`` batches."""
     seen = np.zeros(1 << bits, dtype=np.int64)
     for index, _ in p_rows + u_rows:
         seen[index] += 1
@@ -169,7 +169,7 @@ def fit(p_rows, u_rows, prior, bits, min_texts=8, epochs=12, seed=7, rate=0.01,
     w, bias = np.zeros(d), float(np.log(prior / (1 - prior)))
     m, v, step = np.zeros(d + 1), np.zeros(d + 1), 0
     batches = max(1, len(u_rows) // 512)
-    for _ in range(epochs):
+    for _ in range(-(-steps // batches)):
         parts = [rng.integers(0, batches, n) for n, *_ in groups]
         for k in range(batches):
             values, picks = [], []
