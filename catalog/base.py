@@ -87,7 +87,7 @@ def supplier_daily(spark, sf_dir) -> DataFrame:
     )
 
 
-def supplier_vintages(spark, sf_dir) -> DataFrame:
+def supplier_vintages(spark, sf_dir, dated=None) -> DataFrame:
     """Per supplier: order month as data date, ship day as the day a (revised) value came out."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("od"))
     lines = table(spark, sf_dir, "lineitem").select(
@@ -99,15 +99,15 @@ def supplier_vintages(spark, sf_dir) -> DataFrame:
     )
     return (
         lines.join(orders, "o_orderkey")
-        .groupBy("series_id", F.trunc("od", "month").alias("date"), "realtime_start")
+        .groupBy("series_id", F.trunc("od" if dated is None else dated, "month").alias("date"), "realtime_start")
         .agg(F.when(F.min("l_tax") > 0, money("l_extendedprice")).cast("double").alias("value"))
         .select("series_id", "realtime_start", "date", "value")
     )
 
 
 def ordered_vintages(spark, sf_dir) -> DataFrame:
-    """Vintages without the rows published before their data date."""
-    return supplier_vintages(spark, sf_dir).where(F.col("realtime_start") >= F.col("date"))
+    """The same with the month of the earlier of order and shipping as data date: nothing is out before its date."""
+    return supplier_vintages(spark, sf_dir, F.least("od", "realtime_start"))
 
 
 def supplier_registry(spark, sf_dir) -> DataFrame:
@@ -147,7 +147,10 @@ CTES = {
   CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
   CAST(CASE WHEN min(l_tax) > 0 THEN sum(CAST(l_extendedprice AS DECIMAL(18,2))) END AS DOUBLE) AS value
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
-    "ovint": "SELECT * FROM vint WHERE realtime_start >= date",
+    "ovint": """SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) AS realtime_start,
+  CAST(date_trunc('month', least(CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))) AS DATE) AS date,
+  CAST(CASE WHEN min(l_tax) > 0 THEN sum(CAST(l_extendedprice AS DECIMAL(18,2))) END AS DOUBLE) AS value
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3""",
     "first": """SELECT series_id, realtime_start AS effective_date, date, value FROM ovint
   QUALIFY row_number() OVER (PARTITION BY series_id, date ORDER BY realtime_start) = 1""",
     "reg": """SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS series_id, s_name AS name, 'TABLE' AS source,
@@ -176,7 +179,6 @@ CTES = {
 }
 CTE_NEEDS = {
     "s3v": ["s3"],
-    "ovint": ["vint"],
     "first": ["ovint"],
     "shifted": ["s3", "reg"],
     "bgrid": ["shifted"],

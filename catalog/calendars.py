@@ -123,15 +123,15 @@ SELECT series_id, date, value FROM src WHERE isodow(date) < 6
     "trading_days",
     with_ctes(
         "s2",
-        body=""", src AS (SELECT * FROM s2 WHERE series_id LIKE 'A%' AND isodow(date) < 6 AND day(date) <> 4
-  UNION ALL SELECT * FROM s2 WHERE series_id NOT LIKE 'A%')"""
+        body=""", src AS (SELECT series_id, date,
+    CASE WHEN series_id NOT LIKE 'A%' OR isodow(date) < 6 AND day(date) <> 4 THEN value END AS value FROM s2)"""
         + TRADING_SQL,
     ),
 )
 def trading_days(spark, d):
-    # Series A* become five-day market series closed on the 4th, the others stay seven-day ones.
-    open_day = (F.weekday("date") < 5) & (F.dayofmonth("date") != 4)
-    return C.trading_days(ship_daily(spark, d).where(~F.col("series_id").startswith("A") | open_day))
+    # Series A* have values as five-day market series closed on the 4th have, the others stay seven-day ones.
+    has_value = ~F.col("series_id").startswith("A") | ((F.weekday("date") < 5) & (F.dayofmonth("date") != 4))
+    return C.trading_days(ship_daily(spark, d).withColumn("value", F.when(has_value, F.col("value"))))
 
 
 @query("trading_days_none", with_ctes("s2", body=", src AS (SELECT * FROM s2)" + TRADING_SQL))

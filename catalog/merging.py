@@ -8,21 +8,20 @@ from catalog.base import money, query, supplier_daily, supplier_registry, table,
 from tidemark.operators import merge as M
 from tidemark.operators import quality as Q
 
-# An older and a newer load of the supplier series: the newer one covers open
-# lines only, with another value, and holds missing values of its own.
-LOADS_SQL = """, newer AS (SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) AS date,
+# An older and a newer load of the supplier series: the newer one is dated 30 days
+# later, has another value, and holds missing values of its own.
+LOADS_SQL = """, newer AS (SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS series_id, CAST(l_shipdate AS DATE) + 30 AS date,
   CAST(CASE WHEN max(l_discount) < 0.1 THEN sum(CAST(l_quantity AS DECIMAL(18,2))) END AS DOUBLE) AS value
-  FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2)
+  FROM lineitem GROUP BY 1, 2)
 """
 
 
 def newer_load(spark, d):
     return (
         table(spark, d, "lineitem")
-        .where(F.col("l_linestatus") == "O")
         .groupBy(
             F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("series_id"),
-            F.col("l_shipdate").cast("date").alias("date"),
+            F.date_add(F.col("l_shipdate").cast("date"), 30).alias("date"),
         )
         .agg(F.when(F.max("l_discount") < 0.1, money("l_quantity")).cast("double").alias("value"))
     )
@@ -46,18 +45,15 @@ def merge_accumulate(spark, d):
     with_ctes(
         "s3",
         body=LOADS_SQL
-        + """, old AS (SELECT * FROM s3 WHERE date <= DATE '1999-12-31' AND series_id NOT LIKE '%7'),
+        + """, old AS (SELECT * FROM s3),
 ends AS (SELECT series_id, max(date) AS e FROM old GROUP BY 1),
 fresh AS (SELECT newer.* FROM newer LEFT JOIN ends USING (series_id) WHERE e IS NULL OR date >= e - 7)
 SELECT series_id, date, coalesce(n.value, o.value) AS value FROM old o FULL JOIN fresh n USING (series_id, date)""",
     ),
 )
 def merge_incremental(spark, d):
-    """A store ending in 1999, without the series ending in 7, refreshed by the newer load."""
-    old = supplier_daily(spark, d).where(
-        (F.col("date") <= F.lit("1999-12-31").cast("date")) & ~F.col("series_id").endswith("7")
-    )
-    return M.refresh(old, newer_load(spark, d))
+    """The whole store refreshed by the whole newer load, which counts from a week before each series ends."""
+    return M.refresh(supplier_daily(spark, d), newer_load(spark, d))
 
 
 @query(

@@ -34,9 +34,8 @@ def spec_of(spark, d):
 @query(
     "scorecard",
     with_ctes(
-        "s3v",
-        body=f""", {SPEC_SQL}, lv AS (SELECT series_id, max(date) AS as_of, arg_max(value, date) AS value FROM s3v
-  WHERE series_id NOT LIKE '%9' GROUP BY 1)
+        "s3",
+        body=f""", {SPEC_SQL}, s3n AS (SELECT series_id, date, CASE WHEN series_id NOT LIKE '%9' THEN value END AS value FROM s3), lv AS (SELECT series_id, max(date) AS as_of, arg_max(value, date) AS value FROM s3n WHERE value IS NOT NULL GROUP BY 1)
 SELECT card, label, CASE WHEN a.value IS NOT NULL THEN coalesce(b.as_of, a.as_of) END AS as_of, round(a.value * scale, 6) AS value,
   CASE WHEN a.value IS NULL OR rule = 'none' THEN ''
     WHEN rule IN ('high', 'floor') THEN CASE WHEN a.value * scale >= threshold THEN 'r' ELSE 'g' END
@@ -48,7 +47,7 @@ FROM spec LEFT JOIN lv a ON a.series_id = spec.series_id LEFT JOIN lv b ON b.ser
 )
 def scorecard(spark, d):
     """Suppliers ending in 9 have no values and stay as blank rows."""
-    panel = supplier_daily(spark, d).where(~F.col("series_id").endswith("9"))
+    panel = supplier_daily(spark, d).withColumn("value", F.when(~F.col("series_id").endswith("9"), F.col("value")))
     return M.scorecard(panel, spec_of(spark, d)).withColumn("value", F.round("value", 6))
 
 

@@ -175,8 +175,7 @@ def positions_panel(spark, d):
 @query(
     "scan_filtered",
     """SELECT l_shipdate, l_orderkey, l_linenumber, l_quantity FROM lineitem
-WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '1998-01-01'
-ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity LIMIT 50000""",
+WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '1998-01-01'""",
 )
 def scan_filtered(spark, d):
     lines = table(spark, d, "lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,13 @@ ADF_SCHEMA = (
 )
 
 
-def _first_and_last(vintages: DataFrame) -> DataFrame:
-    """First and latest release per data date in one combinable aggregation."""
+def _first_and_last(vintages: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
+    """First and latest release per data date in one combinable aggregation; ``ties`` orders releases of one day."""
+    order = F.struct("realtime_start", *ties) if ties else F.col("realtime_start")
     return vintages.groupBy("series_id", "date").agg(
         F.min("realtime_start").alias("effective_date"),
-        F.min_by("value", "realtime_start").alias("first_value"),
-        F.max_by("value", "realtime_start").alias("latest_value"),
+        F.min_by("value", order).alias("first_value"),
+        F.max_by("value", order).alias("latest_value"),
     )
 
 
@@ -29,24 +32,24 @@ def _revised(first: str = "first_value", latest: str = "latest_value"):
     return (F.round(first, 4) != F.round(latest, 4)).cast("double")
 
 
-def revision_rate(vintages: DataFrame) -> DataFrame:
+def revision_rate(vintages: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
     """Share of data dates whose first and latest release differ."""
     return (
-        _first_and_last(vintages)
+        _first_and_last(vintages, ties)
         .withColumn("revised", _revised())
         .groupBy("series_id")
         .agg(F.count("revised").alias("n_both"), F.avg("revised").alias("revised_share"))
     )
 
 
-def lag_sweep(vintages: DataFrame, registry: DataFrame, since: str | None = None, default_lag: int = 1) -> DataFrame:
+def lag_sweep(vintages: DataFrame, registry: DataFrame, since: str | None = None, default_lag: int = 1, ties: Sequence[str] = ()) -> DataFrame:
     """Measured against configured publication lag for every registered series.
 
     Measures data dates from ``since`` on: count, median and 90th percentile of
     days to first release (truncated to whole days), share revised.  A series
     without a configured lag is compared with ``default_lag``.
     """
-    ends = _first_and_last(vintages)
+    ends = _first_and_last(vintages, ties)
     recent = F.lit(True) if since is None else F.col("date") >= F.to_date(F.lit(since))
     lag_days = F.when(recent, F.datediff("effective_date", "date"))
     measured = (

@@ -16,9 +16,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Up to this width the plain sliding frame is as fast as the block form.
-SLIDING_MAX = 48
-
 
 def by_date(key: str = "series_id") -> WindowSpec:
     """Rows of one key in date order: at most one per calendar day."""
@@ -84,15 +81,6 @@ def rolling_moments(
         raise ValueError(f"window must be >= 1 and lag >= 0, got {window} and {lag}")
     by = [by] if isinstance(by, str) else list(by)
     rows = Window.partitionBy(*by).orderBy(order)
-    if isinstance(window, int) and window <= SLIDING_MAX:
-        frame = rows.rowsBetween(-(window - 1) - lag, -lag)
-        return df.withColumns(
-            {
-                "roll_n": F.count(value).over(frame),
-                "roll_mean": F.avg(value).over(frame),
-                "roll_std": F.stddev_samp(value).over(frame),
-            }
-        )
     width = F.lit(window) if isinstance(window, int) else F.col(window)
     block = Window.partitionBy(*by, "__block")
     head = block.orderBy("__pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)

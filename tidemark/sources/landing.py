@@ -39,7 +39,6 @@ CONTRACTS = {
     "020601": "UST_Bond_30Y",
     "043607": "UST_Ultra_10Y",
 }
-SOURCE_ROW_LIMIT = 50_000
 
 MARGIN_SHEET = "year_month string, debit string, fc_cash string, fc_margin string"
 
@@ -114,10 +113,9 @@ def normalize_positions(raw: DataFrame) -> DataFrame:
     return typed.withColumns(nets).select("contract", "date", *columns)
 
 
-def scan_filtered(df: DataFrame, key: str, wanted, date: str, start: str, limit: int = SOURCE_ROW_LIMIT) -> DataFrame:
-    """The provider's own row selection: one key from a start date on, oldest first, capped."""
-    chosen = df.where((F.col(key) == wanted) & (F.col(date) >= F.lit(start).cast(df.schema[date].dataType)))
-    return chosen.orderBy(*[date, *[c for c in df.columns if c not in (date, key)]]).limit(limit)
+def scan_filtered(df: DataFrame, key: str, wanted, date: str, start: str) -> DataFrame:
+    """The provider's own row selection: every row of one key from a start date on; both filters reach the scan."""
+    return df.where((F.col(key) == wanted) & (F.col(date) >= F.lit(start).cast(df.schema[date].dataType)))
 
 
 def positions_panel(positions: DataFrame, labels: dict[str, str]) -> DataFrame:

@@ -58,10 +58,13 @@ def write_features(features: DataFrame, path: str, buckets: int = BUCKETS, mode:
     write_store(features, path, ["series_id", "transform", "date"], buckets, mode)
 
 
-def _read(spark: SparkSession, path: str, schema, series: Sequence[str] | None, buckets: int) -> DataFrame:
-    # A file that cannot be read is skipped and logged; the rest of the store stays usable.
+def _read(spark: SparkSession, path: str, schema, series: Sequence[str] | None, buckets: int, bad: Sequence[str] = ()) -> DataFrame:
+    """The store's rows; a damaged file fails the job, unless it is one of ``bad``, which are left out."""
     with_bucket = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
-    df = spark.read.schema(with_bucket).option("ignoreCorruptFiles", "true").parquet(path)
+    df = spark.read.schema(with_bucket).parquet(path)
+    if bad:
+        good = [f for f in df.inputFiles() if f not in set(bad)]
+        df = spark.read.schema(with_bucket).option("basePath", path).parquet(*good) if good else spark.createDataFrame([], with_bucket)
     if series is not None:
         # The hashes are constants to the optimizer, so this prunes folders.
         buckets_of = [_bucket(F.lit(i), buckets) for i in series]
@@ -69,15 +72,37 @@ def _read(spark: SparkSession, path: str, schema, series: Sequence[str] | None,
     return df.drop("bucket")
 
 
+def damaged_files(spark: SparkSession, path: str, schema: T.StructType = PANEL) -> list[str]:
+    """Paths of the files below ``path`` that cannot be read to their end: the quarantine list of a repair.
+
+    Each file is read by a job of its own, as one job over all of them stops at
+    the first bad one.  Meant for a store that a normal read has refused.
+    """
+    bad = []
+    for name in spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).inputFiles():
+        try:
+            spark.read.schema(schema).parquet(name).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # Spark wraps whatever the file format found wrong
+            if "FAILED_READ_FILE" not in str(e) and "is not a Parquet file" not in str(e):
+                raise
+            bad.append(name)
+    return sorted(bad)
+
+
 def read_panel(
     spark: SparkSession,
     path: str,
     series: Sequence[str] | None = None,
     skip_prefix: str | None = None,
     buckets: int = BUCKETS,
+    quarantined: Sequence[str] = (),
 ) -> DataFrame:
-    """Stored panel; ``series`` prunes folders, ``skip_prefix`` leaves a family of ids out."""
-    df = _read(spark, path, PANEL, series, buckets)
+    """Stored panel; ``series`` prunes folders, ``skip_prefix`` leaves a family of ids out.
+
+    A damaged file fails the job.  To go on without some, name them as
+    ``quarantined`` (see ``damaged_files``).
+    """
+    df = _read(spark, path, PANEL, series, buckets, quarantined)
     return df if skip_prefix is None else df.where(~F.col("series_id").startswith(skip_prefix))
 
 
@@ -120,7 +145,7 @@ def open_panel_table(spark: SparkSession, table: str, path: str, buckets: int =
 
 def stack_series_files(spark: SparkSession, folder: str, skip_prefix: str | None = None) -> DataFrame:
     """One parquet file per series (``date``, ``value``), the series id being the file stem."""
-    files = spark.read.schema("date date, value double").option("ignoreCorruptFiles", "true").parquet(folder)
+    files = spark.read.schema("date date, value double").parquet(folder)
     stem = F.regexp_extract(F.input_file_name(), r"([^/]+)\.parquet$", 1)
     df = files.select(stem.alias("series_id"), "date", "value")
     return df if skip_prefix is None else df.where(~F.col("series_id").startswith(skip_prefix))
