@@ -4,6 +4,7 @@ from catalog.base import QUERIES, SQL  # noqa: F401
 from catalog import (  # noqa: F401
     calendars,
     composed,
+    guards,
     jobs,
     merging,
     monitoring,

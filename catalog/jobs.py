@@ -30,29 +30,17 @@ from tidemark.streaming.resample import resample_stream, utc_day
 
 # --- warehouse ----------------------------------------------------------------
 
-_STORED: dict[tuple, object] = {}
-
-
-def stored(spark, d, name, build):
-    """A table built once per session and kept in the shared folder, as a warehouse would."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _STORED:
-        _STORED[key] = materialize(build(), name)
-    return _STORED[key]
+LOADED_AT = "2024-01-01 00:00:00"
 
 
 def fact(spark, d):
     """Stamped feature table of all supplier series."""
     registry = supplier_registry(spark, d)
     panel, vintages = supplier_daily(spark, d), ordered_vintages(spark, d)
-
-    def build():
-        pit = materialize(pit_panel(panel, vintages, registry), "pit")
-        features = apply_transforms(pit, registry, "fm")
-        published = W.publications(panel, vintages, registry, business_prefix="S1")
-        return W.fact_table(features, published, registry)
-
-    return stored(spark, d, "fact", build)
+    pit = materialize(pit_panel(panel, vintages, registry), "pit")
+    features = apply_transforms(pit, registry, "fm", check_frequency=False)
+    published = W.publications(panel, vintages, registry, business_prefix="S1")
+    return W.fact_table(features, published, registry, LOADED_AT)
 
 
 _FEATURES = SQL["features_fm"]
@@ -62,10 +50,12 @@ FACT_SQL = (
     + f""", {HOLIDAYS_SQL},
 ord AS (SELECT days.d, count(bdays.d) OVER (ORDER BY days.d) AS k FROM days LEFT JOIN bdays ON days.d = bdays.d),
 feat AS (SELECT * FROM ({_TAIL} WHERE value IS NOT NULL),
-pub AS (SELECT DISTINCT series_id, CASE WHEN starts_with(series_id, 'S1') THEN b.d ELSE sh.date END AS release_date
+pub AS (SELECT series_id, release_date, max(obs_date) AS obs_date FROM (
+  SELECT series_id, CASE WHEN starts_with(series_id, 'S1') THEN b.d ELSE sh.date END AS release_date, sh.obs_date
     FROM shifted sh JOIN ord ON sh.obs_date = ord.d JOIN bdays b ON b.k = ord.k + 3 WHERE sh.value IS NOT NULL
-  UNION SELECT series_id, effective_date FROM first WHERE series_id IN (SELECT series_id FROM reg WHERE is_vintage)),
-fact AS (SELECT f.series_id, f.date, f.transform, f.value, p.release_date, reg.category AS block
+  UNION ALL SELECT series_id, effective_date, date FROM first WHERE series_id IN (SELECT series_id FROM reg WHERE is_vintage))
+  GROUP BY 1, 2),
+fact AS (SELECT f.series_id, f.date, f.transform, f.value, p.release_date, p.obs_date, reg.category AS block, 'TABLE' AS source
   FROM feat f ASOF JOIN pub p ON f.series_id = p.series_id AND f.date >= p.release_date JOIN reg ON reg.series_id = f.series_id)
 """
 )
@@ -83,7 +73,8 @@ def dim_indicators(spark, d):
 
 @query(
     "fact_table",
-    FACT_SQL + "SELECT series_id, date, transform, round(value, 5) AS value, release_date, block FROM fact",
+    FACT_SQL
+    + f"SELECT series_id, date, transform, round(value, 5) AS value, release_date, obs_date, block, source, '{LOADED_AT}' AS fetched_at FROM fact",
 )
 def fact_table(spark, d):
     return fact(spark, d).withColumn("value", F.round("value", 5))
@@ -105,8 +96,8 @@ def q_series_by_block(spark, d):
 @query(
     "q_lag_distribution",
     FACT_SQL
-    + """SELECT series_id, round(avg(release_date - date), 1) AS avg_lag_days, CAST(max(release_date - date) AS INTEGER) AS max_lag_days,
-  CAST(min(release_date - date) AS INTEGER) AS min_lag_days
+    + """SELECT series_id, round(avg(release_date - obs_date), 1) AS avg_lag_days, CAST(max(release_date - obs_date) AS INTEGER) AS max_lag_days,
+  CAST(min(release_date - obs_date) AS INTEGER) AS min_lag_days
 FROM fact WHERE transform = 'level' GROUP BY 1 ORDER BY avg_lag_days DESC, series_id LIMIT 20""",
 )
 def q_lag_distribution(spark, d):
@@ -117,7 +108,7 @@ def q_lag_distribution(spark, d):
     "q_lag_vs_config",
     FACT_SQL
     + f""", dim AS ({DIM_SQL})
-SELECT f.series_id, pit_path, publication_lag AS std_config_lag, round(avg(release_date - date), 1) AS empirical_lag, real_lag_days AS sweep_lag
+SELECT f.series_id, pit_path, publication_lag AS std_config_lag, round(avg(release_date - obs_date), 1) AS empirical_lag, real_lag_days AS sweep_lag
 FROM fact f JOIN dim USING (series_id) WHERE transform = 'level' GROUP BY 1, 2, 3, 5""",
 )
 def q_lag_vs_config(spark, d):
@@ -182,22 +173,18 @@ def macro_daily(spark, d):
     """All lines dealt out to the registry's indicators by supplier; the value is the line value in thousands."""
     key = (F.col("l_suppkey") % len(MACRO_IDS) + 1).cast("int")
     price = F.col("l_extendedprice").cast("decimal(18,2)")
-
-    def build():
-        return (
-            table(spark, d, "lineitem")
-            .groupBy(
-                F.element_at(F.array(*[F.lit(i) for i in MACRO_IDS]), key).alias("series_id"),
-                F.col("l_shipdate").cast("date").alias("date"),
-            )
-            .agg((F.sum(price).cast("double") / 1000.0).alias("value"))
+    return (
+        table(spark, d, "lineitem")
+        .groupBy(
+            F.element_at(F.array(*[F.lit(i) for i in MACRO_IDS]), key).alias("series_id"),
+            F.col("l_shipdate").cast("date").alias("date"),
         )
-
-    return stored(spark, d, "macro", build)
+        .agg((F.sum(price).cast("double") / 1000.0).alias("value"))
+    )
 
 
 def derived(spark, d):
-    return stored(spark, d, "derived", lambda: B.derived_panel(macro_daily(spark, d), CUTOVER))
+    return B.derived_panel(materialize(macro_daily(spark, d), "macro"), CUTOVER)
 
 
 def _z(source: str, need: int, frame: str) -> str:
@@ -330,9 +317,15 @@ def macro_scorecard(spark, d):
 # --- streams ----------------------------------------------------------------------
 
 
-def event_stream(spark, d):
-    schema = table(spark, d, "events").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+def event_stream(spark, d, landed_files=None):
+    """The events as a stream; landed in so many files, out of order, and read one after the other, if asked for."""
+    events = table(spark, d, "events")
+    if landed_files:
+        path = scratch_path(spark, "landed")
+        events.repartition(landed_files, "event_id" if "event_id" in events.columns else "ts").write.parquet(path)
+        files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    else:
+        files = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
     # A watermark needs an instant: the wall clock is read as UTC in any session.
     return files.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
 
@@ -344,7 +337,7 @@ def event_stream(spark, d):
 )
 def stream_merge(spark, d):
     """Events as observations of their user's day; an error event is a missing value."""
-    seen = event_stream(spark, d).select(
+    seen = event_stream(spark, d, landed_files=3).select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("series_id"),
         utc_day(F.col("ts")).alias("date"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("value"),

@@ -181,7 +181,7 @@ def features_fm(spark, d):
     registry = supplier_registry(spark, d)
     # Stored first, as a pipeline does: the transforms read it several times.
     panel = materialize(P.pit_panel(supplier_daily(spark, d), ordered_vintages(spark, d), registry), "pit")
-    return apply_transforms(panel.drop("obs_date"), registry, "fm").select(
+    return apply_transforms(panel.drop("obs_date"), registry, "fm", check_frequency=False).select(
         "series_id", "transform", "date", r("value", 5)
     )
 

@@ -238,5 +238,6 @@ SELECT series_id, transform, date, round(value, 5) AS value FROM (
 )
 def features_mon(spark, d):
     panel = materialize(supplier_daily(spark, d), "panel")
-    out = apply_transforms(panel, supplier_registry(spark, d), "mon")
+    # Ship days are irregular on purpose: resampling is what the query shows.
+    out = apply_transforms(panel, supplier_registry(spark, d), "mon", check_frequency=False)
     return out.select("series_id", "transform", "date", r("value", 5))

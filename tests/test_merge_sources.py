@@ -119,14 +119,33 @@ def test_bucketed_table_needs_no_shuffle(spark, panel_of):
     assert "Exchange" not in again.groupBy("series_id").count()._jdf.queryExecution().executedPlan().toString()
 
 
-def test_one_unreadable_file_does_not_stop_a_scan(spark, tmp_path):
+def test_an_unreadable_file_fails_the_scan_and_can_be_put_in_quarantine(spark, tmp_path):
     for name in ("GOOD", "prefix_A"):
         pd.DataFrame({"date": [day("2024-01-01")], "value": [1.0]}).to_parquet(tmp_path / f"{name}.parquet")
     (tmp_path / "BAD.parquet").write_bytes(b"not parquet at all")
-    got = S.stack_series_files(spark, str(tmp_path), skip_prefix="prefix_").collect()
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
+        S.stack_series_files(spark, str(tmp_path), skip_prefix="prefix_").collect()
+    bad = S.damaged_files(spark, str(tmp_path), "date date, value double")
+    assert [b.rsplit("/", 1)[1] for b in bad] == ["BAD.parquet"]
+    (tmp_path / "BAD.parquet").rename(tmp_path / "BAD.txt")
+    got = S.stack_series_files(spark, str(tmp_path / "*.parquet"), skip_prefix="prefix_").collect()
     assert [(r.series_id, r.value) for r in got] == [("GOOD", 1.0)]
 
 
+def test_a_damaged_store_is_refused_and_repaired(spark, tmp_path, panel_of):
+    path = str(tmp_path / "store")
+    S.write_panel(panel_of({k: pd.Series(1.0, index=pd.date_range("2024-01-01", periods=5)) for k in "abcdefgh"}), path, buckets=4)
+    names = sorted(p for p in (tmp_path / "store").rglob("*.parquet"))
+    whole = S.read_panel(spark, path, buckets=4).count()
+    lost = spark.read.parquet(str(names[0])).count()
+    names[0].write_bytes(names[0].read_bytes()[:40])
+    with pytest.raises(Exception, match="not a Parquet file|FAILED_READ_FILE"):
+        S.read_panel(spark, path, buckets=4).collect()
+    bad = S.damaged_files(spark, path)
+    assert [b.rsplit("/", 1)[1] for b in bad] == [names[0].name]
+    assert whole == 40 and S.read_panel(spark, path, buckets=4, quarantined=bad).count() == whole - lost
+
+
 def test_report(spark, tmp_path):
     S.write_report(spark.createDataFrame([("a", 1.5)], "k string, v double"), str(tmp_path / "r"))
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).collect()[0].v == "1.5"

@@ -8,12 +8,13 @@ from conftest import collect, day, walk
 from pyspark.sql import functions as F
 
 from tidemark.operators import stats as T
+from tidemark.operators.pit import pit_panel
 from tidemark.plans import pipeline
 from tidemark.plans import warehouse as W
 from tidemark.session import scratch_path
 from tidemark.sources import store as S
-from tidemark.streaming.merge import merge_stream, read_merged
-from tidemark.streaming.resample import resample_stream
+from tidemark.streaming.merge import compact, merge_stream, read_merged
+from tidemark.streaming.resample import late_rows, resample_stream
 
 
 def ols_t(y, p):
@@ -95,10 +96,23 @@ def test_fact_stamps_the_publication_behind_a_value(spark, panel_of, vintages_of
     features = panel_of(
         {k: pd.Series(1.0, index=pd.date_range("2024-01-03", "2024-01-11")) for k in ("f", "v")}
     ).select("series_id", F.lit("level").alias("transform"), "date", "value")
-    got = W.fact_table(features, W.publications(raw, v, reg), reg)
+    got = W.fact_table(features, W.publications(raw, v, reg), reg, "2024-02-01")
     stamps = {(r.series_id, r.date.day): r.release_date.day for r in got.collect()}
     assert stamps == {("f", d): 4 for d in range(4, 10)} | {("f", d): 10 for d in (10, 11)} | {("v", d): 5 for d in range(5, 12)}
     assert {r.block: r.n_series for r in W.series_by_block(got).collect()} == {"rates": 1, "macro": 1}
+    assert {(r.source, r.fetched_at) for r in got.collect()} == {("FRED", "2024-02-01")}
+
+
+def test_a_series_with_lag_25_reports_25(panel_of, vintages_of, registry_of):
+    reg = registry_of({"m": {"lag": 25, "frequency": "M"}, "b": {"lag": 0}})
+    raw = panel_of({"m": walk(24, freq="MS"), "b": walk(600)})
+    pit = pit_panel(raw, None, reg)
+    features = pit.select("series_id", F.lit("level").alias("transform"), "date", "value")
+    fact = W.fact_table(features, W.publications(raw, vintages_of([]), reg), reg, "2024-02-01")
+    got = {r.series_id: (r.avg_lag_days, r.min_lag_days, r.max_lag_days) for r in W.lag_distribution(fact).collect()}
+    assert got == {"m": (25.0, 25, 25), "b": (0.0, 0, 0)}
+    compared = W.lag_vs_config(fact, W.dim_indicators(reg)).collect()
+    assert {r.series_id: (r.std_config_lag, r.empirical_lag) for r in compared} == {"m": (25, 25.0), "b": (0, 0.0)}
 
 
 def test_preview_equals_the_pairs_it_avoids(spark):
@@ -180,10 +194,22 @@ def test_stream_merge_folds_late_revisions(spark, tmp_path):
     land([("a", "2024-01-01", 1.0, "2024-01-02 09:00:00"), ("a", "2024-01-01", 1.5, "2024-01-02 10:00:00"), ("a", "2024-01-02", 2.0, "2024-01-03 09:00:00")])
     land([("a", "2024-01-01", None, "2024-01-05 09:00:00"), ("a", "2024-01-02", 2.5, "2024-01-05 09:00:00")])
     assert collect(read_merged(spark, log), "value") == {("a", day("2024-01-01")): 1.5, ("a", day("2024-01-02")): 2.5}
-    # Beyond seven days behind the newest event a revision is too late.
-    land([("a", "2024-01-09", 9.0, "2024-01-20 09:00:00")])
-    land([("a", "2024-01-01", 7.0, "2024-01-02 12:00:00")])
-    assert collect(read_merged(spark, log), "value")[("a", day("2024-01-01"))] == 1.5
+    # However late, a row is merged by its own time: it replaces older values and yields to newer ones.
+    land([("a", "2024-01-09", 9.0, "2024-01-20 09:00:00"), ("b", "2023-06-01", 4.0, "2023-06-02 09:00:00")])
+    land([("a", "2024-01-01", 7.0, "2024-01-02 12:00:00"), ("a", "2024-01-02", 0.5, "2024-01-02 12:00:00")])
+    # One instant with and without a value.
+    land([("c", "2024-01-03", None, "2024-01-04 09:00:00"), ("c", "2024-01-03", 7.0, "2024-01-04 09:00:00")])
+    want = {
+        ("a", day("2024-01-01")): 7.0,
+        ("a", day("2024-01-02")): 2.5,
+        ("a", day("2024-01-09")): 9.0,
+        ("b", day("2023-06-01")): 4.0,
+        ("c", day("2024-01-03")): 7.0,
+    }
+    assert collect(read_merged(spark, log), "value") == want
+    base = str(tmp_path / "base")
+    compact(spark, log, base)
+    assert collect(read_merged(spark, base), "value") == want and collect(read_merged(spark, base, log), "value") == want
 
 
 def test_stream_resample_emits_closed_days_only(spark, tmp_path):
@@ -197,3 +223,22 @@ def test_stream_resample_emits_closed_days_only(spark, tmp_path):
     )
     q.awaitTermination()
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(day("2024-01-01"), "k", 9.0, 2)]
+    assert late_rows(q) == 0
+
+
+def test_late_rows_of_a_closed_window_are_counted(spark, tmp_path):
+    src, schema = str(tmp_path / "in"), "ts timestamp, key string, value double"
+
+    def land(*hours):
+        rows = [(dt.datetime(2024, 1, d, h), "k", 1.0) for d, h in hours]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        q = (
+            resample_stream(spark.readStream.schema(schema).parquet(src), "key", "value").writeStream.format("parquet")
+            .outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
+            .start(str(tmp_path / "out"))
+        )
+        q.awaitTermination()
+        return late_rows(q)
+
+    assert land((1, 3), (9, 1)) == 0
+    assert land((1, 5), (1, 6), (9, 2)) > 0

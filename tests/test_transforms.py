@@ -114,6 +114,21 @@ def test_frequency_check(panel_of, registry_of):
     assert {r.series_id: r.ok for r in got} == {"ok": True, "bad": False, "short": True}
 
 
+def test_dispatch_refuses_a_misdeclared_series(panel_of, registry_of):
+    weekly = walk(60, freq="7D")
+    for frequency, fits in (("W", True), ("D", False), ("M", False)):
+        reg = registry_of({"a": {"frequency": frequency, "transforms": ["zscore_rolling_1y"]}})
+        out = apply_transforms(panel_of({"a": weekly}), reg, "mon")
+        if fits:
+            assert out.count() > 0
+        else:
+            with pytest.raises(Exception, match="is declared"):
+                out.collect()
+        assert apply_transforms(panel_of({"a": weekly}), reg, "mon", check_frequency=False).count() > 0
+    reg = registry_of({"a": {"frequency": "D", "transforms": ["zscore_rolling_1y"]}, "b": {"frequency": "D", "transforms": ["diff"]}})
+    assert apply_transforms(panel_of({"a": weekly.iloc[:2], "b": weekly}), reg, "mon").count() > 0
+
+
 def test_window_rows(spark):
     assert [X.resolve_window(f, 1) for f in "DWMQ"] == [252, 52, 12, 4]
     assert X.resolve_window("M", 5) == 60

@@ -83,12 +83,8 @@ def asof_last(
 
 
 def calendar_side(df: DataFrame, date: str = "date", name: str = "date") -> DataFrame:
-    """Distinct days of ``df``, to be broadcast.
-
-    The bound is the calendar, not the data: a century is about 37,000 rows of
-    four bytes, all dates the type can hold under four million.
-    """
-    return F.broadcast(df.select(F.col(date).alias(name)).distinct())
+    """Distinct days of ``df``; adaptive execution broadcasts them when they are measurably few."""
+    return df.select(F.col(date).alias(name)).distinct()
 
 
 def validity(rows: DataFrame, start: str, ties: Sequence[str] = (), end: Column | None = None, key: str = "series_id") -> DataFrame:

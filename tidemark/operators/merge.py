@@ -54,6 +54,15 @@ def splice(canonical: DataFrame, deep: DataFrame, index: DataFrame | None = None
     return out if index is None else out.join(calendar_side(index), "date", "left_semi").select(*KEY, "value")
 
 
+def splice_origin(canonical: DataFrame, deep: DataFrame) -> DataFrame:
+    """As ``splice`` without an index, with the store each value comes from in ``origin``."""
+    both = canonical.select(*KEY, "value", F.lit("canonical").alias("origin"), F.lit(1).alias("rank")).unionByName(
+        deep.select(*KEY, "value", F.lit("deep").alias("origin"), F.lit(0).alias("rank"))
+    )
+    rank = F.when(F.col("value").isNotNull(), F.col("rank"))
+    return both.groupBy(*KEY).agg(F.max_by("value", rank).alias("value"), F.max_by("origin", rank).alias("origin"))
+
+
 def splice_monthly(canonical: DataFrame, deep: DataFrame) -> DataFrame:
     """Splice at month ends, not held to the canonical calendar."""
     return splice(resample_last(canonical, "ME"), resample_last(deep, "ME"))

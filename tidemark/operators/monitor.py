@@ -122,7 +122,7 @@ def interval_label(events: DataFrame, intervals: DataFrame, date: str = "peak_da
         .groupBy(date)
         .agg(F.min("__named").getField("name").alias("interval_name"))
     )
-    return events.join(F.broadcast(named), date, "left").select(*events.columns, "interval_name")
+    return events.join(named, date, "left").select(*events.columns, "interval_name")
 
 
 def interval_clip(panel: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ anything is written.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,29 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def missing_lags(panel: DataFrame, registry: DataFrame) -> DataFrame:
+    """Series of the panel that cannot be lagged: not registered, or without a lag and not of vintages."""
+    known = registry.where(F.col("lag").isNotNull() | F.col("is_vintage")).select("series_id")
+    return panel.select("series_id").distinct().join(known, "series_id", "left_anti")
+
+
+def required_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, present, n_rows, n_missing`` for each of ``columns``: is it there, and in how many rows without a value."""
+    counts = [F.count(F.lit(1)).alias("n_rows")]
+    counts += [(F.count_if(F.col(c).isNull()) if c in df.columns else F.count(F.lit(1))).alias(f"m{i}") for i, c in enumerate(columns)]
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.lit(c in df.columns).alias("present"), "n_rows", F.col(f"m{i}").alias("n_missing"))
+        for i, c in enumerate(columns)
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def empty_sources(panel: DataFrame, registry: DataFrame) -> DataFrame:
+    """Registered series without any value: ``series_id, source``."""
+    valued = panel.where(F.col("value").isNotNull()).select("series_id").distinct()
+    return registry.select("series_id", "source").join(valued, "series_id", "left_anti")
+
+
 def series_coverage(panel: DataFrame) -> DataFrame:
     """First and last date with a value, number of values and latest value per series."""
     return (

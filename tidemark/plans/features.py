@@ -15,7 +15,7 @@ from tidemark.functions.names import SUFFIX
 from tidemark.functions.numeric import pct_change
 from tidemark.operators.asof import calendar_side, spread_on_days, validity
 from tidemark.operators.calendar import to_native
-from tidemark.operators.transforms import rolling_zscore, window_rows
+from tidemark.operators.transforms import frequency_check, rolling_zscore, window_rows
 from tidemark.operators.windows import by_date, expanding_moments
 
 MODES = {"mon": "mon_transforms", "fm": "fm_transforms"}
@@ -115,8 +115,32 @@ def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Col
     )
 
 
+def _frequency_kept(panel: DataFrame, spec: DataFrame) -> DataFrame:
+    """``spec``, failing the job on a rolling window asked for a series whose dates contradict its declared frequency.
+
+    The dates are those of the data: ``obs_date`` where the panel is already
+    held over a grid, else ``date``.
+    """
+    observed = "obs_date" if "obs_date" in panel.columns else "date"
+    dates = panel.where(F.col("value").isNotNull()).select("series_id", F.col(observed).alias("date"), "value")
+    dates = dates.groupBy("series_id", "date").agg(F.first("value").alias("value"))
+    found = frequency_check(dates, spec).select("series_id", "median_gap", "expected_gap", "ok")
+    message = F.concat_ws(
+        "", F.lit("series "), "series_id", F.lit(" is declared "), "frequency", F.lit(" but its dates are "),
+        F.col("median_gap").cast("string"), F.lit(" days apart (median)"),
+    )
+    wrong = _wants(*ROLLING_YEARS) & ~F.coalesce("ok", F.lit(True))
+    kept = F.when(wrong, F.raise_error(message).cast("array<string>")).otherwise(F.col("transforms"))
+    return spec.join(found, "series_id", "left").select("series_id", "frequency", kept.alias("transforms"))
+
+
 def apply_transforms(
-    panel: DataFrame, registry: DataFrame, mode: str, lag: int = 0, month_rule: str = "ME"
+    panel: DataFrame,
+    registry: DataFrame,
+    mode: str,
+    lag: int = 0,
+    month_rule: str = "ME",
+    check_frequency: bool = True,
 ) -> DataFrame:
     """All configured transforms of all registered series, long: ``series_id, transform, date, value``.
 
@@ -125,12 +149,18 @@ def apply_transforms(
     also yields its level.  Values computed at native frequency are held over the
     panel's dates from the end of their period on, so none shows early.  The
     panel is read several times: pass a stored one, not a long computation.
+
+    A rolling window asked for a series whose dates contradict its declared
+    frequency fails the job; ``check_frequency=False`` is for irregular series
+    that are meant to be resampled.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}, got {mode!r}")
     if mode == "fm" and month_rule != "ME":
         raise ValueError(f"month rule {month_rule!r} shows a month before it is over; features need 'ME'")
     spec = registry.select("series_id", "frequency", _checked(MODES[mode]).alias("transforms"))
+    if check_frequency:
+        spec = _frequency_kept(panel, spec)
     grid = panel.select("date")
     end = panel.agg(F.max("date")).scalar()
     labelled = _native_transforms(panel, spec, lag, end, month_rule)

@@ -23,6 +23,7 @@ def run(
     buckets: int = store.BUCKETS,
     mode: str = "errorifexists",
     tables: str | None = None,
+    check_frequency: bool = True,
 ) -> dict[str, str]:
     """Write the raw, monitoring, point-in-time and feature tables below ``out``; returns their paths.
 
@@ -53,11 +54,12 @@ def run(
         panel = joined
     raw = stored(panel, "raw")
 
-    store.write_features(apply_transforms(raw, registry, "mon"), paths["monitoring"], buckets, mode)
+    store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency), paths["monitoring"], buckets, mode)
 
     pit = pit_panel(raw, vintages, registry)
     if floors is not None:
         enforce(coverage_violations(pit, floors), "protected history is too short")
-    features = apply_transforms(stored(pit, "pit"), registry, "fm")
+    # The stored grid is daily for every series; their own dates were checked above.
+    features = apply_transforms(stored(pit, "pit"), registry, "fm", check_frequency=False)
     store.write_features(features, paths["features"], buckets, mode)
     return paths

@@ -5,38 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import accumulate_by
+STATE = "series_id string, date date, value double, ts timestamp, load_seq long"
 
-STATE = "series_id string, date date, value double, load_seq long"
 
+def _folded(rows: DataFrame, *order: str) -> DataFrame:
+    """``series_id, date, value, ts``: the value observed last, and when; a missing value never replaces one.
 
-def merge_stream(
-    spark: SparkSession, observations: DataFrame, log_path: str, checkpoint: str, late: str = "7 days", time: str = "ts"
-):
+    Two values of one instant are settled by ``order`` after the time, then by
+    the larger value, so the result does not depend on the order of arrival.
+    """
+    seen = F.struct("ts", *order, "value")
+    last = F.max(F.when(F.col("value").isNotNull(), seen))
+    return (
+        rows.groupBy("series_id", "date")
+        .agg(last.alias("last"), F.max("ts").alias("missing_at"))
+        .select("series_id", "date", "last.value", F.coalesce("last.ts", "missing_at").alias("ts"))
+    )
+
+
+def merge_stream(spark: SparkSession, observations: DataFrame, log_path: str, checkpoint: str, time: str = "ts"):
     """Start a query appending each micro-batch, already merged within itself, to a log of loads.
 
     A load is written under its batch number and replaces what a failed attempt
     of the same batch left there, so a batch replayed after a failure does not
-    count twice.  Rows later than ``late`` behind the newest event are dropped
-    by the watermark.  ``read_merged`` folds the log.
+    count twice.  However late a row comes, it is merged by its own time; the
+    query keeps no state.  ``read_merged`` folds the log, ``compact`` shortens it.
     """
 
     def write_load(batch: DataFrame, batch_id: int) -> None:
-        merged = accumulate_by(batch.withColumn("__order", F.col(time)), "__order")
+        merged = _folded(batch.withColumn("ts", F.col(time).cast("timestamp")))
         merged.withColumn("load_seq", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
             f"{log_path}/load={batch_id}"
         )
 
-    kept = observations.withWatermark(time, late).dropDuplicatesWithinWatermark(["series_id", "date", time])
     return (
-        kept.writeStream.foreachBatch(write_load)
+        observations.writeStream.foreachBatch(write_load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_merged(spark: SparkSession, log_path: str) -> DataFrame:
-    """The panel the log stands for: newest load wins where it has a value."""
-    log = spark.read.schema(STATE).option("basePath", log_path).option("recursiveFileLookup", "true").parquet(log_path)
-    return accumulate_by(log, "load_seq")
+def _log(spark: SparkSession, *paths: str) -> DataFrame:
+    return spark.read.schema(STATE).option("recursiveFileLookup", "true").parquet(*paths)
+
+
+def read_merged(spark: SparkSession, *log_paths: str) -> DataFrame:
+    """The panel the logs stand for: the value observed last, of one instant that of the later load."""
+    return _folded(_log(spark, *log_paths), "load_seq").select("series_id", "date", "value")
+
+
+def compact(spark: SparkSession, log_path: str, target: str) -> None:
+    """Fold a log, its query stopped, into one load at ``target``, to be read along with the log that goes on."""
+    folded = _folded(_log(spark, log_path), "load_seq")
+    folded.withColumn("load_seq", F.lit(-1).cast("long")).write.mode("errorifexists").parquet(target)
