@@ -66,23 +66,29 @@ def from_turns(table: DataFrame, key: str = "conv_id", turn: str = "turn", role:
     return numbered.select("key", "node", parent.alias("parent"), F.lit(1.0).alias("score"), "role", "text")
 
 
-def _ways_up(messages: DataFrame) -> list[DataFrame]:
-    """Tables ``key, node, up, gain``: the ancestor 1, 2, 4 ... steps up (null beyond the root), and the score from the node to below it."""
+def _ways_up(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables ``key, node, up, gain``: the ancestor 1, 2, 4 ... steps up (null beyond the root), and the score from the node to below it.
+
+    A node whose way has reached the root is done, and later tables leave it
+    out.  The second result holds the done nodes, whose gain is the score of the
+    whole way; replies in a circle are never done.
+    """
     here = messages.select("key", "node", "parent", "score")
     known = here.select(F.col("key").alias("k"), F.col("node").alias("up"))
     linked = here.join(known, F.col("key").eqNullSafe(F.col("k")) & (F.col("parent") == F.col("up")), "left")
-    first = linked.select("key", "node", "up", F.col("score").alias("gain"))
-    tables = [materialize(first, "chat-up0")]
-    rounds = messages.count().bit_length()  # more than the longest way needs; only replies in a circle still go up then
-    while len(tables) <= rounds and not tables[-1].where("up is not null").isEmpty():
-        last = tables[-1]
-        further = last.select(F.col("key").alias("k"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("gain").alias("gain2"))
+    tables = [materialize(linked.select("key", "node", "up", F.col("score").alias("gain")), "chat-up0")]
+    done = tables[0].where("up is null")
+    rounds = messages.count().bit_length()  # more than the longest way needs
+    while len(tables) <= rounds and not (going := tables[-1].where("up is not null")).isEmpty():
+        state = done.unionByName(going)
+        further = state.select(F.col("key").alias("k"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("gain").alias("gain2"))
         same = F.col("key").eqNullSafe(F.col("k")) & (F.col("up") == F.col("n"))
-        doubled = last.join(further, same, "left").select(
-            "key", "node", F.col("up2").alias("up"), (F.col("gain") + F.coalesce("gain2", F.lit(0.0))).alias("gain")
+        doubled = going.join(further, same).select(
+            "key", "node", F.col("up2").alias("up"), (F.col("gain") + F.col("gain2")).alias("gain")
         )
         tables.append(materialize(doubled, f"chat-up{len(tables)}"))
-    return tables
+        done = done.unionByName(tables[-1].where("up is null"))
+    return tables, done
 
 
 def branches(messages: DataFrame, per_tree: int = 1) -> DataFrame:
@@ -91,15 +97,14 @@ def branches(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     ``messages``: key, node, parent, score, role, text; a node is unique in its key.
     """
     messages = materialize(messages, "chat-messages")
-    tables = _ways_up(messages)
-    total = tables[-1].where("up is null")  # no further ancestor, so gain is the score of the whole way
+    tables, total = _ways_up(messages)
     parents = tables[0].where("up is not null").select(F.col("key").alias("k"), F.col("up").alias("n")).distinct()
     leaf = F.col("key").eqNullSafe(F.col("k")) & (F.col("node") == F.col("n"))
     ends = total.join(parents, leaf, "left_anti")
     best = Window.partitionBy("key").orderBy(F.desc("gain"), "node")
     chosen = ends.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= per_tree)
     rows = chosen.select("key", F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("steps"))
-    for k in range(len(tables) - 2, -1, -1):
+    for k in range(len(tables) - 1, -1, -1):
         jump = tables[k].where("up is not null").select(F.col("key").alias("k"), F.col("node").alias("n"), "up")
         same = F.col("key").eqNullSafe(F.col("k")) & (F.col("node") == F.col("n"))
         jumped = rows.join(jump, same).select("key", "leaf", F.col("up").alias("node"), (F.col("steps") + 2**k).alias("steps"))
