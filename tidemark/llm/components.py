@@ -42,7 +42,7 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     proper = edges.select("u", "v").where("u <> v")
     now = materialize(_small_star(proper).distinct(), label)
     while not _is_stars(now):
-        now = materialize(_small_star(_large_star(now).where("u <> v").distinct()).distinct(), label)
+        now = materialize(_small_star(_large_star(now).where("u <> v")).distinct(), label)
     ends = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return ends.unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 

@@ -3,14 +3,21 @@
 A document is the set of its distinct word shingles.  Documents with equal sets
 form a class.  Each class has minima of many universal hashes; classes that
 agree on a band of minima share a bucket.  Within a bucket not all pairs are
-compared: one class is the centre and is compared with the others, links are
-confirmed on the full sets, and connected components are taken.  Only where a
-bucket still holds several components, further centres are drawn (four times as
-many each round) and compared with members of other components.  A class that
-has been a centre of a bucket has been compared there with everything it could
-still join, so it leaves the bucket, and the rounds end when every bucket is
-empty or lies in one component.  The components are therefore those of all
-pairs that share a bucket, at a cost near the number of members.
+compared: one class, its pivot, is compared with the others, links are
+confirmed on the full sets, and connected components are taken.  The pivot is
+the class that shares most buckets with others, which is what the others were
+copied from, if it is there.  Where a bucket still holds several components,
+the members outside its largest one are compared with the members of other
+components, unless one of these says that there is no link:
+
+* the sizes of the sets, and the counts of their shingles in parts of the hash
+  range, whose smaller ones add up to no less than what the sets share;
+* the distances to the pivot, since 1 - similarity is a metric;
+* the signatures, five standard errors below the threshold;
+* an earlier bucket that the pair shares (it is compared there).
+
+The components are therefore those of all pairs that share a bucket, at a cost
+near the number of members.
 
 With bands of 4 minima, 32 of them, a pair of similarity 0.85 shares no bucket
 with probability 6e-11, one of 0.8 with 5e-8.
@@ -123,17 +130,22 @@ def _classes(signed: DataFrame) -> DataFrame:
     grouped = (
         signed.where("n_shingles > 0")
         .groupBy("f1", "f2")
-        .agg(F.min("id").alias("least_id"), F.min("row_key").alias("row_key"), F.min("signature").alias("signature"))
+        .agg(
+            F.min("id").alias("least_id"),
+            F.min("row_key").alias("row_key"),
+            F.min("n_shingles").alias("n_shingles"),
+            F.min("signature").alias("signature"),
+        )
     )
     return materialize(grouped.withColumn("node", F.monotonically_increasing_id()), "neardup-classes")
 
 
 def _buckets(classes: DataFrame, setting: Setting) -> DataFrame:
-    """``bucket, node`` for buckets with several classes."""
+    """``bucket, band, node`` for buckets with several classes."""
     size = 4 * setting.rows
     band = F.explode(F.sequence(F.lit(0), F.lit(setting.bands - 1)))
     keys = classes.select("node", "signature", band.alias("band")).select(
-        F.expr(f"xxhash64(band, substring(signature, band * {size} + 1, {size}))").alias("bucket"), "node"
+        F.expr(f"xxhash64(band, substring(signature, band * {size} + 1, {size}))").alias("bucket"), "band", "node"
     )
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     return materialize(keys.join(shared, "bucket"), "neardup-buckets")
@@ -157,75 +169,132 @@ def _candidate_texts(rows: DataFrame, classes: DataFrame, buckets: DataFrame, se
     return materialize(one, "neardup-texts")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough; the signature is looked at first."""
+def _least_agreement(setting: Setting) -> float:
+    """Share of equal minima below which a pair is not looked at: five standard errors under the threshold."""
+    goal = setting.similar / 100
+    return goal - 5 * (goal * (1 - goal) / setting.hashes) ** 0.5
+
+
+def _measured(pairs: DataFrame, texts: DataFrame, setting: Setting, all_of_them: bool = False) -> DataFrame:
+    """``a, b, common, total`` on the full sets: shingles in both, and in either.  Signatures that differ too much save the work, unless all pairs are asked for."""
+    least = 0.0 if all_of_them else _least_agreement(setting)
 
     def run(batches):
         for batch in batches:
             for lo, hi in text_slices(batch.column("text_b")):
                 part = batch.slice(lo, hi - lo)
-                sign = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(hi - lo, -1) for c in ("sign_a", "sign_b")]
-                alike = (sign[0] == sign[1]).mean(axis=1)
-                # Five standard errors below the threshold, so that no similar pair is turned away.
-                goal = setting.similar / 100
-                part = part.filter(pa.array(alike >= goal - 5 * np.sqrt(goal * (1 - goal) / setting.hashes)))
+                if least:
+                    sign = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(hi - lo, -1) for c in ("sign_a", "sign_b")]
+                    part = part.filter(pa.array((sign[0] == sign[1]).mean(axis=1) >= least))
                 if not part.num_rows:
                     continue
                 left = part.column("text_a").dictionary_encode()  # a centre's text comes with each of its pairs
                 sets_a, at_a = shingle_sets(left.dictionary, setting.width)
                 which = np.asarray(left.indices)
                 sets_b, at_b = shingle_sets(part.column("text_b"), setting.width)
-                good = np.zeros(part.num_rows, dtype=bool)
+                common, total = np.zeros((2, part.num_rows), dtype=np.int64)
                 for i in range(part.num_rows):
                     x, y = sets_a[at_a[which[i]] : at_a[which[i] + 1]], sets_b[at_b[i] : at_b[i + 1]]
                     both = np.sort(np.concatenate([x, y]))
-                    common = int((both[1:] == both[:-1]).sum())
-                    good[i] = 100 * common >= setting.similar * (len(x) + len(y) - common)
-                yield part.select(["a", "b"]).filter(pa.array(good))
+                    common[i] = (both[1:] == both[:-1]).sum()
+                    total[i] = len(both) - common[i]
+                yield pa.record_batch([part.column("a"), part.column("b"), pa.array(common), pa.array(total)], names=["a", "b", "common", "total"])
 
     first = pairs.join(texts.select(F.col("node").alias("b"), F.col("signature").alias("sign_b"), F.col("text").alias("text_b")), "b")
     both = first.join(texts.select(F.col("node").alias("a"), F.col("signature").alias("sign_a"), F.col("text").alias("text_a")), "a")
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return both.mapInArrow(run, "a bigint, b bigint, common bigint, total bigint")
+
+
+def _linked(measured: DataFrame, setting: Setting) -> DataFrame:
+    """The pairs ``a, b`` that are similar enough."""
+    return measured.where(F.col("common") * 100 >= F.col("total") * setting.similar).select("a", "b")
 
 
 def _ordered(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _components(buckets: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
+def _pivots(buckets: DataFrame) -> DataFrame:
+    """``bucket, pivot``: the member that meets most others, over all its buckets."""
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    met = buckets.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("met"))
+    order = F.col("met") * 2**20 + F.pmod(F.xxhash64("node"), F.lit(2**20))
+    best = buckets.join(met, "node").groupBy("bucket").agg(F.max_by("node", order).alias("pivot"))
+    return materialize(best, "neardup-pivots")
+
+
+def _components(classes: DataFrame, buckets: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
     """``node, component`` of the classes that are linked with another one."""
-    active, tested, found = buckets, None, None
-    centres_per_bucket = 1
-    while True:
-        label = f"neardup-round{centres_per_bucket}"
-        if found is None:
-            placed = active.withColumn("component", F.col("node"))
-        else:
-            placed = active.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-            placed = materialize(placed.join(several.select("bucket"), "bucket"), label)
-            if placed.isEmpty():
-                return found
-        part = F.pmod(F.xxhash64("node", F.lit(centres_per_bucket)), F.lit(centres_per_bucket))
-        centres = (
-            placed.groupBy("bucket", part.alias("part"))
-            .agg(F.min("node").alias("centre"), F.min_by("component", "node").alias("at"))
-            .select("bucket", "centre", "at")
-        )
-        pairs = placed.join(centres, "bucket").where("component <> at").select(*_ordered(F.col("centre"), F.col("node"))).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, label + "-pairs")
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        links = materialize(_confirmed(pairs, texts, setting), label + "-links")
-        if found is None:
-            found = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "neardup-components")
-        elif not links.isEmpty():
-            found = _merged(found, links)
-        active = placed.select("bucket", "node").join(
-            centres.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti"
-        )
-        centres_per_bucket *= 4
+    pivots = _pivots(buckets)
+    pairs = buckets.join(pivots, "bucket").where("node <> pivot").select(*_ordered(F.col("pivot"), F.col("node"))).distinct()
+    measured = materialize(_measured(pairs, texts, setting, all_of_them=True), "neardup-measured")
+    links = _linked(measured, setting).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    found = connected_components(links, "neardup-components")
+    apart = _apart(buckets, found)
+    if apart.isEmpty():
+        return found
+    pairs = _still_possible(apart, classes, texts, pivots, measured, setting)
+    links = materialize(_linked(_measured(pairs, texts, setting), setting), "neardup-links")
+    return found if links.isEmpty() else _merged(found, links)
+
+
+def _apart(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """``bucket, band, node, component`` of the buckets with several components."""
+    placed = buckets.select("bucket", "band", "node").join(found, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return materialize(placed.join(several.select("bucket"), "bucket"), "neardup-apart")
+
+
+#: Parts that shingles fall into by hash; the smaller counts of each part bound what two sets share.
+PARTS = 256
+
+
+def _part_counts(apart: DataFrame, texts: DataFrame, setting: Setting) -> DataFrame:
+    """``node, parts``: how many shingles of the node fall into each part."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b in text_slices(batch.column(1)):
+                grams, begin = shingle_sets(batch.column(1).slice(a, b - a), setting.width)
+                row = np.repeat(np.arange(b - a), np.diff(begin))
+                counts = np.bincount(row * PARTS + (mix(grams) % np.uint64(PARTS)).astype(np.int64), minlength=(b - a) * PARTS)
+                lists = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * PARTS, pa.array(counts.astype(np.int32)))
+                yield pa.record_batch([batch.column(0).slice(a, b - a), lists], names=["node", "parts"])
+
+    told = texts.join(apart.select("node").distinct(), "node", "left_semi").select("node", "text")
+    return told.mapInArrow(run, "node bigint, parts array<int>")
+
+
+def _still_possible(
+    apart: DataFrame, classes: DataFrame, texts: DataFrame, pivots: DataFrame, measured: DataFrame, setting: Setting
+) -> DataFrame:
+    """The pairs ``a, b`` of different components in a bucket that nothing known about them rules out, each once."""
+    counts = apart.groupBy("bucket", "component").count()
+    largest = counts.groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
+    rows = apart.join(pivots, "bucket").join(largest, "bucket")
+    far = measured.select("a", "b", (1 - F.col("common") / F.col("total")).alias("far"))
+    rows = rows.select("*", *_ordered(F.col("pivot"), F.col("node"))).join(far, ["a", "b"], "left").drop("a", "b")
+    rows = rows.withColumn("far", F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("far")))
+    # The wide columns come last, so that they are moved once.
+    sets = classes.select("node", "n_shingles", "signature").join(_part_counts(apart, texts, setting), "node")
+    rows = materialize(rows.join(sets, "node"), "neardup-rows")
+    size, n = 4 * setting.rows, setting.hashes
+    least = int(np.ceil(_least_agreement(setting) * n))
+    bands = ", ".join(str(k) for k in range(setting.bands))
+    possible = F.expr(
+        f"""x.component <> y.component AND (y.component = y.largest OR x.node < y.node)
+        AND 100 * least(x.n_shingles, y.n_shingles) >= {setting.similar} * greatest(x.n_shingles, y.n_shingles)
+        AND coalesce(abs(x.far - y.far) <= {1 - setting.similar / 100 + 1e-9}, true)
+        AND NOT exists(array({bands}), k -> k < x.band AND
+            substring(x.signature, k * {size} + 1, {size}) = substring(y.signature, k * {size} + 1, {size}))
+        AND size(filter(sequence(0, {n - 1}), k -> substring(x.signature, k * 4 + 1, 4) = substring(y.signature, k * 4 + 1, 4))) >= {least}
+        AND aggregate(zip_with(x.parts, y.parts, (p, q) -> least(p, q)), 0, (n, p) -> n + p) * {100 + setting.similar}
+            >= {setting.similar} * (x.n_shingles + y.n_shingles)"""
+    )
+    odd = rows.where("component <> largest").alias("x")
+    met = odd.join(rows.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & possible)
+    return met.select(*_ordered(F.col("x.node"), F.col("y.node")))
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -253,7 +322,7 @@ def near_duplicates(docs: DataFrame, setting: Setting | None = None, id_column:
     classes = _classes(signed)
     buckets = _buckets(classes, setting)
     texts = _candidate_texts(rows, classes, buckets, setting)
-    found = _components(buckets, texts, setting)
+    found = _components(classes, buckets, texts, setting)
     placed = classes.select("f1", "f2", "least_id", "node").join(found, "node", "left")
     placed = placed.withColumn("group", F.coalesce("component", "node"))
     least = placed.groupBy("group").agg(F.min("least_id").alias("component_id"))
