@@ -246,6 +246,21 @@ def test_pipeline_stages_on_empty_tables(docs_of, write, spark):
         stage(spark, clash, folder).collect()
 
 
+@pytest.mark.parametrize("key", sorted(queries.SQL))
+def test_query_equals_its_sql(key, spark):
+    import duckdb
+
+    from tools.check import rows_of
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("documents", "embeddings", "pages", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    df = queries.QUERIES[key](spark, folder)
+    cur = con.execute(queries.SQL[key])
+    assert rows_of(df.columns, df.collect()) == rows_of([c[0] for c in cur.description], cur.fetchall())
+
+
 def test_all_eleven_queries_are_registered():
     import __spark_entry__ as entry
 

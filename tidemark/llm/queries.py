@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, htmltext, maxscore, mixing, neardup, quality, ship, suffixdedup, toxicity, urlrules
+from tidemark.llm import bpe, chat, checks, htmltext, maxscore, mixing, neardup, quality, ship, suffixdedup, toxicity, urlrules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_chat_formatting")
+@query("op1_chat_formatting", checks.CHAT)
 def op1(spark, sf_dir):
     """All conversations, and one whose texts look like marks, formatted and read back."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -57,7 +57,7 @@ def op2(spark, sf_dir):
     )
 
 
-@query("op3_url_filters")
+@query("op3_url_filters", checks.URLS)
 def op3(spark, sf_dir):
     """The verdict on every URL; what is bad is learned from the labels of the same ids."""
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url")
@@ -68,7 +68,7 @@ def op3(spark, sf_dir):
     return urlrules.judge(pages, rules, labels).withColumnRenamed("id", "page_id")
 
 
-@query("op4_quality_rules")
+@query("op4_quality_rules", checks.QUALITY)
 def op4(spark, sf_dir):
     """Base counts and the line-first verdict of every document."""
     return quality.clean(table(spark, sf_dir, "documents")).select(
@@ -121,7 +121,7 @@ def op6(spark, sf_dir):
     )
 
 
-@query("op7_maxscore_search")
+@query("op7_maxscore_search", checks.TOP_K)
 def op7(spark, sf_dir):
     """The five nearest vectors of each query by whole-number inner product."""
     vectors = maxscore.whole_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
