@@ -1,7 +1,7 @@
 """A training corpus in five stages, each a Spark job over all that its predecessor kept.
 
 toxicity (toxic documents go), MinHash near-dedup (one document of each group
-stays), suffix-array dedup (long repeats are cut out), mixing sources to target
+stays), suffix-array dedup (passages of over 50 words that occur again are cut out), mixing sources to target
 weights (documents are repeated or left out), byte-level BPE (texts become ids).
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
@@ -19,7 +19,8 @@ from tidemark.session import scratch_path
 
 #: Score from which a document is rejected; higher than where a label is predicted, so that clean documents stay.
 REJECT = 0.5
-#: Bytes of a repeat that is cut out.
+#: Words of a repeat that is cut out, and bytes of one with fewer words (long words, scripts without blanks).
+REPEAT_WORDS = 51
 REPEAT_BYTES = 400
 
 
@@ -43,7 +44,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     ``n_chars`` follows the text.  Untouched documents stay as they are.
     """
     ship.ensure(spark)
-    return suffixdedup.without_repeats(docs, REPEAT_BYTES)
+    return suffixdedup.without_repeats(docs, REPEAT_BYTES, words=REPEAT_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import components, mixing, neardup, queries, suffixdedup, toxicity
 from tidemark.llm.suffixsort import Pieces, repeated_windows
 
@@ -223,6 +224,44 @@ def test_texts_without_repeats(docs_of):
     assert got == {1: ("start  end", 10), 3: ("clean text", 10), 4: (None, None), 5: ("pre", 3)}
 
 
+@pytest.mark.parametrize("n", [51, 55, 65])
+def test_passages_of_over_fifty_words(docs_of, spark, n):
+    """Passages of at most 394 bytes, between different words and with other blanks; one of 50 words stays."""
+    rng = random.Random(n)
+    text = lambda n, k: " ".join("".join(rng.choices("abcdefgh", k=k)) for _ in range(n))
+    passage, short, unbroken = text(n, 5), text(50, 5), text(1, 450)
+    rows = [(i, f"{text(20 + i, 5)} {passage if i else passage.replace(' ', '  ')} {text(25, 5)}") for i in range(4)]
+    rows += [(10 + i, f"{text(30, 5)} {short} {text(30, 5)}") for i in range(3)]
+    rows += [(20 + i, f"{text(20, 5)} {unbroken} {text(20, 5)}") for i in range(2)] + [(30, "lone " * 40), (31, None)]
+    assert len(passage) < 394
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_repeats(spark, docs_of(rows), None).collect()}
+    assert {i: (left[i] or "").split() for i, _ in rows if i < 4} == {i: t.split()[: 20 + i] + t.split()[20 + i + n :] for i, t in rows[:4]}
+    assert all(left[i] == t for i, t in rows if 10 <= i < 20 or i >= 30)
+    assert all(unbroken not in left[i] and 230 < len(left[i]) <= 238 for i in (20, 21))  # the blanks around it go too
+
+
+def test_repeated_words_equal_brute_force(docs_of):
+    """Few words and copies of parts: windows of words that occur again, and those of bytes with few words in them."""
+    rng = random.Random(5)
+    pool = [" ".join(rng.choices(["a", "bb", "ccc", "é漢"], k=rng.randint(0, 60))) for _ in range(30)]
+    texts = [rng.choice(pool) + " \n" + rng.choice(pool) for _ in range(40)] + ["a " * 30, "", " x"]
+    rows = neardup.keyed(docs_of(list(enumerate(texts))), "doc_id", "text")
+    key = {r["row_key"]: r["text"] for r in rows.collect()}
+    width, got, want = 7, collections.defaultdict(set), collections.defaultdict(set)
+    for r in suffixdedup.repeated_words(rows, width).collect():
+        got[r["row_key"]] |= set(range(r["start"], r["end"]))
+    words = {k: WORD.findall(t) for k, t in key.items()}
+    seen = collections.Counter(tuple(w[i : i + width]) for w in words.values() for i in range(len(w) - width + 1))
+    for k, w in words.items():
+        for i in range(len(w) - width + 1):
+            if seen[tuple(w[i : i + width])] > 1:
+                want[k] |= set(range(i, i + width))
+    assert got == want and want
+    data = np.frombuffer(b"ab cd e fg  h", np.uint8)
+    plain = [len(re.findall(rb"(?<= )[^ ]+(?= )", data.tobytes()[i : i + 6])) for i in range(8)]
+    assert suffixdedup.inner_words(data, np.array([0, 13]), 6).tolist() == plain
+
+
 def plain_targets(sizes, cap=3):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}

@@ -13,6 +13,9 @@ No group is handled whole: equal pieces are counted by partial aggregation, and
 an anchor with more different pieces than ``GROUP`` takes another exact way,
 where each of its windows is counted by two hashes.
 
+Repeats can be asked for in words as well: each word is written as a code of
+``CODE`` bytes, and repeats of so many codes are looked for in the same way.
+
 Defined results: a null text counts as empty; texts shorter than ``length``
 stay whole; repeated rows are repeats of each other; an empty table gives an
 empty table; further columns are ignored.
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.neardup import keyed
 from tidemark.llm.suffixsort import Pieces, repeated_windows
-from tidemark.llm.textblocks import BASE, BLOCK_BYTES, BYTE_VALUE, as_bytes, mix, powers, text_slices
+from tidemark.llm.textblocks import BASE, BLOCK_BYTES, BYTE_VALUE, IS_SPACE, as_bytes, mix, powers, text_slices, word_bounds, word_hashes
 from tidemark.session import materialize
 
 #: Different pieces that are sorted together at most.
@@ -40,6 +43,8 @@ GROUP = 1000
 BUCKET_BYTES = 2 << 20
 #: Low bits of a key that hold a place in the block; a block has fewer bytes.
 PLACE_BITS = 22
+#: Bytes of the code of a word, its hash.
+CODE = 8
 
 _POWERS: list[np.ndarray] = []
 
@@ -70,8 +75,20 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchored(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Pieces of the texts of a block: text number, first and last window, anchor (places in the block), hash of the anchor."""
+def inner_words(data: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
+    """Words of each window of ``length`` bytes that have a blank on both sides in it: told by the bytes of the window alone."""
+    starts = np.zeros(len(data) + 1, dtype=np.int64)
+    starts[word_bounds(data, offsets)[0] + 1] = 1
+    before = np.cumsum(starts)
+    begun = before[length:] - before[1 : len(data) - length + 2]
+    return np.maximum(begun - ~IS_SPACE[data[length - 1 :]], 0)
+
+
+def anchored(data: np.ndarray, offsets: np.ndarray, length: int, under_words: int | None = None) -> tuple[np.ndarray, ...]:
+    """Pieces of the texts of a block: text number, first and last window, anchor (places in the block), hash of the anchor.
+
+    With ``under_words``, of the windows with fewer inner words only.
+    """
     k = kgram(length)
     n = len(data)
     if n < length:
@@ -85,6 +102,8 @@ def anchored(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     anchor = (least & low).astype(np.int64)
     text = np.searchsorted(offsets, np.arange(len(anchor)), side="right") - 1
     inside = np.arange(len(anchor)) + length <= offsets[text + 1]
+    if under_words is not None:
+        inside &= inner_words(data, offsets, length) < under_words
     window = np.flatnonzero(inside)
     if not len(window):
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(4)) + (np.zeros(0, dtype=np.uint64),)
@@ -112,7 +131,7 @@ def _blocks(column: pa.Array, length: int):
             yield part, np.array([0, len(part)]), np.array([a]), np.array([at])
 
 
-def _pieces(rows: DataFrame, length: int) -> DataFrame:
+def _pieces(rows: DataFrame, length: int, under_words: int | None = None) -> DataFrame:
     """``anchor, content, weight, row_key, low, at, high``: one row per piece; or, with a null anchor, a stretch of sure repeats.
 
     A piece that comes several times in a block is a repeat: its first place is
@@ -124,7 +143,7 @@ def _pieces(rows: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             keys = np.asarray(batch.column(0))
             for data, offsets, row, begin in _blocks(batch.column(1), length):
-                text, low, high, at, gram = anchored(data, offsets, length)
+                text, low, high, at, gram = anchored(data, offsets, length, under_words)
                 if not len(text):
                     continue
                 raw = data.tobytes()
@@ -175,7 +194,7 @@ def _texts_of(pieces: DataFrame, rows: DataFrame, length: int) -> DataFrame:
                 part = batch.slice(a, b - a)
                 flat = part.column("pieces").flatten()
                 parents = pc.list_parent_indices(part.column("pieces"))
-                texts = [t.encode() for t in part.column("text").to_pylist()]
+                texts = part.column("text").cast(pa.binary()).to_pylist()
                 low, high = flat.field("low").to_pylist(), flat.field("high").to_pylist()
                 body = [texts[i][s : e + length] for i, s, e in zip(parents.to_pylist(), low, high, strict=True)]
                 fields = [flat.field(n) for n in FIELDS]
@@ -233,9 +252,9 @@ def _counted_repeats(pieces: DataFrame, length: int) -> DataFrame:
     return hit.select("row_key", "start", (F.col("start") + length).alias("end"))
 
 
-def repeated_stretches(rows: DataFrame, length: int) -> DataFrame:
+def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = None) -> DataFrame:
     """``row_key, start, end`` of byte stretches of ``rows`` (row_key, text) to remove; they may overlap."""
-    pieces = materialize(_pieces(rows, length), "suffix-pieces")
+    pieces = materialize(_pieces(rows, length, under_words), "suffix-pieces")
     sure = pieces.where("anchor is null").select("row_key", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     single = pieces.where("anchor is not null")
     shared = single.groupBy("anchor").agg(F.sum("weight").alias("n")).where("n > 1").select("anchor")
@@ -268,6 +287,29 @@ def repeated_stretches(rows: DataFrame, length: int) -> DataFrame:
     return materialize(out.distinct(), "suffix-stretches")
 
 
+def word_codes(rows: DataFrame) -> DataFrame:
+    """``row_key, text``: the words of each text as codes of ``CODE`` bytes, one after the other."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b in text_slices(batch.column(1)):
+                data, offsets = as_bytes(batch.column(1).slice(a, b - a))
+                starts, ends, first = word_bounds(data, offsets)
+                codes = word_hashes(data, starts, ends)
+                out = pa.array([codes[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())
+                yield pa.record_batch([batch.column(0).slice(a, b - a), out], names=["row_key", "text"])
+
+    return rows.select("row_key", "text").mapInArrow(run, "row_key bigint, text binary")
+
+
+def repeated_words(rows: DataFrame, words: int) -> DataFrame:
+    """``row_key, start, end``, in words: stretches of ``words`` words or more that occur again, whatever the blanks between them."""
+    found = repeated_stretches(word_codes(rows), CODE * words)
+    # A hash may end like another one: only whole codes count.
+    whole = found.select("row_key", F.ceil(F.col("start") / CODE).alias("start"), F.floor(F.col("end") / CODE).alias("end"))
+    return whole.where(F.col("end") - F.col("start") >= words).distinct()
+
+
 def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id, row_key, n_bytes, n_removed, spans, kept`` of every row: the removed runs and the remaining bytes, put together."""
     rows = keyed(docs, id_column, text_column)
@@ -316,16 +358,37 @@ def joined_runs(cuts: pa.StructArray | None) -> list[tuple[int, int]]:
     return list(zip(start[first].tolist(), end[last].tolist(), strict=True))
 
 
+def byte_cuts(cuts: pa.StructArray, raw: bytes) -> pa.StructArray:
+    """``cuts`` (start, end, in_words), those in words turned into bytes of the text."""
+    start, end = np.array(cuts.field("start")), np.array(cuts.field("end"))
+    told = np.asarray(cuts.field("in_words").cast(pa.int8())) > 0
+    if told.any():
+        first, last, _ = word_bounds(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        start[told], end[told] = first[start[told]], last[end[told] - 1]
+    return pa.StructArray.from_arrays([pa.array(start), pa.array(end)], names=["start", "end"])
+
+
 def without_repeats(
-    docs: DataFrame, length: int, id_column: str = "doc_id", text_column: str = "text", size_column: str = "n_chars"
+    docs: DataFrame,
+    length: int,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    size_column: str = "n_chars",
+    words: int | None = None,
 ) -> DataFrame:
     """``docs`` with the repeats cut out of the texts, without rows of which nothing is left; columns unchanged.
 
-    Of a character that was cut in two nothing stays.  ``size_column``, if
-    there, becomes the number of characters of a text that was cut.
+    Repeats are those of ``length`` bytes and, if given, those of ``words``
+    words, which are cut out from the first to the last whole word; windows of
+    bytes that hold so many words are left to them.  Of a character that was
+    cut in two nothing stays.  ``size_column``, if there, becomes the number of
+    characters of a text that was cut.
     """
     rows = keyed(docs, id_column, text_column)
-    listed = repeated_stretches(rows, length).groupBy("row_key").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
+    stretches = repeated_stretches(rows, length, words).withColumn("in_words", F.lit(False))
+    if words is not None:
+        stretches = stretches.unionAll(repeated_words(rows, words).withColumn("in_words", F.lit(True)))
+    listed = stretches.groupBy("row_key").agg(F.collect_list(F.struct("start", "end", "in_words")).alias("cuts"))
     names = [f"d{i}" for i in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
     plain = docs.toDF(*names)
@@ -339,9 +402,10 @@ def without_repeats(
                 part = batch.slice(a, b - a)
                 texts = []
                 for text, cuts in zip(part.column(place).to_pylist(), part.column("cuts"), strict=True):
-                    runs = joined_runs(cuts.values if cuts.is_valid else None)
+                    raw = text.encode() if cuts.is_valid else b""
+                    runs = joined_runs(byte_cuts(cuts.values, raw) if cuts.is_valid else None)
                     if runs:
-                        raw, at, keep = text.encode(), 0, []
+                        at, keep = 0, []
                         for s, e in runs:
                             keep.append(raw[at:s].decode(errors="ignore"))
                             at = e
