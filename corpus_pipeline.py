@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, mixing, neardup, queries, ship, suffixdedup, toxicity
 from tidemark.session import scratch_path
 
-#: Score from which a document is rejected; higher than where a label is predicted, so that clean documents stay.
+#: Score from which a document is rejected; higher than where a label is predicted, so that clean documents stay (figures in the README).
 REJECT = 0.5
 #: Words of a repeat that is cut out, and bytes of one with fewer words (long words, scripts without blanks).
 REPEAT_WORDS = 51
@@ -25,10 +25,11 @@ REPEAT_BYTES = 400
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text scores below ``REJECT``; the model is learned from the labelled ones among them."""
+    """Documents not labelled toxic whose text scores below ``REJECT``; the model is learned from the labelled ones among them."""
     ship.ensure(spark)
-    model = queries.toxicity_model(docs, queries.table(spark, sf_dir, "labels"))
-    return toxicity.below(docs, model, REJECT)
+    labels = queries.table(spark, sf_dir, "labels")
+    confirmed = labels.where("toxic = 1").select("doc_id").distinct()
+    return toxicity.below(docs, queries.toxicity_model(docs, labels), REJECT).join(confirmed, "doc_id", "left_anti").select(*docs.columns)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -385,6 +385,20 @@ def test_toxicity_without_examples(docs_of, spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_confirmed_toxic_documents_go_whatever_they_score(docs_of, write, spark):
+    """Documents labelled toxic whose words say nothing of it, and one without a text."""
+    rows, labels = toxic_rows(400)
+    rows = rows + [(2000 + i, rows[0][1] + f" w{i}") for i in range(5)] + [(2100, None), (None, "no id")]
+    labels = [x for x in labels if x[0]] + [(i, 1, 1) for i in (*range(2000, 2005), 2100)]
+    folder = write(labels=spark.createDataFrame([*labels, (None, 1, 1), (2001, 1, 1)], "doc_id long, quality int, toxic int"))
+    docs = docs_of(rows)
+    left = corpus_pipeline.remove_toxic(spark, docs, folder)
+    assert left.columns == docs.columns
+    ids = [r["doc_id"] for r in left.collect()]
+    assert not set(ids) & {i for i, _, t in labels if t} and None in ids and len(ids) == len(set(ids))
+    assert len(set(ids) & {i for i, _, t in labels if not t}) > 0.95 * sum(not t for *_, t in labels)
+
+
 def test_risk_is_non_negative_and_calibrated():
     rng = np.random.default_rng(0)
     row = lambda toxic: (np.unique(np.append(rng.integers(0, 200, 20), rng.integers(200, 204, 3) if toxic else [])).astype(np.int32))
