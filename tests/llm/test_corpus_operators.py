@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -124,6 +125,15 @@ def test_minima_estimate_similarity():
     assert abs((minimum[0] == minimum[1]).mean() - 380 / 420) < 0.12
 
 
+@pytest.mark.parametrize("similar", [80, 85])
+def test_signatures_drop_no_more_links_than_the_bands(similar):
+    """The loss at the threshold, by the binomial distribution; one more equal minimum asked for would exceed that of the bands."""
+    setting, p = neardup.Setting(similar=similar), similar / 100
+    fewer = lambda k: sum(math.comb(128, i) * p**i * (1 - p) ** (128 - i) for i in range(k))
+    least, bands = neardup._least_agreement(setting), (1 - p**4) ** 32
+    assert least == int(least) and fewer(int(least)) <= bands < fewer(int(least) + 1)
+
+
 def test_connected_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(45)] + [(200, k) for k in range(201, 240)] + [(7, 7)]

@@ -13,14 +13,16 @@ components, unless one of these says that there is no link:
 * the sizes of the sets, and the counts of their shingles in parts of the hash
   range, whose smaller ones add up to no less than what the sets share;
 * the distances to the pivot, since 1 - similarity is a metric;
-* the signatures, five standard errors below the threshold;
+* the signatures, which agree in so few minima that a pair at the threshold
+  does so no more often than it shares no bucket;
 * an earlier bucket that the pair shares (it is compared there).
 
 The components are therefore those of all pairs that share a bucket, at a cost
 near the number of members.
 
 With bands of 4 minima, 32 of them, a pair of similarity 0.85 shares no bucket
-with probability 6e-11, one of 0.8 with 5e-8.
+with probability 6e-11, one of 0.8 with 5e-8; the signatures drop it with
+probability 3e-11 and 3e-8.
 
 Defined results: null texts and texts without words have the empty set, are
 linked with nothing and stay.  A text with fewer words than a shingle has its
@@ -32,6 +34,7 @@ columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -169,15 +172,19 @@ def _candidate_texts(rows: DataFrame, classes: DataFrame, buckets: DataFrame, se
     return materialize(one, "neardup-texts")
 
 
-def _least_agreement(setting: Setting) -> float:
-    """Share of equal minima below which a pair is not looked at: five standard errors under the threshold."""
-    goal = setting.similar / 100
-    return goal - 5 * (goal * (1 - goal) / setting.hashes) ** 0.5
+def _least_agreement(setting: Setting) -> int:
+    """Equal minima below which a pair is not looked at: a pair at the threshold has fewer no more often than it shares no bucket."""
+    goal, n = setting.similar / 100, setting.hashes
+    no_bucket = (1 - goal**setting.rows) ** setting.bands
+    fewer, least = 0.0, 0
+    while least < n and (fewer := fewer + comb(n, least) * goal**least * (1 - goal) ** (n - least)) <= no_bucket:
+        least += 1
+    return least
 
 
 def _measured(pairs: DataFrame, texts: DataFrame, setting: Setting, all_of_them: bool = False) -> DataFrame:
     """``a, b, common, total`` on the full sets: shingles in both, and in either.  Signatures that differ too much save the work, unless all pairs are asked for."""
-    least = 0.0 if all_of_them else _least_agreement(setting)
+    least = 0 if all_of_them else _least_agreement(setting)
 
     def run(batches):
         for batch in batches:
@@ -185,7 +192,7 @@ def _measured(pairs: DataFrame, texts: DataFrame, setting: Setting, all_of_them:
                 part = batch.slice(lo, hi - lo)
                 if least:
                     sign = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(hi - lo, -1) for c in ("sign_a", "sign_b")]
-                    part = part.filter(pa.array((sign[0] == sign[1]).mean(axis=1) >= least))
+                    part = part.filter(pa.array((sign[0] == sign[1]).sum(axis=1) >= least))
                 if not part.num_rows:
                     continue
                 left = part.column("text_a").dictionary_encode()  # a centre's text comes with each of its pairs
@@ -280,7 +287,7 @@ def _still_possible(
     sets = classes.select("node", "n_shingles", "signature").join(_part_counts(apart, texts, setting), "node")
     rows = materialize(rows.join(sets, "node"), "neardup-rows")
     size, n = 4 * setting.rows, setting.hashes
-    least = int(np.ceil(_least_agreement(setting) * n))
+    least = _least_agreement(setting)
     bands = ", ".join(str(k) for k in range(setting.bands))
     possible = F.expr(
         f"""x.component <> y.component AND (y.component = y.largest OR x.node < y.node)
