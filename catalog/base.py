@@ -134,6 +134,13 @@ def supplier_registry(spark, sf_dir) -> DataFrame:
     )
 
 
+def job_registry(spark, sf_dir) -> DataFrame:
+    """The same fit for the batch job: a series without lag and vintages has no feature transforms."""
+    dated = F.col("lag").isNotNull() | F.col("is_vintage")
+    registry = supplier_registry(spark, sf_dir)
+    return registry.withColumn("fm_transforms", F.when(dated, F.col("fm_transforms")).otherwise(F.array().cast("array<string>")))
+
+
 CTES = {
     "s1": """SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS date,
   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM orders GROUP BY 1, 2""",

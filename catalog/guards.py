@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog import statistics as _statistics  # noqa: F401  registers the SQL used below
 from catalog.base import (
     SQL,
+    job_registry,
     money,
     ordered_vintages,
     query,
@@ -123,7 +124,7 @@ def pipeline_run(spark, d):
     paths = pipeline.run(
         spark,
         supplier_daily(spark, d),
-        supplier_registry(spark, d),
+        job_registry(spark, d),
         scratch_path(spark, "job"),
         vintages=ordered_vintages(spark, d),
         buckets=8,

@@ -102,7 +102,7 @@ def asof_backward(releases: DataFrame, queries: DataFrame, lag_days: int = 0) ->
     effective date, a matched NULL stays NULL, and no match gives a NULL row.
     """
     if lag_days < 0:
-        raise ValueError(f"releases cannot be moved back in time: lag of {lag_days} days")
+        raise ValueError(f"lag_days must not be negative, releases cannot be moved back in time: {lag_days}")
     known = releases.select(
         "series_id",
         F.date_add("effective_date", lag_days).alias("usable_from"),
@@ -130,7 +130,7 @@ def vintage_levels(vintages: DataFrame, grid: DataFrame, lag_days: int = 0, ties
     have no row.
     """
     if lag_days < 0:
-        raise ValueError(f"releases cannot be moved back in time: lag of {lag_days} days")
+        raise ValueError(f"lag_days must not be negative, releases cannot be moved back in time: {lag_days}")
     end = grid.agg(F.max("date")).scalar()
     held = spread_on_days(_release_spans(vintages, end, lag_days, ties), "usable_from", "grid_date")
     on_grid = held.join(calendar_side(grid, name="grid_date"), "grid_date", "left_semi")
