@@ -76,3 +76,65 @@ rules AS (SELECT needs FROM combos GROUP BY 1 HAVING count(*) FILTER (bad) >= (S
 hits AS (SELECT k, count(*) AS n FROM t JOIN rules ON list_has_all(tokens, needs) GROUP BY 1)
 SELECT page_id, host, path, rule, coalesce(cur.verdict, CASE WHEN hits.n > 0 THEN 'block' ELSE 'allow' END) AS verdict, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_rules
 FROM p LEFT JOIN cur USING (k) LEFT JOIN hits USING (k)"""
+
+#: crc32 by its table of 256 entries, which follows from the polynomial; ``{bytes}`` is a list of numbers 0 to 255.
+CRC_TABLE = """crc_table AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256)) AS i)))"""
+CRC = """xor(list_reduce(list_prepend(4294967295, {bytes}),
+  lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INTEGER) + 1])), 4294967295)"""
+_DIGITS = CRC.format(bytes="list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x))")
+_RUN_BYTES = CRC.format(
+    bytes="""flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END))"""
+)
+
+#: Every prefix of a rebuilt conversation is named by its content; each node's totals come from all nodes below it.
+TRIE = f"""WITH {CRC_TABLE},
+ordered AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT c FROM ordered),
+heads AS (SELECT c, c - c % 20 AS leader, {_DIGITS} % 4 AS h FROM convs, crc_table),
+parts AS (SELECT h.c, 0 AS part, o.p, role, text FROM heads h JOIN ordered o ON o.c = h.leader AND o.p <= h.h
+  UNION ALL SELECT h.c, 1, o.p, role, text FROM heads h JOIN ordered o ON o.c = h.c AND o.p > h.h),
+built AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, sha256(role || chr(1) || text) AS sign,
+  len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words FROM parts),
+paths AS (SELECT c, d, words, string_agg(sign, '') OVER (PARTITION BY c ORDER BY d) AS path FROM built
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+named AS (SELECT *, min(c) OVER (PARTITION BY d, path) AS node, max(d) OVER (PARTITION BY c) AS ends FROM paths),
+nodes AS (SELECT node, d, count(*) AS n_convs, any_value(words) AS words,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = ends), '')) AS ends_sha256
+  FROM named GROUP BY node, d),
+up AS (SELECT a.node, a.d, b.node AS parent FROM named a JOIN named b ON a.c = b.c AND b.d = a.d - 1 WHERE a.c = a.node),
+kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM up GROUP BY 1, 2),
+own AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node, d)),
+below AS (SELECT a.node, a.d, sum(CASE WHEN o.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((o.n_convs - 1) * o.words) AS saved
+  FROM own o JOIN named a ON a.c = o.node AND a.d <= o.d GROUP BY 1, 2)
+SELECT o.node AS conv_id, o.d AS depth, u.parent AS parent_conv_id, o.n_convs, o.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own o JOIN below b USING (node, d) LEFT JOIN up u USING (node, d)"""
+
+#: Near words share the pattern of a replaced letter, or one is the other without a letter.
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'),
+  lambda r: translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS w FROM documents) GROUP BY 1, 2),
+hashed AS (SELECT w, n, {_RUN_BYTES} AS h FROM runs, crc_table),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+    THEN substr(w, 1, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+shorter AS (SELECT DISTINCT word, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS i FROM words)),
+patterns AS (SELECT word, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS pattern
+  FROM (SELECT word, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM patterns a JOIN patterns b ON a.pattern = b.pattern AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, less FROM shorter WHERE less IN (SELECT word FROM words)
+  UNION SELECT less, word FROM shorter WHERE less IN (SELECT word FROM words)),
+best AS (SELECT a.word, count(*) AS n_near, arg_min(o.word, (-o.n, o.word)) AS best, max(o.n) AS best_n
+  FROM near a JOIN words o ON o.word = a.other GROUP BY 1),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+  CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n FROM words w LEFT JOIN best USING (word)),
+ways AS (SELECT word, word AS root FROM forms
+  UNION ALL SELECT ways.word, forms.form FROM ways JOIN forms ON forms.word = ways.root WHERE forms.form IS NOT NULL),
+ends AS (SELECT ways.word, ways.root FROM ways JOIN forms ON forms.word = ways.root WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)"""

@@ -8,13 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, checks, htmltext, maxscore, mixing, neardup, quality, ship, suffixdedup, toxicity, urlrules
+from tidemark.llm import (
+    bpe,
+    chat,
+    checks,
+    htmltext,
+    maxscore,
+    mixing,
+    neardup,
+    prefixtrie,
+    quality,
+    ship,
+    spelling,
+    suffixdedup,
+    tokenfile,
+    toxicity,
+    urlrules,
+)
+from tidemark.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(key: str, sql: str | None = None):
@@ -153,3 +171,24 @@ def op10(spark, sf_dir):
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op11_prefix_trie", checks.TRIE)
+def op11(spark, sf_dir):
+    """Every node of the trie of all conversations, rebuilt on the first turns of their group's leader."""
+    turns = materialize(prefixtrie.numbered(table(spark, sf_dir, "conversations")), "op11-turns")
+    return prefixtrie.trie(prefixtrie.with_shared_start(turns, group=20, shared=4), turns.where("pos = 1").select("conv"))
+
+
+@query("op12_token_orc")
+def op12(spark, sf_dir):
+    """The place of every document in the token files, read back from them."""
+    path = scratch_path(spark, "op12-tokens")
+    schema = tokenfile.write(table(spark, sf_dir, "documents"), path, TOKENIZER_FILE)
+    return tokenfile.positions(tokenfile.read(spark, path, schema)).withColumnRenamed("id", "doc_id")
+
+
+@query("op13_spelling_variants", checks.SPELLING)
+def op13(spark, sf_dir):
+    """Form, root and number of near words of every word of the documents."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
