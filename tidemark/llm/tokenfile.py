@@ -45,11 +45,13 @@ END_ID = 2
 #: Characters of white space as the pattern of the tokenizer knows them (the property White_Space); a fixed value.
 WHITE = r"\t-\r \x85\xa0  -     　"
 #: Pieces remembered per Python worker, and ids of theirs; a piece longer than PIECE_CHARS is forgotten first.
-REMEMBERED = 300_000
-REMEMBERED_IDS = 4_000_000
+REMEMBERED = 700_000
+REMEMBERED_IDS = 8_000_000
 PIECE_CHARS = 64
 #: Characters given to the library at once.
-CALL_CHARS = 1 << 17
+CALL_CHARS = 20_000
+#: Bytes of text looked up together; a longer text is a block of its own.
+BLOCK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -134,7 +136,7 @@ class Encoder:
             size += len(p)
             closed = not ends_white
         strings.append("".join(pieces[start:]))
-        ids = np.concatenate([np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)])
+        ids = np.concatenate([np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
         ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(lengths), side="right")
         return ids, np.diff(ends, prepend=0)
 
@@ -183,7 +185,7 @@ def _encoded(tokenizer_file: str, end_id: int):
         encoder = Encoder.of(tokenizer_file)
         end = np.array([end_id], dtype=np.int32)
         for batch in batches:
-            for low, high in text_slices(batch.column("text")):
+            for low, high in text_slices(batch.column("text"), BLOCK_BYTES):
                 part = batch.slice(low, high - low)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids = [encoder.encode(texts[0])] if len(texts) == 1 else encoder.encode_block(texts)
