@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 ``encode_table`` gives the ids of every text, ``decode_table`` the raw bytes of
-every id list.  Defined results: a null text counts as empty, an empty text has
+every id list, and ``round_trip`` both in one pass.  Defined results: a null text counts as empty, an empty text has
 no ids; repeated rows are encoded each; an empty table gives an empty table;
 columns of the input other than the named ones are ignored, so clashing names
 do no harm.  A text is never shortened: long ones are pre-split at places that
@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.textblocks import BLOCK_BYTES, giving_back, text_slices
+
 #: Longest piece given to the library at once, in characters, where the text has a safe place to cut.
 PIECE_CHARS = 1 << 16
 
@@ -114,12 +116,12 @@ def encode_table(
 
     def run(batches):
         codec = Codec.of(rank_file, pattern)
-        for batch in batches:
-            ids = [codec.encode(t.as_py() or "").tobytes() for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
+        for ids_of, texts in _texts(batches):
+            ids = [codec.encode(t or "").tobytes() for t in texts]
+            yield pa.record_batch([ids_of, pa.array(ids, pa.binary())], names=["id", "ids"])
 
-    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, ids binary")
+    source = _source(docs, id_column, text_column)
+    return source.mapInArrow(giving_back(run), f"id {source.schema['id'].dataType.simpleString()}, ids binary")
 
 
 def decode_table(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
@@ -128,11 +130,38 @@ def decode_table(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     def run(batches):
         codec = Codec.of(rank_file, pattern)
         for batch in batches:
-            out = [codec.decode(np.frombuffer(x.as_py() or b"", dtype="<u4")) for x in batch.column("ids")]
-            yield pa.record_batch([batch.column("id"), batch.column("ids"), pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
+            for a, b in text_slices(batch.column("ids"), 4 * BLOCK_BYTES):
+                part = batch.slice(a, b - a)
+                out = [codec.decode(np.frombuffer(x.as_py() or b"", dtype="<u4")) for x in part.column("ids")]
+                yield pa.record_batch([part.column("id"), part.column("ids"), pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
 
     kind = encoded.schema["id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"id {kind}, ids binary, decoded binary")
+    return encoded.mapInArrow(giving_back(run), f"id {kind}, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``id, ids, decoded``: encoding and decoding of the ids in one pass, with one codec per worker."""
+
+    def run(batches):
+        codec = Codec.of(rank_file, pattern)
+        for ids_of, texts in _texts(batches):
+            ids = [codec.encode(t or "") for t in texts]
+            out = [codec.decode(x) for x in ids]
+            yield pa.record_batch([ids_of, pa.array([x.tobytes() for x in ids], pa.binary()), pa.array(out, pa.binary())], names=["id", "ids", "decoded"])
+
+    source = _source(docs, id_column, text_column)
+    return source.mapInArrow(giving_back(run), f"id {source.schema['id'].dataType.simpleString()}, ids binary, decoded binary")
+
+
+def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+
+
+def _texts(batches) -> Iterator[tuple[pa.Array, list[str | None]]]:
+    """Ids and texts in blocks of bounded size."""
+    for batch in batches:
+        for a, b in text_slices(batch.column(1)):
+            yield batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a).to_pylist()
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.textblocks import LOWER, as_bytes, gram_hashes, mix, text_slices, word_bounds, word_hashes
+from tidemark.llm.textblocks import LOWER, as_bytes, giving_back, gram_hashes, mix, text_slices, word_bounds, word_hashes
 from tidemark.session import materialize
 
 
@@ -125,7 +125,7 @@ def signatures(rows: DataFrame, setting: Setting) -> DataFrame:
                 )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, row_key bigint, n_shingles bigint, f1 bigint, f2 bigint, signature binary")
+    return rows.mapInArrow(giving_back(run), f"id {kind}, row_key bigint, n_shingles bigint, f1 bigint, f2 bigint, signature binary")
 
 
 def _classes(signed: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def _candidate_texts(rows: DataFrame, classes: DataFrame, buckets: DataFrame, se
                 right = (f1 == np.asarray(part.column("f1"))) & (f2 == np.asarray(part.column("f2")))
                 yield part.select(["node", "signature", "text"]).filter(pa.array(right))
 
-    checked = found.mapInArrow(same_class, "node bigint, signature binary, text string")
+    checked = found.mapInArrow(giving_back(same_class), "node bigint, signature binary, text string")
     one = checked.groupBy("node").agg(F.min("signature").alias("signature"), F.min("text").alias("text"))
     return materialize(one, "neardup-texts")
 
@@ -209,7 +209,7 @@ def _measured(pairs: DataFrame, texts: DataFrame, setting: Setting, all_of_them:
 
     first = pairs.join(texts.select(F.col("node").alias("b"), F.col("signature").alias("sign_b"), F.col("text").alias("text_b")), "b")
     both = first.join(texts.select(F.col("node").alias("a"), F.col("signature").alias("sign_a"), F.col("text").alias("text_a")), "a")
-    return both.mapInArrow(run, "a bigint, b bigint, common bigint, total bigint")
+    return both.mapInArrow(giving_back(run), "a bigint, b bigint, common bigint, total bigint")
 
 
 def _linked(measured: DataFrame, setting: Setting) -> DataFrame:
@@ -270,7 +270,7 @@ def _part_counts(apart: DataFrame, texts: DataFrame, setting: Setting) -> DataFr
                 yield pa.record_batch([batch.column(0).slice(a, b - a), lists], names=["node", "parts"])
 
     told = texts.join(apart.select("node").distinct(), "node", "left_semi").select("node", "text")
-    return told.mapInArrow(run, "node bigint, parts array<int>")
+    return told.mapInArrow(giving_back(run), "node bigint, parts array<int>")
 
 
 def _still_possible(

@@ -32,6 +32,8 @@ SQL: dict[str, str] = {}
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Words of a repeated passage, told next to the bytes.
+REPEAT_WORDS = 51
 TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -149,8 +151,7 @@ def op7(spark, sf_dir):
 @query("op8_byte_bpe")
 def op8(spark, sf_dir):
     """Ids of every text, decoded again to bytes."""
-    encoded = bpe.encode_table(table(spark, sf_dir, "documents"), RANK_FILE, PATTERN)
-    return bpe.digests(bpe.decode_table(encoded, RANK_FILE, PATTERN))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), RANK_FILE, PATTERN))
 
 
 @query("op9_html_extraction")
@@ -163,13 +164,15 @@ def op9(spark, sf_dir):
 
 @query("op10_suffix_array_dedup")
 def op10(spark, sf_dir):
-    """What is left of every document without its 400-byte repeats."""
-    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+    """What is left of every document without its 400-byte repeats, and how many of its words lie in repeats of 51 words."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), words=REPEAT_WORDS).select(
         F.col("id").alias("doc_id"),
         "n_bytes",
         "n_removed",
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "n_repeated_words",
+        (F.col("n_repeated_words") > 0).alias("has_repeated_passage"),
     )
 
 

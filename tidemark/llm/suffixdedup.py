@@ -13,6 +13,11 @@ No group is handled whole: equal pieces are counted by partial aggregation, and
 an anchor with more different pieces than ``GROUP`` takes another exact way,
 where each of its windows is counted by two hashes.
 
+``keep_first`` leaves the first occurrence of every repeated string, the one of
+the smallest row key and place: equal pieces but the first, and windows that
+occur in a piece before theirs.  Bytes shared by a first occurrence and another
+string's later one go with the later one; they stay where that one came first.
+
 Repeats can be asked for in words as well: each word is written as a code of
 ``CODE`` bytes, and repeats of so many codes are looked for in the same way.
 
@@ -34,7 +39,19 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.neardup import keyed
 from tidemark.llm.suffixsort import Pieces, repeated_windows
-from tidemark.llm.textblocks import BASE, BLOCK_BYTES, BYTE_VALUE, IS_SPACE, as_bytes, mix, powers, text_slices, word_bounds, word_hashes
+from tidemark.llm.textblocks import (
+    BASE,
+    BLOCK_BYTES,
+    BYTE_VALUE,
+    IS_SPACE,
+    as_bytes,
+    giving_back,
+    mix,
+    powers,
+    text_slices,
+    word_bounds,
+    word_hashes,
+)
 from tidemark.session import materialize
 
 #: Different pieces that are sorted together at most.
@@ -131,12 +148,12 @@ def _blocks(column: pa.Array, length: int):
             yield part, np.array([0, len(part)]), np.array([a]), np.array([at])
 
 
-def _pieces(rows: DataFrame, length: int, under_words: int | None = None) -> DataFrame:
+def _pieces(rows: DataFrame, length: int, under_words: int | None = None, keep_first: bool = False) -> DataFrame:
     """``anchor, content, weight, row_key, low, at, high``: one row per piece; or, with a null anchor, a stretch of sure repeats.
 
     A piece that comes several times in a block is a repeat: its first place is
-    kept as a piece of weight 2, and all its places as stretches, joined where
-    they touch.
+    kept as a piece of weight 2, and all its places (with ``keep_first`` all but
+    that one) as stretches, joined where they touch.
     """
 
     def run(batches):
@@ -153,10 +170,16 @@ def _pieces(rows: DataFrame, length: int, under_words: int | None = None) -> Dat
                     count=len(low),
                 )
                 shift = begin[text] - offsets[text]
+                key = keys[row[text]]
+                if keep_first:  # so that the first place of a piece is that of the smallest key
+                    by_key = np.lexsort((low + shift, key))
+                    text, low, high, at, gram, content, shift, key = (x[by_key] for x in (text, low, high, at, gram, content, shift, key))
                 both = np.stack([gram, content], axis=1)
                 _, first, back, count = np.unique(both, axis=0, return_index=True, return_inverse=True, return_counts=True)
                 again = count[back.ravel()] > 1
-                key = keys[row[text]]
+                if keep_first:
+                    mine = first[back.ravel()]
+                    again &= (key != key[mine]) | (low + shift != (low + shift)[mine])
                 out = [pa.array(gram.view(np.int64)[first]), pa.array(content.view(np.int64)[first]), pa.array(np.minimum(count, 2).astype(np.int32))]
                 out += [pa.array(key[first])] + [pa.array((x + shift)[first]) for x in (low, at, high)]
                 yield pa.record_batch(out, names=NAMES)
@@ -175,7 +198,7 @@ def _pieces(rows: DataFrame, length: int, under_words: int | None = None) -> Dat
                     )
 
     schema = "anchor bigint, content bigint, weight int, row_key bigint, low bigint, at bigint, high bigint"
-    return rows.select("row_key", "text").mapInArrow(run, schema)
+    return rows.select("row_key", "text").mapInArrow(giving_back(run), schema)
 
 
 NAMES = ["anchor", "content", "weight", "row_key", "low", "at", "high"]
@@ -205,12 +228,12 @@ def _texts_of(pieces: DataFrame, rows: DataFrame, length: int) -> DataFrame:
 
     found = rows.select("row_key", "text").join(listed, "row_key")
     return found.mapInArrow(
-        cut,
+        giving_back(cut),
         "anchor bigint, content bigint, weight int, low bigint, at bigint, high bigint, in_group bigint, row_key bigint, body binary",
     )
 
 
-def _sorted_repeats(pieces: DataFrame, buckets: int, length: int) -> DataFrame:
+def _sorted_repeats(pieces: DataFrame, buckets: int, length: int, keep_first: bool = False) -> DataFrame:
     """``row_key, start, end``: repeated stretches of single pieces, by sorting suffixes bucket by bucket."""
 
     def of_bucket(table: pa.Table) -> pa.Table:
@@ -218,7 +241,13 @@ def _sorted_repeats(pieces: DataFrame, buckets: int, length: int) -> DataFrame:
         col = {n: np.asarray(t.column(n)) for n in ("anchor", "content", "weight", "row_key", "low", "at", "high")}
         body = t.column("body").to_pylist()
         _, group = np.unique(col["anchor"], return_inverse=True)
-        found = repeated_windows(Pieces(body, col["at"] - col["low"], group), length, col["weight"] == 1)
+        sorted_pieces = Pieces(body, col["at"] - col["low"], group)
+        if keep_first:
+            rank = np.empty(len(body), dtype=np.int64)
+            rank[np.lexsort((col["low"], col["row_key"]))] = np.arange(len(body))
+            found = repeated_windows(sorted_pieces, length, np.ones(len(body), dtype=bool), rank)
+        else:
+            found = repeated_windows(sorted_pieces, length, col["weight"] == 1)
         i = np.array([f[0] for f in found], dtype=np.int64)
         near, far = (np.array([f[k] for f in found], dtype=np.int64) for k in (1, 2))
         at = col["at"][i]
@@ -228,7 +257,7 @@ def _sorted_repeats(pieces: DataFrame, buckets: int, length: int) -> DataFrame:
     return pieces.groupBy(bucket.alias("bucket")).applyInArrow(of_bucket, "row_key bigint, start bigint, end bigint")
 
 
-def _counted_repeats(pieces: DataFrame, length: int) -> DataFrame:
+def _counted_repeats(pieces: DataFrame, length: int, keep_first: bool = False) -> DataFrame:
     """The same for anchors with very many different pieces: every window is counted by two hashes of its bytes."""
 
     def windows(batches):
@@ -247,14 +276,17 @@ def _counted_repeats(pieces: DataFrame, length: int) -> DataFrame:
                 )
 
     every = pieces.mapInArrow(windows, "one bigint, two bigint, weight int, row_key bigint, start bigint")
-    again = every.groupBy("one", "two").agg(F.sum("weight").alias("n")).where("n > 1").select("one", "two")
-    hit = every.where("weight = 1").join(again, ["one", "two"])
+    place = F.struct("row_key", "start")
+    again = every.groupBy("one", "two").agg(F.sum("weight").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    hit = every.where(F.lit(True) if keep_first else F.col("weight") == 1).join(again, ["one", "two"])
+    if keep_first:
+        hit = hit.where(place != F.col("first"))
     return hit.select("row_key", "start", (F.col("start") + length).alias("end"))
 
 
-def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = None) -> DataFrame:
+def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = None, keep_first: bool = False) -> DataFrame:
     """``row_key, start, end`` of byte stretches of ``rows`` (row_key, text) to remove; they may overlap."""
-    pieces = materialize(_pieces(rows, length, under_words), "suffix-pieces")
+    pieces = materialize(_pieces(rows, length, under_words, keep_first), "suffix-pieces")
     sure = pieces.where("anchor is null").select("row_key", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     single = pieces.where("anchor is not null")
     shared = single.groupBy("anchor").agg(F.sum("weight").alias("n")).where("n > 1").select("anchor")
@@ -262,14 +294,18 @@ def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = N
     distinct = shared.groupBy("anchor", "content").agg(
         F.sum("weight").alias("n"),
         F.min("row_key").alias("row_key"),
-        *[F.min_by(c, "row_key").alias(c) for c in ("low", "at", "high")],
+        *[F.min_by(c, F.struct("row_key", "low")).alias(c) for c in ("low", "at", "high")],
     )
     distinct = materialize(
         distinct.withColumn("weight", F.least("n", F.lit(2)).cast("int")).drop("n"), "suffix-distinct"
     )
-    equal = shared.join(distinct.where("weight = 2").select("anchor", "content"), ["anchor", "content"])
+    twice = distinct.where("weight = 2").select("anchor", "content", F.struct("row_key", "low").alias("first"))
+    equal = shared.join(twice, ["anchor", "content"])
+    if keep_first:
+        equal = equal.where(F.struct("row_key", "low") != F.col("first"))
     equal = equal.select("row_key", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
-    groups = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("weight").alias("least")).where("n > 1 and least = 1")
+    groups = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("weight").alias("least"))
+    groups = groups.where("n > 1" if keep_first else "n > 1 and least = 1")
     mixed = distinct.join(groups.select("anchor", F.col("n").alias("in_group")), "anchor")
     # Rows with the same key have the same text; one piece of each is enough.
     bodies = _texts_of(mixed, rows, length)
@@ -281,9 +317,9 @@ def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = N
     out = sure.unionAll(equal)
     if size[0]:
         few = once.where(F.col("in_group") <= GROUP).drop("in_group")
-        out = out.unionAll(_sorted_repeats(few, math.ceil(size[0] / BUCKET_BYTES), length))
+        out = out.unionAll(_sorted_repeats(few, math.ceil(size[0] / BUCKET_BYTES), length, keep_first))
         if size[1] > GROUP:
-            out = out.unionAll(_counted_repeats(once.where(F.col("in_group") > GROUP), length))
+            out = out.unionAll(_counted_repeats(once.where(F.col("in_group") > GROUP), length, keep_first))
     return materialize(out.distinct(), "suffix-stretches")
 
 
@@ -299,21 +335,45 @@ def word_codes(rows: DataFrame) -> DataFrame:
                 out = pa.array([codes[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())
                 yield pa.record_batch([batch.column(0).slice(a, b - a), out], names=["row_key", "text"])
 
-    return rows.select("row_key", "text").mapInArrow(run, "row_key bigint, text binary")
+    return rows.select("row_key", "text").mapInArrow(giving_back(run), "row_key bigint, text binary")
 
 
-def repeated_words(rows: DataFrame, words: int) -> DataFrame:
+def repeated_words(rows: DataFrame, words: int, keep_first: bool = False) -> DataFrame:
     """``row_key, start, end``, in words: stretches of ``words`` words or more that occur again, whatever the blanks between them."""
-    found = repeated_stretches(word_codes(rows), CODE * words)
+    found = repeated_stretches(word_codes(rows), CODE * words, keep_first=keep_first)
     # A hash may end like another one: only whole codes count.
     whole = found.select("row_key", F.ceil(F.col("start") / CODE).alias("start"), F.floor(F.col("end") / CODE).alias("end"))
     return whole.where(F.col("end") - F.col("start") >= words).distinct()
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, row_key, n_bytes, n_removed, spans, kept`` of every row: the removed runs and the remaining bytes, put together."""
+def remove_repeats(
+    docs: DataFrame, length: int = 400, id_column: str = "doc_id", text_column: str = "text", words: int | None = None
+) -> DataFrame:
+    """``id, row_key, n_bytes, n_removed, spans, kept`` of every row: the removed runs and the remaining bytes, put together.
+
+    With ``words`` also ``n_repeated_words``: how many of its words lie in
+    stretches of so many words that occur again; nothing is removed for them.
+    """
     rows = keyed(docs, id_column, text_column)
-    stretches = repeated_stretches(rows, length)
+    done = _removed(rows, repeated_stretches(rows, length))
+    if words is None:
+        return done
+    again = repeated_words(rows, words).groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    # Stretches may overlap: each counts from where the ones before it end.
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("at"))
+
+    def add(a, x):
+        return F.struct(
+            (a["n"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["start"], a["at"]))).cast("bigint").alias("n"),
+            F.greatest(a["at"], x["end"]).cast("bigint").alias("at"),
+        )
+
+    counted = again.select("row_key", F.aggregate("runs", start, add, lambda a: a["n"]).alias("n_repeated_words"))
+    found = done.join(counted, "row_key", "left")
+    return found.select(*done.columns, F.coalesce("n_repeated_words", F.lit(0)).cast("bigint").alias("n_repeated_words"))
+
+
+def _removed(rows: DataFrame, stretches: DataFrame) -> DataFrame:
     listed = stretches.groupBy("row_key").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
 
     def run(batches):
@@ -341,7 +401,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_column: str = "doc_id"
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.join(listed, "row_key", "left").select("id", "row_key", "text", "cuts").mapInArrow(
-        run,
+        giving_back(run),
         f"id {kind}, row_key bigint, n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary",
     )
 
@@ -375,19 +435,21 @@ def without_repeats(
     text_column: str = "text",
     size_column: str = "n_chars",
     words: int | None = None,
+    keep_first: bool = False,
 ) -> DataFrame:
     """``docs`` with the repeats cut out of the texts, without rows of which nothing is left; columns unchanged.
 
     Repeats are those of ``length`` bytes and, if given, those of ``words``
     words, which are cut out from the first to the last whole word; windows of
-    bytes that hold so many words are left to them.  Of a character that was
+    bytes that hold so many words are left to them.  With ``keep_first`` the
+    first occurrence of each stays.  Of a character that was
     cut in two nothing stays.  ``size_column``, if there, becomes the number of
     characters of a text that was cut.
     """
     rows = keyed(docs, id_column, text_column)
-    stretches = repeated_stretches(rows, length, words).withColumn("in_words", F.lit(False))
+    stretches = repeated_stretches(rows, length, words, keep_first).withColumn("in_words", F.lit(False))
     if words is not None:
-        stretches = stretches.unionAll(repeated_words(rows, words).withColumn("in_words", F.lit(True)))
+        stretches = stretches.unionAll(repeated_words(rows, words, keep_first).withColumn("in_words", F.lit(True)))
     listed = stretches.groupBy("row_key").agg(F.collect_list(F.struct("start", "end", "in_words")).alias("cuts"))
     names = [f"d{i}" for i in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
@@ -418,7 +480,7 @@ def without_repeats(
                 columns[place] = pa.array([t for t, _ in texts], part.schema.field(place).type)
                 yield pa.record_batch(columns, names=names).filter(pa.array([stays for _, stays in texts]))
 
-    cut = joined.mapInArrow(run, plain.schema)
+    cut = joined.mapInArrow(giving_back(run), plain.schema)
     if size_column in of:
         n, t = F.col(of[size_column]), F.col(of[text_column])
         kind = docs.schema[size_column].dataType

@@ -148,9 +148,11 @@ def _largest(order: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_windows(pieces: Pieces, length: int, wanted: np.ndarray) -> list[tuple[int, int, int]]:
+def repeated_windows(pieces: Pieces, length: int, wanted: np.ndarray, rank: np.ndarray | None = None) -> list[tuple[int, int, int]]:
     """``(piece, low, high)``: the windows of ``length`` bytes that begin ``low`` to ``high`` bytes before the anchor occur in another piece.
 
+    With ``rank``, in another piece of smaller rank: all occurrences but the first.
+
     A window that begins j bytes before the anchor occurs in another piece if
     both share j bytes before it and ``length - j`` from it on.  From its place
     in the sorted suffixes each wanted piece looks at neighbours further and
@@ -193,6 +195,8 @@ def repeated_windows(pieces: Pieces, length: int, wanted: np.ndarray) -> list[tu
             for i in wrong:  # a collision: count on the bytes
                 back[i] = _common_bytes(pieces._extension(who[i], False), pieces._extension(other[i], False))
             high = np.minimum(back, top[who])
+            if rank is not None:
+                high = np.where(rank[other] < rank[who], high, -1)
             covered[line[who]] |= (before >= low[:, None]) & (before <= high[:, None])
     return _runs(covered, rows)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textblocks import LOWER, as_bytes, mix, text_slices, word_bounds, word_hashes
+from tidemark.llm.textblocks import LOWER, as_bytes, giving_back, text_slices, word_bounds, word_hashes
 
 #: Characters cut from both ends of a word, so that punctuation does not split a word's evidence.
 EDGE_PUNCTUATION = np.frombuffer(b".,;:!?\"'()[]*#$%&-", dtype=np.uint8)
@@ -48,8 +48,9 @@ class Model:
     def scores(self, column: pa.Array) -> np.ndarray:
         """Score of each text, between 0 and 1."""
         index, value, first = features(column, self.bits)
-        sums = np.concatenate([[0.0], np.cumsum(self.weights[index] * value)])
-        z = sums[first[1:]] - sums[first[:-1]] + self.intercept
+        parts = np.append(self.weights[index] * value, 0.0)  # a text's own words are added up, whatever stands next to it
+        sums = np.where(first[1:] > first[:-1], np.add.reduceat(parts, first[:-1]), 0.0)
+        z = sums + self.intercept
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -80,7 +81,7 @@ def _sample_features(texts: DataFrame, bits: int) -> list[tuple[np.ndarray, np.n
                 cut = lambda x: pa.array([x[first[i] : first[i + 1]].tobytes() for i in range(b - a)], pa.binary())  # noqa: B023, E731
                 yield pa.record_batch({"index": cut(index.astype(np.int32)), "value": cut(value.astype(np.float32))})
 
-    rows = texts.select("text").mapInArrow(run, "index binary, value binary").collect()
+    rows = texts.select("text").mapInArrow(giving_back(run), "index binary, value binary").collect()
     pairs = [(np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32)) for r in rows]
     return sorted(pairs, key=lambda p: (p[0].tobytes(), p[1].tobytes()))  # the order of a collect is not fixed
 
@@ -242,7 +243,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
 
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, score double")
+    return source.mapInArrow(giving_back(run), f"id {kind}, score double")
 
 
 def below(docs: DataFrame, model: Model, limit: float, text_column: str = "text") -> DataFrame:
@@ -257,4 +258,4 @@ def below(docs: DataFrame, model: Model, limit: float, text_column: str = "text"
                 keep = shared.value.scores(texts.slice(a, b - a)) < limit
                 yield batch.slice(a, b - a).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
