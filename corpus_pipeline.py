@@ -1,7 +1,7 @@
 """A training corpus in five stages, each a Spark job over all that its predecessor kept.
 
 toxicity (toxic documents go), MinHash near-dedup (one document of each group
-stays), suffix-array dedup (passages of over 50 words that occur again are cut out), mixing sources to target
+stays), suffix-array dedup (passages of over 50 words that occur again are cut out but for one), mixing sources to target
 weights (documents are repeated or left out), byte-level BPE (texts become ids).
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
@@ -39,13 +39,14 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their long repeats; documents of which nothing is left go.
+    """Texts without their long repeats but the first of each; documents of which nothing is left go.
 
-    A cut may fall inside a character; what is left of it is dropped, and
+    The first is that of the smallest row key and place, so what documents
+    share stays in the corpus once.  A cut may fall inside a character; what is left of it is dropped, and
     ``n_chars`` follows the text.  Untouched documents stay as they are.
     """
     ship.ensure(spark)
-    return suffixdedup.without_repeats(docs, REPEAT_BYTES, words=REPEAT_WORDS)
+    return suffixdedup.without_repeats(docs, REPEAT_BYTES, words=REPEAT_WORDS, keep_first=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document taken, once for each time."""
     ship.ensure(spark)
-    encoded = bpe.encode_table(docs, queries.RANK_FILE, queries.PATTERN)
-    decoded = bpe.decode_table(encoded, queries.RANK_FILE, queries.PATTERN)
-    return bpe.digests(decoded)
+    return bpe.digests(bpe.round_trip(docs, queries.RANK_FILE, queries.PATTERN))
 
 
 STAGES = [
