@@ -242,3 +242,88 @@ def test_late_rows_of_a_closed_window_are_counted(spark, tmp_path):
 
     assert land((1, 3), (9, 1)) == 0
     assert land((1, 5), (1, 6), (9, 2)) > 0
+
+
+# --- unit-root screen in aggregates ------------------------------------------------
+
+
+def _walks(panel_of, n_series=6, n=150):
+    rng = np.random.default_rng(12)
+    days = pd.date_range("2010-01-01", periods=n, freq="D")
+    series = {}
+    for k in range(n_series):
+        noise = rng.normal(size=n)
+        keep = [1.0, 0.9, 0.5, 0.0, 1.0, 0.97][k % 6]
+        level = 50.0 * k
+        values = []
+        for i, e in enumerate(noise):
+            level = keep * level + e + (0.4 * noise[i - 1] if i else 0)
+            values.append(level)
+        series[f"w{k}"] = pd.Series(values, days)
+    series["w1"].iloc[40:45] = None
+    return panel_of(series)
+
+
+def test_fixed_lag_equals_least_squares_at_the_chosen_lag(spark, panel_of):
+    from tidemark.operators import stationarity as U
+
+    panel = _walks(panel_of)
+    searched = {r.series_id: r for r in T.adf_screen(panel).collect()}
+    chosen = {r.series_id: r.p for r in U.choose_lags(panel).collect()}
+    assert chosen == {s: r.used_lag for s, r in searched.items()}
+    lags = spark.createDataFrame(list(chosen.items()), "series_id string, p int")
+    for r in U.adf_fixed_lag(panel, lags).collect():
+        assert r.n == searched[r.series_id].n and r.used_lag == chosen[r.series_id]
+        assert abs(r.adf_stat - searched[r.series_id].adf_stat) < 1e-7
+        assert abs(r.p_value - searched[r.series_id].p_value) < 1e-9
+
+
+@pytest.mark.parametrize("lags", [0, 1, 5])
+def test_fixed_lag_equals_numpy(panel_of, lags):
+    from tidemark.operators import stationarity as U
+
+    panel = _walks(panel_of)
+    got = {r.series_id: r for r in U.adf_fixed_lag(panel, lags).collect()}
+    for sid in got:
+        y = np.array([r.value for r in panel.where(f"series_id = '{sid}' and value is not null").orderBy("date").collect()])
+        d = np.diff(y)
+        at = np.arange(lags, len(d))
+        x = np.column_stack([y[at], np.ones(len(at)), *[d[at - j] for j in range(1, lags + 1)]])
+        beta, *_ = np.linalg.lstsq(x, d[at], rcond=None)
+        rest = d[at] - x @ beta
+        error = np.sqrt(rest @ rest / (len(at) - lags - 2) * np.linalg.inv(x.T @ x)[0, 0])
+        assert abs(got[sid].adf_stat - beta[0] / error) < 1e-7 and got[sid].obs == len(at)
+
+
+def test_screen_skips_and_advises(spark, panel_of):
+    from tidemark.operators import stationarity as U
+
+    rng = np.random.default_rng(2)
+    days = pd.date_range("2000-01-31", periods=90, freq="ME")
+    panel = panel_of(
+        {
+            "noise": pd.Series(rng.normal(size=90), days),
+            "walk": pd.Series(np.cumsum(rng.normal(size=90)), days),
+            "short": pd.Series(rng.normal(size=20), days[:20]),
+            "flat": pd.Series(np.ones(90), days),
+        }
+    )
+    rows = [("A", "n", "level", "noise"), ("A", "w", "level", "walk"), ("A", "f", "level", "flat"), ("A", "x", "level", "nobody"), ("B", "s", "month_diff", "short"), ("B", "dw", "month_diff", "walk")]
+    items = spark.createDataFrame(rows, "section string, label string, transform string, series_id string")
+    report = {r.series: r for r in U.screen(U.screen_inputs(panel, items), items).collect()}
+    assert {k: r.verdict for k, r in report.items()} == {
+        "n": "stationary", "w": "non-stationary", "f": "SKIP: no variation", "x": "SKIP: no data", "s": "SKIP: n<48", "dw": "stationary",
+    }
+    assert report["n"].recommendation == "expanding" and report["w"].recommendation == "rolling(252d)"
+    assert report["dw"].recommendation == "OK as FM factor" and report["s"].recommendation == ""
+    assert (report["x"].n, report["s"].n, report["dw"].n) == (0, 19, 89) and report["s"].start is None
+
+
+def test_normal_distribution_function(spark):
+    import math
+
+    from tidemark.functions.numeric import normal_cdf
+
+    points = [-9.0, -6.0, -3.5, -1.0, -0.1, 0.0, 0.7, 2.5, 6.5, 8.0]
+    df = spark.createDataFrame([(x,) for x in points], "x double").select("x", normal_cdf(F.col("x")).alias("p"))
+    assert all(abs(r.p - 0.5 * math.erfc(-r.x / math.sqrt(2))) < 1e-12 for r in df.collect())
