@@ -54,8 +54,8 @@ from tidemark.llm.textblocks import (
 )
 from tidemark.session import materialize
 
-#: Different pieces that are sorted together at most.
-GROUP = 1000
+#: Different pieces of one anchor that are sorted together at most; about 10 MB of text and 80 MB of hashes.
+GROUP = 20_000
 #: Bytes of pieces in a bucket, on average.
 BUCKET_BYTES = 2 << 20
 #: Low bits of a key that hold a place in the block; a block has fewer bytes.

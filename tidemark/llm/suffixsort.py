@@ -20,6 +20,10 @@ import numpy as np
 from tidemark.llm.textblocks import BYTE_VALUE, powers
 
 
+#: Bytes hashed or compared at once.
+PART = 1 << 19
+
+
 class Pieces:
     """Pieces laid out in one buffer, ordered by group, with their prefix hashes."""
 
@@ -31,15 +35,26 @@ class Pieces:
         self.groups = np.asarray(groups, dtype=np.int64)
         self.at = self.starts + self.anchors
         self.after = self.sizes - self.anchors
-        self.power = powers(len(self.data) + 1)
-        self.prefix = np.concatenate([[np.uint64(0)], np.cumsum(BYTE_VALUE[self.data] * self.power[:-1])])
+        # Written part by part: only the prefix hashes and the powers at the anchors are kept.
+        self.prefix = np.zeros(len(self.data) + 1, dtype=np.uint64)
+        self.power = np.zeros(len(self.at), dtype=np.uint64)
+        table = powers(min(PART, len(self.data)) + 1)
+        scale, by_place = np.uint64(1), np.argsort(self.at, kind="stable")
+        for low in range(0, max(1, len(self.data)), PART):
+            part = self.data[low : low + PART]
+            values = np.cumsum(BYTE_VALUE[part] * (table[: len(part)] * scale)) + self.prefix[low]
+            self.prefix[low + 1 : low + 1 + len(part)] = values
+            first, last = np.searchsorted(self.at[by_place], (low, low + PART))
+            who = by_place[first:last]
+            self.power[who] = table[self.at[who] - low] * scale
+            scale = scale * table[-1] if len(part) == PART else scale
 
     def common(self, x: np.ndarray, y: np.ndarray, forward: bool) -> np.ndarray:
         """Length of the common extension of pieces x and y from their anchors, to either side, by binary search."""
         px, py = self.at[x], self.at[y]
         room = self.after if forward else self.anchors
         low, high = np.zeros(len(x), dtype=np.int64), np.minimum(room[x], room[y])
-        wx, wy = self.power[px], self.power[py]
+        wx, wy = self.power[x], self.power[y]
         while True:
             open_ = np.flatnonzero(low < high)
             if not len(open_):
@@ -65,6 +80,10 @@ class Pieces:
         total = int(length.sum())
         if not total:
             return np.ones(len(x), dtype=bool)
+        if total > 2 * PART and len(x) > 1:
+            half = len(x) // 2
+            parts = (slice(None, half), slice(half, None))
+            return np.concatenate([self.equal_bytes(x[p], y[p], length[p], forward) for p in parts])
         first = np.cumsum(length) - length
         within = np.arange(total) - np.repeat(first, length)
         back = np.zeros_like(length) if forward else length
