@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import statistics as _statistics  # noqa: F401  registers the SQL used below
 from catalog.base import (
+    CTES,
     SQL,
     job_registry,
     money,
@@ -26,7 +27,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators import stats as T
 from tidemark.plans import pipeline
 from tidemark.plans import warehouse as W
-from tidemark.plans.features import apply_transforms
+from tidemark.plans.features import OwnTransform, apply_transforms
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import store as S
 
@@ -133,6 +134,57 @@ def pipeline_run(spark, d):
     return spark.read.parquet(paths["monitoring"]).select("series_id", "transform", "date", r("value", 5))
 
 
+#: The supplier values at the frequency each series declares; weekly instead of daily, and monthly for those of vintages.
+_DECLARED = """SELECT series_id, CASE frequency WHEN 'W' THEN CAST(date_trunc('week', date) AS DATE) + 6 WHEN 'M' THEN last_day(date)
+  ELSE last_day(date_trunc('quarter', date) + INTERVAL 2 MONTH) END AS date, arg_max(value, date) AS value
+  FROM (SELECT * FROM ({daily}) WHERE value IS NOT NULL) JOIN (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS series_id, {frequency} AS frequency
+    FROM supplier) USING (series_id) GROUP BY 1, 2"""
+_FREQUENCY = "CASE WHEN s_suppkey % 7 = 0 THEN 'M' ELSE ['W', 'W', 'M', 'Q'][CAST(s_suppkey % 4 + 1 AS INTEGER)] END"
+_GUARDED_SQL = SQL["features_mon"].replace(
+    f"s3 AS ({CTES['s3']})", f"s3 AS ({_DECLARED.format(daily=CTES['s3'], frequency=_FREQUENCY)})"
+).replace("['D', 'W', 'M', 'Q'][CAST(s_suppkey % 4 + 1 AS INTEGER)]", _FREQUENCY)
+
+
+@query("pipeline_guarded", _GUARDED_SQL)
+def pipeline_guarded(spark, d):
+    """The whole batch job with the frequency guard on, over series that have the frequency they declare."""
+    registry = job_registry(spark, d)
+    declared = F.when(F.col("is_vintage"), "M").otherwise(F.when(F.col("frequency") == "D", "W").otherwise(F.col("frequency")))
+    registry = registry.withColumn("frequency", declared)
+    panel = C.to_native(supplier_daily(spark, d).where("value is not null"), registry, [])
+    paths = pipeline.run(
+        spark, panel.select("series_id", "date", "value"), registry, scratch_path(spark, "job"), vintages=ordered_vintages(spark, d), buckets=8
+    )
+    return spark.read.parquet(paths["monitoring"]).select("series_id", "transform", "date", r("value", 5))
+
+
+@query(
+    "features_own",
+    with_ctes(
+        "s3v",
+        "reg",
+        body=""", n AS (SELECT series_id, last_day(date) AS label, arg_max(value, s3v.date) AS value FROM s3v GROUP BY 1, 2),
+h AS (SELECT series_id, label, CASE WHEN count(*) OVER w >= 3 THEN value / max(value) OVER w - 1 END AS value
+  FROM n WINDOW w AS (PARTITION BY series_id ORDER BY label ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+g AS (SELECT DISTINCT date FROM s3v)
+SELECT series_id, 'level' AS transform, date, round(value, 5) AS value FROM s3v
+UNION ALL SELECT k.series_id, 'drawdown', k.date, round(h.value, 5)
+  FROM (SELECT * FROM (SELECT DISTINCT series_id FROM n), g) k ASOF JOIN h ON k.series_id = h.series_id AND k.date >= h.label""",
+    ),
+)
+def features_own(spark, d):
+    """A transform defined here, not in the package: the distance from the highest of the last three months."""
+
+    def drawdown(value, series):
+        recent = series.rowsBetween(-2, 0)
+        return F.when(F.count(value).over(recent) >= 3, value / F.max(value).over(recent) - 1)
+
+    panel = materialize(supplier_daily(spark, d).where("value is not null"), "own-panel")
+    registry = supplier_registry(spark, d).withColumns({"frequency": F.lit("M"), "mon_transforms": F.array(F.lit("drawdown_3m"))})
+    out = apply_transforms(panel, registry, "mon", own={"drawdown_3m": OwnTransform("drawdown", drawdown)})
+    return out.select("series_id", "transform", "date", r("value", 5))
+
+
 @query("warehouse_load", FACT_SQL + "SELECT transform, count(*) AS n FROM fact GROUP BY 1")
 def warehouse_load(spark, d):
     """Two loads of the same facts: the second one adds nothing."""

@@ -327,3 +327,48 @@ def test_normal_distribution_function(spark):
     points = [-9.0, -6.0, -3.5, -1.0, -0.1, 0.0, 0.7, 2.5, 6.5, 8.0]
     df = spark.createDataFrame([(x,) for x in points], "x double").select("x", normal_cdf(F.col("x")).alias("p"))
     assert all(abs(r.p - 0.5 * math.erfc(-r.x / math.sqrt(2))) < 1e-12 for r in df.collect())
+
+
+def test_pipeline_refuses_a_rolling_window_on_a_wrong_frequency_in_the_feature_list(spark, panel_of, vintages_of, registry_of):
+    """The series is only in the feature list, once by its own dates and once by those of its vintages."""
+    days = pd.date_range("2015-01-31", periods=60, freq="ME")
+    monthly = panel_of({"m": pd.Series(range(60), days, dtype=float), "d": walk(50)})
+    v = vintages_of([("v", str((d + pd.Timedelta(days=20)).date()), str(d.date()), float(i)) for i, d in enumerate(days)])
+
+    def registry(frequency, sid):
+        reg = registry_of({"m": {"lag": 1, "frequency": "M"}, "d": {"lag": 1, "frequency": "D"}, "v": {"vintage": True, "frequency": "M"}})
+        rolling, none = F.array(F.lit("zscore_rolling_1y")), F.array().cast("array<string>")
+        return reg.withColumns(
+            {
+                "frequency": F.when(F.col("series_id") == sid, frequency).otherwise(F.col("frequency")),
+                "is_vintage": F.col("series_id") == "v",
+                "mon_transforms": none,
+                "fm_transforms": F.when(F.col("series_id") == sid, rolling).otherwise(none),
+            }
+        )
+
+    for sid in ("m", "v"):
+        pipeline.run(spark, monthly, registry("M", sid), scratch_path(spark, "p"), vintages=v, buckets=4)
+        with pytest.raises(Exception, match="is declared D but its dates are"):
+            pipeline.run(spark, monthly, registry("D", sid), scratch_path(spark, "p"), vintages=v, buckets=4)
+
+
+def test_own_transforms_join_the_dispatch(spark, panel_of, registry_of):
+    from tidemark.plans.features import OwnTransform, apply_transforms
+
+    panel = panel_of({"a": walk(60), "b": walk(60, seed=2)})
+    reg = registry_of({"a": {"lag": 1}, "b": {"lag": 1}}).withColumn(
+        "mon_transforms", F.when(F.col("series_id") == "a", F.array(F.lit("doubled"), F.lit("step"), F.lit("diff"))).otherwise(F.array(F.lit("diff")))
+    )
+    own = {
+        "doubled": OwnTransform("twice", lambda v, series: v * 2),
+        "step": OwnTransform("step", lambda v, series: v - F.lag(v, 5).over(series), counts="rows"),
+    }
+    got = {(r.series_id, r.transform): r.n for r in apply_transforms(panel, reg, "mon", own=own).where("value is not null").groupBy("series_id", "transform").agg(F.count("*").alias("n")).collect()}
+    assert got == {("a", "level"): 60, ("a", "twice"): 60, ("a", "step"): 55, ("a", "diff"): 59, ("b", "level"): 60, ("b", "diff"): 59}
+    with pytest.raises(Exception, match="unknown transform for a: doubled"):
+        apply_transforms(panel, reg, "mon", own={"step": own["step"]}).count()
+    with pytest.raises(ValueError, match="must be new"):
+        apply_transforms(panel, reg, "mon", own={"diff": own["step"]})
+    with pytest.raises(ValueError, match="counts"):
+        OwnTransform("x", own["step"].build, counts="weeks")

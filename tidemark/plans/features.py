@@ -7,7 +7,10 @@ frequency and window lengths along as columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import PERIODS_PER_YEAR
@@ -24,6 +27,29 @@ NATIVE = ("diff", "yoy", "zscore_expanding")
 ROW_COUNTED = ("pct_change_1m", "diff_bps")
 
 
+@dataclass(frozen=True)
+class OwnTransform:
+    """A transform defined by the caller, used in the registry by its name.
+
+    ``build`` gets the value column and the window of a series in date order and
+    returns a column; it must read rows up to the current one only.  ``counts``
+    says what a row is: ``native``, a period of the series' own frequency, or
+    ``rows``, a day of the panel with the last value carried forward.
+    """
+
+    suffix: str
+    build: Callable[[Column, WindowSpec], Column]
+    counts: str = "native"
+
+    def __post_init__(self):
+        if self.counts not in ("native", "rows"):
+            raise ValueError(f"a transform counts 'native' periods or 'rows', got {self.counts!r}")
+
+
+def _own_of(own: Mapping[str, OwnTransform], counts: str) -> dict[str, OwnTransform]:
+    return {name: t for name, t in own.items() if t.counts == counts}
+
+
 def _wants(*names: str) -> Column:
     return F.arrays_overlap("transforms", F.array(*[F.lit(n) for n in names]))
 
@@ -32,32 +58,36 @@ def _has(name: str) -> Column:
     return F.array_contains("transforms", name)
 
 
-def _checked(transforms: str) -> Column:
+def _checked(transforms: str, own: Mapping[str, OwnTransform]) -> Column:
     """The transform list, failing the job on a name nobody implements."""
-    unknown = F.array_except(F.col(transforms), F.array(*[F.lit(n) for n in SUFFIX]))
+    unknown = F.array_except(F.col(transforms), F.array(*[F.lit(n) for n in (*SUFFIX, *own)]))
     message = F.concat(F.lit("unknown transform for "), F.col("series_id"), F.lit(": "), F.array_join(unknown, ","))
     return F.when(F.size(unknown) > 0, F.raise_error(message).cast("array<string>")).otherwise(F.col(transforms))
 
 
 def _collect_long(df: DataFrame, named: dict[str, tuple[Column, Column]], *keep: str) -> DataFrame:
-    """One output row per wanted transform: ``{transform: (is wanted, value)}``."""
+    """One output row per wanted transform: ``{suffix: (is wanted, value)}``."""
     items = F.array(
         *[
-            F.when(wanted, F.struct(F.lit(SUFFIX[t]).alias("transform"), value.alias("value")))
-            for t, (wanted, value) in named.items()
+            F.when(wanted, F.struct(F.lit(suffix).alias("transform"), value.alias("value")))
+            for suffix, (wanted, value) in named.items()
         ]
     )
     return df.select("series_id", "date", *keep, F.inline(F.array_compact(items)))
 
 
-def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column, month_rule: str) -> DataFrame:
+def _native_transforms(
+    panel: DataFrame, spec: DataFrame, lag: int, end: Column, month_rule: str, own: Mapping[str, OwnTransform]
+) -> DataFrame:
     """Transforms of native-frequency rows, labelled with the days they are the latest for.
 
     Running statistics and offsets come first; then each row is handed to one
     task per rolling window its series asks for (and one for the rest), and the
     rolling pass runs per (series, task) on the partitioning already there.
     """
-    wanted = spec.where(_wants(*NATIVE, *ROLLING_YEARS))
+    own = _own_of(own, "native")
+    plain_names = (*NATIVE, *own)
+    wanted = spec.where(_wants(*plain_names, *ROLLING_YEARS))
     native = validity(to_native(panel, wanted, ["transforms"], month_rule), "date", end=end)
     value, freq = F.col("value"), F.col("frequency")
     base, need = F.lit(None).cast("double"), F.lit(None).cast("int")
@@ -69,11 +99,12 @@ def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column,
     rows = (
         expanding_moments(native, lag)
         .withColumns({"__diff": value - previous, "__yoy": pct_change(value, base), "__exp_z": z})
+        .withColumns({f"__own{i}": t.build(value, by_date()) for i, t in enumerate(own.values())})
         .drop("exp_n", "exp_mean", "exp_std")
     )
     tasks = F.array_compact(
         F.array(
-            F.when(_wants(*NATIVE), F.lit(0)),
+            F.when(_wants(*plain_names), F.lit(0)),
             *[F.when(_has(name), F.lit(years)) for name, years in ROLLING_YEARS.items()],
         )
     )
@@ -84,21 +115,23 @@ def _native_transforms(panel: DataFrame, spec: DataFrame, lag: int, end: Column,
     done = rolling_zscore(tasked, "__rows", lag=lag, by=["series_id", "task"])
     plain = F.col("task") == 0
     named = {
-        "diff": (plain & _has("diff"), F.col("__diff")),
-        "yoy": (plain & _has("yoy"), F.col("__yoy")),
-        "zscore_expanding": (plain & _has("zscore_expanding"), F.col("__exp_z")),
+        SUFFIX["diff"]: (plain & _has("diff"), F.col("__diff")),
+        SUFFIX["yoy"]: (plain & _has("yoy"), F.col("__yoy")),
+        SUFFIX["zscore_expanding"]: (plain & _has("zscore_expanding"), F.col("__exp_z")),
     }
-    named |= {name: (F.col("task") == years, F.col("z")) for name, years in ROLLING_YEARS.items()}
+    named |= {t.suffix: (plain & _has(name), F.col(f"__own{i}")) for i, (name, t) in enumerate(own.items())}
+    named |= {SUFFIX[name]: (F.col("task") == years, F.col("z")) for name, years in ROLLING_YEARS.items()}
     return _collect_long(done, named, "valid_to")
 
 
-def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Column) -> DataFrame:
+def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Column, own: Mapping[str, OwnTransform]) -> DataFrame:
     """Transforms counting the rows of the panel's date index.
 
     The index is that of all series together: a day another series was observed
     on is a row here too, holding nothing new.
     """
-    wanted = spec.where(_wants(*ROW_COUNTED)).select("series_id", "transforms")
+    own = _own_of(own, "rows")
+    wanted = spec.where(_wants(*ROW_COUNTED, *own)).select("series_id", "transforms")
     valued = panel.where(F.col("value").isNotNull()).join(wanted, "series_id")
     held = spread_on_days(validity(valued, "date", end=end), "date", "day")
     rows = (
@@ -108,11 +141,9 @@ def _row_transforms(panel: DataFrame, spec: DataFrame, grid: DataFrame, end: Col
     )
     pct = pct_change(F.col("filled"), F.lag("filled", 21).over(by_date()))
     bps = (F.col("observed") - F.lag("observed", 1).over(by_date())) * 100.0
-    rows = rows.withColumns({"__pct": pct, "__bps": bps})
-    return _collect_long(
-        rows,
-        {"pct_change_1m": (_has("pct_change_1m"), F.col("__pct")), "diff_bps": (_has("diff_bps"), F.col("__bps"))},
-    )
+    rows = rows.withColumns({"__pct": pct, "__bps": bps} | {f"__own{i}": t.build(F.col("filled"), by_date()) for i, t in enumerate(own.values())})
+    named = {SUFFIX["pct_change_1m"]: (_has("pct_change_1m"), F.col("__pct")), SUFFIX["diff_bps"]: (_has("diff_bps"), F.col("__bps"))}
+    return _collect_long(rows, named | {t.suffix: (_has(name), F.col(f"__own{i}")) for i, (name, t) in enumerate(own.items())})
 
 
 def _frequency_kept(panel: DataFrame, spec: DataFrame) -> DataFrame:
@@ -134,6 +165,17 @@ def _frequency_kept(panel: DataFrame, spec: DataFrame) -> DataFrame:
     return spec.join(found, "series_id", "left").select("series_id", "frequency", kept.alias("transforms"))
 
 
+def with_checked_frequency(registry: DataFrame, dates: DataFrame, transforms: str) -> DataFrame:
+    """``registry`` whose list ``transforms`` fails the job that reads it, if a rolling window there contradicts the data.
+
+    ``dates`` is a panel of data dates; several rows of one date count once.
+    The check runs as part of the pass that uses the list.
+    """
+    kept = _frequency_kept(dates, registry.select("series_id", "frequency", F.col(transforms).alias("transforms")))
+    columns = [F.col("__kept").alias(c) if c == transforms else F.col(c) for c in registry.columns]
+    return registry.join(kept.select("series_id", F.col("transforms").alias("__kept")), "series_id").select(*columns)
+
+
 def apply_transforms(
     panel: DataFrame,
     registry: DataFrame,
@@ -141,6 +183,7 @@ def apply_transforms(
     lag: int = 0,
     month_rule: str = "ME",
     check_frequency: bool = True,
+    own: Mapping[str, OwnTransform] | None = None,
 ) -> DataFrame:
     """All configured transforms of all registered series, long: ``series_id, transform, date, value``.
 
@@ -152,18 +195,23 @@ def apply_transforms(
 
     A rolling window asked for a series whose dates contradict its declared
     frequency fails the job; ``check_frequency=False`` is for irregular series
-    that are meant to be resampled.
+    that are meant to be resampled.  ``own`` adds transforms by name; they take
+    part in the same passes.  Names and suffixes of the given ones are refused.
     """
+    own = dict(own or {})
+    taken = set(own) & set(SUFFIX) | {t.suffix for t in own.values()} & set(SUFFIX.values())
+    if taken or len({t.suffix for t in own.values()}) < len(own):
+        raise ValueError(f"names and suffixes of own transforms must be new and distinct: {sorted(taken)}")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}, got {mode!r}")
     if mode == "fm" and month_rule != "ME":
         raise ValueError(f"month rule {month_rule!r} shows a month before it is over; features need 'ME'")
-    spec = registry.select("series_id", "frequency", _checked(MODES[mode]).alias("transforms"))
+    spec = registry.select("series_id", "frequency", _checked(MODES[mode], own).alias("transforms"))
     if check_frequency:
         spec = _frequency_kept(panel, spec)
     grid = panel.select("date")
     end = panel.agg(F.max("date")).scalar()
-    labelled = _native_transforms(panel, spec, lag, end, month_rule)
+    labelled = _native_transforms(panel, spec, lag, end, month_rule, own)
     held = (
         spread_on_days(labelled, "date", "day")
         .join(calendar_side(grid, name="day"), "day", "left_semi")
@@ -172,5 +220,5 @@ def apply_transforms(
     levels = panel.join(spec.select("series_id"), "series_id", "left_semi").select(
         "series_id", F.lit("level").alias("transform"), "date", "value"
     )
-    counted = _row_transforms(panel, spec, grid, end).select("series_id", "transform", "date", "value")
+    counted = _row_transforms(panel, spec, grid, end, own).select("series_id", "transform", "date", "value")
     return levels.unionByName(counted).unionByName(held)

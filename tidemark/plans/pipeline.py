@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.merge import accumulate, join_registered
 from tidemark.operators.pit import pit_panel
 from tidemark.operators.quality import coverage_violations, dropped_counts, enforce, require_rows
-from tidemark.plans.features import apply_transforms
+from tidemark.plans.features import OwnTransform, apply_transforms, with_checked_frequency
 from tidemark.sources import store
 from tidemark.sources.registry import validate
 
@@ -24,6 +27,7 @@ def run(
     mode: str = "errorifexists",
     tables: str | None = None,
     check_frequency: bool = True,
+    own: Mapping[str, OwnTransform] | None = None,
 ) -> dict[str, str]:
     """Write the raw, monitoring, point-in-time and feature tables below ``out``; returns their paths.
 
@@ -32,7 +36,10 @@ def run(
     history of named series: a violation stops the job before the
     point-in-time tables are written.  Each stage reads the stored result of the
     one before, so nothing is computed twice and a lost executor costs its tasks
-    only.  With a table name prefix in ``tables`` the two panels are saved as
+    only.  A rolling window of a series whose data dates contradict its declared
+    frequency stops the job in either list, for a series of vintages by the
+    dates of those; ``check_frequency=False`` leaves that out.  ``own`` are
+    further transforms by name.  With a table name prefix in ``tables`` the two panels are saved as
     tables bucketed by series, and the passes over them do not shuffle.
     """
     paths = {name: f"{out}/{name}" for name in ("raw", "monitoring", "pit", "features")}
@@ -54,12 +61,19 @@ def run(
         panel = joined
     raw = stored(panel, "raw")
 
-    store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency), paths["monitoring"], buckets, mode)
+    store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency, own=own), paths["monitoring"], buckets, mode)
 
     pit = pit_panel(raw, vintages, registry)
     if floors is not None:
         enforce(coverage_violations(pit, floors), "protected history is too short")
-    # The stored grid is daily for every series; their own dates were checked above.
-    features = apply_transforms(stored(pit, "pit"), registry, "fm", check_frequency=False)
+    # The stored grid is daily for every series, so the list is checked on the dates behind it.
+    checked = registry
+    if check_frequency:
+        listed = registry.where("is_vintage").select("series_id")
+        dates = raw.select("series_id", "date", "value").join(listed, "series_id", "left_anti")
+        if vintages is not None:
+            dates = dates.unionByName(vintages.select("series_id", "date", "value").join(listed, "series_id", "left_semi"))
+        checked = with_checked_frequency(registry, dates, "fm_transforms")
+    features = apply_transforms(stored(pit, "pit"), checked, "fm", check_frequency=False, own=own)
     store.write_features(features, paths["features"], buckets, mode)
     return paths
