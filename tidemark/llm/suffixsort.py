@@ -39,7 +39,7 @@ class Pieces:
         self.prefix = np.zeros(len(self.data) + 1, dtype=np.uint64)
         self.power = np.zeros(len(self.at), dtype=np.uint64)
         table = powers(min(PART, len(self.data)) + 1)
-        scale, by_place = np.uint64(1), np.argsort(self.at, kind="stable")
+        scale, by_place = np.ones(1, dtype=np.uint64), np.argsort(self.at, kind="stable")
         for low in range(0, max(1, len(self.data)), PART):
             part = self.data[low : low + PART]
             values = np.cumsum(BYTE_VALUE[part] * (table[: len(part)] * scale)) + self.prefix[low]
@@ -47,7 +47,7 @@ class Pieces:
             first, last = np.searchsorted(self.at[by_place], (low, low + PART))
             who = by_place[first:last]
             self.power[who] = table[self.at[who] - low] * scale
-            scale = scale * table[-1] if len(part) == PART else scale
+            scale = scale * table[-1:] if len(part) == PART else scale  # wraps around, as meant
 
     def common(self, x: np.ndarray, y: np.ndarray, forward: bool) -> np.ndarray:
         """Length of the common extension of pieces x and y from their anchors, to either side, by binary search."""
