@@ -193,3 +193,10 @@ def test_gram_hashes_of_short_texts():
 
 def test_rank_file_is_a_parameter():
     assert queries.RANK_FILE == public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def test_navigation_share_holds_for_lines_of_any_length():
+    rules = quality.LineRules()
+    word = sorted(quality.NAVIGATION_WORDS)[0]
+    for n in (5, 25, 400):
+        assert quality.line_failure(" ".join([word] * n) + ".", rules) == "navigation"

@@ -40,7 +40,7 @@ l AS (SELECT k, unnest(string_split(t, chr(10))) AS l FROM d),
 f AS (SELECT *, list_filter(string_split_regex(low, '\\s+'), lambda x: x <> '') AS words FROM (SELECT k, l, lower(l) AS low,
   length(l) - (length(l) - length(replace(l, ' ', ''))) AS size FROM l WHERE trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> '')),
 j AS (SELECT k, size, regexp_matches(low, '{"|".join(quality.BOILERPLATE)}') OR {_MARKS} >= {_RULES.navigation_marks}
-  OR (len(words) <= 24 AND len(list_filter(words, lambda x: trim(x, '.,|>»›/:') IN ({_quoted(quality.NAVIGATION_WORDS)}))) >= {_RULES.navigation_share} * len(words))
+  OR (len(words) > 0 AND len(list_filter(words, lambda x: trim(x, '.,|>»›/:') IN ({_quoted(quality.NAVIGATION_WORDS)}))) >= {_RULES.navigation_share} * len(words))
   OR (len(words) >= {_RULES.min_words_for_punctuation}
     AND (e = '' OR NOT contains('{quality.TERMINALS}', right(e, 1)))) AS bad
   FROM (SELECT *, rtrim(rtrim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '{_CLOSERS}') AS e FROM f)),

@@ -72,7 +72,7 @@ def line_failure(line: str, rules: LineRules) -> str | None:
     words = low.split()
     if sum(line.count(m) for m in NAVIGATION_MARKS) >= rules.navigation_marks:
         return "navigation"
-    if len(words) <= 24 and sum(w.strip(".,|>»›/:") in _NAVIGATION for w in words) >= rules.navigation_share * len(words):
+    if sum(w.strip(".,|>»›/:") in _NAVIGATION for w in words) >= rules.navigation_share * len(words):
         return "navigation"
     if len(words) >= rules.min_words_for_punctuation:
         end = line.rstrip().rstrip(CLOSERS)
