@@ -5,6 +5,7 @@ from catalog import (  # noqa: F401
     calendars,
     composed,
     guards,
+    held,
     jobs,
     merging,
     monitoring,

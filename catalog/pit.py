@@ -18,6 +18,7 @@ from catalog.base import (
 from catalog.calendars import HOLIDAYS_SQL
 from catalog.transforms import features_sql
 from tidemark.operators import pit as P
+from tidemark.operators import runs as RUNS
 from tidemark.operators.calendar import business_grid
 from tidemark.operators.monitor import scorecard
 from tidemark.operators.transforms import rolling_zscore
@@ -180,8 +181,9 @@ def pit_panel(spark, d):
 def features_fm(spark, d):
     registry = supplier_registry(spark, d)
     # Stored first, as a pipeline does: the transforms read it several times.
-    panel = materialize(P.pit_panel(supplier_daily(spark, d), ordered_vintages(spark, d), registry), "pit")
-    return apply_transforms(panel.drop("obs_date"), registry, "fm", check_frequency=False).select(
+    held = materialize(P.pit_runs(supplier_daily(spark, d), ordered_vintages(spark, d), registry), "runs")
+    panel = materialize(RUNS.spread(held), "pit")
+    return apply_transforms(panel.drop("obs_date"), registry, "fm", check_frequency=False, runs=held).select(
         "series_id", "transform", "date", r("value", 5)
     )
 

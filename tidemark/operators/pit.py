@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import prefix
+from tidemark.operators import runs as R
 from tidemark.operators.asof import asof_last, calendar_side, spread_on_days, validity
 from tidemark.schema import require_columns
 
@@ -37,22 +39,17 @@ def shift_days(panel: DataFrame, lag_days: int) -> DataFrame:
     return panel.withColumn("date", F.date_add("date", lag_days))
 
 
-def pit_align(panel: DataFrame, registry: DataFrame, strict: bool = True) -> DataFrame:
+def pit_align(panel: DataFrame, registry: DataFrame, strict: bool = True, end: Column | str | None = None) -> DataFrame:
     """Lagged values on a Monday-to-Friday grid, each held until the next one.
 
-    The grid ends at the last shifted date of any series, missing values
-    included.  Each value knows the days it is the latest one and emits them, so
-    the grid is never joined.  Grid days before a series starts have no row.
+    The grid ends at ``end``, without one at the last shifted date of any series,
+    missing values included: one wrong date then stretches the whole grid, so a
+    job should name its end.  Each value knows the days it is the latest one and
+    emits them, so the grid is never joined.  Grid days before a series starts
+    have no row.
     """
     shifted = publication_lag(panel, registry, strict)
-    return _hold_on_weekdays(shifted, shifted.agg(F.max("date")).scalar())
-
-
-def _hold_on_weekdays(shifted: DataFrame, end: Column) -> DataFrame:
-    """Shifted values on the weekdays up to ``end``."""
-    known = shifted.where(F.col("value").isNotNull()).withColumnRenamed("date", "visible_from")
-    held = spread_on_days(validity(known, "visible_from", end=end), "visible_from", "date", weekdays_only=True)
-    return held.select("series_id", "date", "value", "obs_date")
+    return R.spread(R.runs(shifted, shifted.agg(F.max("date")).scalar() if end is None else end))
 
 
 def first_release(vintages: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
@@ -95,11 +92,13 @@ def release_order_violations(releases: DataFrame, effective: str = "effective_da
     return releases.where(F.col(effective) < F.col("date"))
 
 
-def asof_backward(releases: DataFrame, queries: DataFrame, lag_days: int = 0) -> DataFrame:
+def asof_backward(releases: DataFrame, queries: DataFrame, lag_days: int = 0, width: int | None = None) -> DataFrame:
     """Latest release with ``effective_date + lag_days <= query_date`` per (series_id, query_date).
 
     Releases of one day are ordered by data date.  The output shows the true
     effective date, a matched NULL stays NULL, and no match gives a NULL row.
+    With a ``width`` every stretch of so many days of a series is a task of its
+    own: for series too long for one.
     """
     if lag_days < 0:
         raise ValueError(f"lag_days must not be negative, releases cannot be moved back in time: {lag_days}")
@@ -110,13 +109,17 @@ def asof_backward(releases: DataFrame, queries: DataFrame, lag_days: int = 0) ->
         "effective_date",
         F.col("value").alias("pit_value"),
     )
+    asked = queries.select("series_id", "query_date").distinct()
+    carry = ["pit_value", "data_date", "effective_date"]
+    if width is not None:
+        return prefix.asof_last(asked, known, "query_date", "usable_from", ["series_id"], carry, ["data_date"], width)
     return asof_last(
-        queries.select("series_id", "query_date").distinct(),
+        asked,
         known,
         left_on="query_date",
         right_on="usable_from",
         by=["series_id"],
-        carry=["pit_value", "data_date", "effective_date"],
+        carry=carry,
         ties=["data_date"],
         one_per_day=True,
     )
@@ -145,21 +148,41 @@ def _release_spans(vintages: DataFrame, end: Column, lag_days: int, ties: Sequen
     return validity(releases, "usable_from", ties=["date"], end=end)
 
 
-def pit_panel(
-    panel: DataFrame, vintages: DataFrame | None, registry: DataFrame, lag_days: int = 0, ties: Sequence[str] = ()
+def pit_runs(
+    panel: DataFrame,
+    vintages: DataFrame | None,
+    registry: DataFrame,
+    lag_days: int = 0,
+    ties: Sequence[str] = (),
+    end: Column | str | None = None,
 ) -> DataFrame:
-    """Fixed-lag series on the business grid plus first-release levels on the same grid."""
+    """Fixed-lag series and first-release levels as runs on one business grid.
+
+    The grid goes from the first shifted date to ``end``, without one to the last
+    shifted date.
+    """
     shifted = publication_lag(panel, registry, strict=False)
-    lo, hi = (shifted.agg(f("date")).scalar() for f in (F.min, F.max))
-    fixed = _hold_on_weekdays(shifted, hi)
+    lo = shifted.agg(F.min("date")).scalar()
+    hi = shifted.agg(F.max("date")).scalar() if end is None else R.as_day(end)
+    fixed = R.runs(shifted, hi).select(*R.RUN)
     if vintages is None:
         return fixed
     listed = registry.where(F.col("is_vintage")).select("series_id")
     spans = _release_spans(vintages.join(listed, "series_id", "left_semi"), hi, lag_days, ties)
     # The grid is all weekdays of one span, so cutting the spans replaces a join to it.
-    inside = spans.withColumns({"since": F.greatest("usable_from", lo), "valid_to": F.least("valid_to", hi)})
-    levels = spread_on_days(inside, "since", "day", weekdays_only=True)
-    return fixed.unionByName(levels.select("series_id", F.col("day").alias("date"), "value", F.col("date").alias("obs_date")))
+    return fixed.unionByName(R.cut(spans.withColumnRenamed("date", "obs_date"), "usable_from", hi, start=lo))
+
+
+def pit_panel(
+    panel: DataFrame,
+    vintages: DataFrame | None,
+    registry: DataFrame,
+    lag_days: int = 0,
+    ties: Sequence[str] = (),
+    end: Column | str | None = None,
+) -> DataFrame:
+    """Fixed-lag series on the business grid plus first-release levels on the same grid: the days of ``pit_runs``."""
+    return R.spread(pit_runs(panel, vintages, registry, lag_days, ties, end))
 
 
 def diagnose_lookahead(raw: DataFrame, pit: DataFrame, day: str, tolerance: float = 1e-9) -> DataFrame:

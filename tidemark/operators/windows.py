@@ -37,7 +37,7 @@ def months_back(value: str, months: int, key: str = "series_id") -> Column:
     return F.max(value).over(Window.partitionBy(key).orderBy(month).rangeBetween(-months, -months))
 
 
-def _merge(a: Column, b: Column) -> Column:
+def merge_moments(a: Column, b: Column) -> Column:
     """Combine the statistics of two disjoint row sets; either may be empty."""
     n = a["n"] + b["n"]
     delta = b["mean"] - a["mean"]
@@ -51,15 +51,19 @@ def _merge(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | (a["n"] == 0), b).when(b["n"] == 0, a).otherwise(both)
 
 
-def _running(value: str, over) -> Column:
-    """Statistics of the non-missing values of a running frame; m2 is the sum of squared deviations."""
-    n = F.count(value).over(over)
+def running_moments(value: str, over: WindowSpec | None = None) -> Column:
+    """Statistics of the non-missing values of a running frame, or of a group; m2 is the sum of squared deviations."""
+
+    def stat(aggregate: Column) -> Column:
+        return aggregate if over is None else aggregate.over(over)
+
+    n = stat(F.count(value))
     return F.struct(
         n.alias("n"),
-        F.coalesce(F.avg(value).over(over), F.lit(0.0)).alias("mean"),
-        (F.coalesce(F.var_pop(value).over(over), F.lit(0.0)) * n).alias("m2"),
-        F.min(value).over(over).alias("lo"),
-        F.max(value).over(over).alias("hi"),
+        F.coalesce(stat(F.avg(value)), F.lit(0.0)).alias("mean"),
+        (F.coalesce(stat(F.var_pop(value)), F.lit(0.0)) * n).alias("m2"),
+        stat(F.min(value)).alias("lo"),
+        stat(F.max(value)).alias("hi"),
     )
 
 
@@ -88,7 +92,7 @@ def rolling_moments(
     blocked = (
         df.withColumn("__pos", F.row_number().over(rows) - 1)
         .withColumn("__block", F.floor(F.col("__pos") / width).cast("int"))
-        .withColumn("__after", _running(value, after))
+        .withColumn("__after", running_moments(value, after))
     )
     # The window of a row is its block up to the row, plus the rows of the block
     # before that come after the same position; the last position needs none.
@@ -100,8 +104,8 @@ def rolling_moments(
         before = F.lag("__after", 1).over(Window.partitionBy(*by, "__offset").orderBy("__block"))
     out = (
         blocked.withColumn("__before", before)
-        .withColumn("__head", _running(value, head))
-        .withColumn("__stat", _merge(F.col("__before"), F.col("__head")))
+        .withColumn("__head", running_moments(value, head))
+        .withColumn("__stat", merge_moments(F.col("__before"), F.col("__head")))
     )
     if lag:
         out = out.withColumn("__stat", F.lag("__stat", lag).over(Window.partitionBy(*by).orderBy("__block", "__pos")))

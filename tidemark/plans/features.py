@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import PERIODS_PER_YEAR
 from tidemark.functions.names import SUFFIX
 from tidemark.functions.numeric import pct_change
+from tidemark.operators import runs as R
 from tidemark.operators.asof import calendar_side, spread_on_days, validity
 from tidemark.operators.calendar import to_native
 from tidemark.operators.transforms import frequency_check, rolling_zscore, window_rows
@@ -77,7 +78,7 @@ def _collect_long(df: DataFrame, named: dict[str, tuple[Column, Column]], *keep:
 
 
 def _native_transforms(
-    panel: DataFrame, spec: DataFrame, lag: int, end: Column, month_rule: str, own: Mapping[str, OwnTransform]
+    panel: DataFrame, spec: DataFrame, lag: int, end: Column, month_rule: str, own: Mapping[str, OwnTransform], runs: DataFrame | None
 ) -> DataFrame:
     """Transforms of native-frequency rows, labelled with the days they are the latest for.
 
@@ -88,7 +89,8 @@ def _native_transforms(
     own = _own_of(own, "native")
     plain_names = (*NATIVE, *own)
     wanted = spec.where(_wants(*plain_names, *ROLLING_YEARS))
-    native = validity(to_native(panel, wanted, ["transforms"], month_rule), "date", end=end)
+    periods = to_native(panel, wanted, ["transforms"], month_rule) if runs is None else R.to_native(runs, wanted, ["transforms"], month_rule)
+    native = validity(periods, "date", end=end)
     value, freq = F.col("value"), F.col("frequency")
     base, need = F.lit(None).cast("double"), F.lit(None).cast("int")
     for f, n in PERIODS_PER_YEAR.items():
@@ -184,6 +186,7 @@ def apply_transforms(
     month_rule: str = "ME",
     check_frequency: bool = True,
     own: Mapping[str, OwnTransform] | None = None,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
     """All configured transforms of all registered series, long: ``series_id, transform, date, value``.
 
@@ -197,6 +200,9 @@ def apply_transforms(
     frequency fails the job; ``check_frequency=False`` is for irregular series
     that are meant to be resampled.  ``own`` adds transforms by name; they take
     part in the same passes.  Names and suffixes of the given ones are refused.
+
+    ``runs`` are the runs whose days the panel holds (``pit_runs``): periods are
+    then counted on them, and the days of a held value are not shuffled.
     """
     own = dict(own or {})
     taken = set(own) & set(SUFFIX) | {t.suffix for t in own.values()} & set(SUFFIX.values())
@@ -211,7 +217,7 @@ def apply_transforms(
         spec = _frequency_kept(panel, spec)
     grid = panel.select("date")
     end = panel.agg(F.max("date")).scalar()
-    labelled = _native_transforms(panel, spec, lag, end, month_rule, own)
+    labelled = _native_transforms(panel, spec, lag, end, month_rule, own, runs)
     held = (
         spread_on_days(labelled, "date", "day")
         .join(calendar_side(grid, name="day"), "day", "left_semi")

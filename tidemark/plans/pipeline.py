@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import accumulate, join_registered
-from tidemark.operators.pit import pit_panel
+from tidemark.operators.pit import pit_runs
 from tidemark.operators.quality import coverage_violations, dropped_counts, enforce, require_rows
+from tidemark.operators.runs import spread, split_at
 from tidemark.plans.features import OwnTransform, apply_transforms, with_checked_frequency
 from tidemark.sources import store
 from tidemark.sources.registry import validate
@@ -28,9 +29,15 @@ def run(
     tables: str | None = None,
     check_frequency: bool = True,
     own: Mapping[str, OwnTransform] | None = None,
+    end: str | None = None,
 ) -> dict[str, str]:
     """Write the raw, monitoring, point-in-time and feature tables below ``out``; returns their paths.
 
+    ``end`` is the last day of every grid (``yyyy-MM-dd``).  Observations and
+    vintages dated after it go to the table ``quarantine`` and nowhere else, so a
+    wrong date cannot stretch the grid.  Without it grids end at the last date.
+    The point-in-time values are also stored as runs (table ``runs``).
+
     ``extra`` are further sources (positions, margin) joined onto the dates of
     the observations; losing a value there is an error.  ``floors`` protect the
     history of named series: a violation stops the job before the
@@ -42,7 +49,7 @@ def run(
     further transforms by name.  With a table name prefix in ``tables`` the two panels are saved as
     tables bucketed by series, and the passes over them do not shuffle.
     """
-    paths = {name: f"{out}/{name}" for name in ("raw", "monitoring", "pit", "features")}
+    paths = {name: f"{out}/{name}" for name in ("raw", "monitoring", "runs", "pit", "features")}
     validate(registry)
 
     def stored(df: DataFrame, name: str) -> DataFrame:
@@ -51,6 +58,20 @@ def run(
         store.write_panel(df, paths[name], buckets, mode)
         return store.read_panel(spark, paths[name], buckets=buckets)
 
+    if end is not None:
+        paths["quarantine"] = f"{out}/quarantine"
+        observations, beyond = split_at(observations, end, "date")
+        beyond = beyond.select("series_id", F.lit(None).cast("date").alias("realtime_start"), "date", "value")
+        if vintages is not None:
+            vintages, late = split_at(vintages, end, "date", "realtime_start")
+            beyond = beyond.unionByName(late.select(*beyond.columns))
+        extra_kept = []
+        for source in extra or []:
+            inside, late = split_at(source, end, "date")
+            extra_kept.append(inside)
+            beyond = beyond.unionByName(late.select("series_id", F.lit(None).cast("date").alias("realtime_start"), "date", "value"))
+        extra = extra_kept
+        beyond.write.mode(mode).parquet(paths["quarantine"])
     panel = accumulate(require_rows(observations, "observations"))
     for source in extra or []:
         joined = join_registered(panel, source, registry)
@@ -63,7 +84,9 @@ def run(
 
     store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency, own=own), paths["monitoring"], buckets, mode)
 
-    pit = pit_panel(raw, vintages, registry)
+    pit_runs(raw, vintages, registry, end=end).write.mode(mode).parquet(paths["runs"])
+    held = spark.read.parquet(paths["runs"])
+    pit = spread(held)
     if floors is not None:
         enforce(coverage_violations(pit, floors), "protected history is too short")
     # The stored grid is daily for every series, so the list is checked on the dates behind it.
@@ -74,6 +97,6 @@ def run(
         if vintages is not None:
             dates = dates.unionByName(vintages.select("series_id", "date", "value").join(listed, "series_id", "left_semi"))
         checked = with_checked_frequency(registry, dates, "fm_transforms")
-    features = apply_transforms(stored(pit, "pit"), checked, "fm", check_frequency=False, own=own)
+    features = apply_transforms(stored(pit, "pit"), checked, "fm", check_frequency=False, own=own, runs=held)
     store.write_features(features, paths["features"], buckets, mode)
     return paths
