@@ -30,6 +30,7 @@ from tidemark.plans import warehouse as W
 from tidemark.plans.features import OwnTransform, apply_transforms
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import store as S
+from tidemark.sources import versions
 
 
 @query(
@@ -190,6 +191,43 @@ def warehouse_load(spark, d):
     """Two loads of the same facts: the second one adds nothing."""
     path = scratch_path(spark, "facts")
     rows = materialize(fact(spark, d), "fact")
-    W.load_facts(spark, rows, path, first=True)
-    W.load_facts(spark, rows, path, first=False)
+    W.load_facts(spark, rows, path, first=True, buckets=8)
+    W.load_facts(spark, rows, path, first=False, buckets=8)
     return W.rows_by_transform(spark.read.parquet(path))
+
+
+@query(
+    "load_insert_ignore",
+    with_ctes(
+        "s3",
+        body="""SELECT series_id, date, CASE WHEN date < DATE '1996-01-01' THEN value ELSE value + 1 END AS value FROM s3
+WHERE date < DATE '1996-01-01' OR CAST(substr(series_id, 2) AS BIGINT) % 3 = 0""",
+    ),
+)
+def load_insert_ignore(spark, d):
+    """Two loads: the second one has other values for all keys of a third of the series, and counts only where the key is new."""
+    path, key = scratch_path(spark, "keyed"), ["series_id", "date"]
+    panel = supplier_daily(spark, d)
+    S.write_keyed(panel.where("date < '1996-01-01'"), path, key, buckets=8)
+    third = panel.where(F.substring("series_id", 2, 20).cast("long") % 3 == 0)
+    S.append_new_keyed(spark, path, materialize(third.withColumn("value", F.col("value") + 1), "load"), key, buckets=8)
+    return spark.read.parquet(path).select("series_id", "date", "value")
+
+
+@query(
+    "quarantine_files",
+    with_ctes("s3", body="SELECT series_id, count(*) AS n, count(value) AS n_valued, 1 AS n_damaged FROM s3 GROUP BY 1"),
+)
+def quarantine_files(spark, d):
+    """A store with a damaged file among the good ones: found by the tasks, named, left out."""
+    path = scratch_path(spark, "store")
+    S.write_panel(supplier_daily(spark, d), path, buckets=8)
+    fs, hadoop = versions.filesystem(spark, path)
+    broken = fs.create(hadoop(f"{path}/bucket=3/part-damaged.parquet"), False)
+    broken.write(bytearray(b"PAR1 cut short"))
+    broken.close()
+    report = S.damage_report(spark, path)
+    bad = [r.path for r in report.collect()]
+    good = S.read_panel(spark, path, buckets=8, quarantined=bad)
+    counts = good.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("n_valued"))
+    return counts.withColumn("n_damaged", F.lit(len(bad)))

@@ -25,6 +25,7 @@ from tidemark.plans import warehouse as W
 from tidemark.plans.features import apply_transforms
 from tidemark.session import materialize, scratch_path
 from tidemark.sources.registry import INDICATORS
+from tidemark.streaming import bucketlog, late
 from tidemark.streaming.merge import merge_stream, read_merged
 from tidemark.streaming.resample import resample_stream, utc_day
 
@@ -368,3 +369,52 @@ def stream_resample(spark, d):
     return spark.read.schema(out.schema).parquet(path)
 
 
+def landed_in_turn(spark, d, parts, deliver):
+    """Land the events in so many deliveries by their number and hand the stream over after each."""
+    events, path = table(spark, d, "events"), scratch_path(spark, "landed")
+    for part in range(parts):
+        events.where(F.col("event_id") % parts == part).write.mode("append").parquet(path)
+        files = spark.readStream.schema(events.schema).parquet(path)
+        deliver(files.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())))
+    return events.schema
+
+
+@query(
+    "stream_late",
+    """WITH wm AS (SELECT max(ts) - INTERVAL 1 DAY AS w FROM events WHERE event_id % 2 = 0),
+e AS (SELECT *, event_id % 2 = 1 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= w AS is_late FROM events, wm),
+done AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS date, arg_max(value, ts) AS value, count(*) AS n FROM e WHERE NOT is_late
+  AND CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1, 2),
+late AS (SELECT event_type AS series_id, CAST(ts AS DATE) AS date, count(*) AS n_late FROM e WHERE is_late GROUP BY 1, 2)
+SELECT series_id, date, value, n, coalesce(n_late, 0) AS n_late FROM done FULL JOIN late USING (series_id, date)""",
+)
+def stream_late(spark, d):
+    """Events in two deliveries, the second one mostly behind the watermark of the first: late rows are kept and counted exactly."""
+    path, checkpoint = scratch_path(spark, "days"), scratch_path(spark, "stream")
+
+    def deliver(events):
+        late.resample_keeping_late(events, path, checkpoint, "event_type", "value").awaitTermination()
+
+    schema = landed_in_turn(spark, d, 2, deliver)
+    behind = late.late_rows(spark, path, schema).groupBy(F.col("event_type").alias("series_id"), utc_day(F.col("ts").cast("timestamp")).alias("date"))
+    closed = late.closed_windows(spark, path)
+    both = closed.join(behind.agg(F.count(F.lit(1)).alias("n_late")), ["series_id", "date"], "full")
+    return both.select("series_id", "date", "value", "n", F.coalesce("n_late", F.lit(0)).alias("n_late"))
+
+
+@query("stream_compacted", SQL["stream_merge"])
+def stream_compacted(spark, d):
+    """Events in four deliveries onto a log folded after every second one."""
+    path, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "stream")
+
+    def deliver(events):
+        seen = events.select(
+            F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("series_id"),
+            utc_day(F.col("ts")).alias("date"),
+            F.when(F.col("event_type") != "error", F.col("value")).alias("value"),
+            "ts",
+        )
+        bucketlog.append_stream(spark, seen, path, checkpoint, buckets=8, fold_every=2).awaitTermination()
+
+    landed_in_turn(spark, d, 4, deliver)
+    return bucketlog.read(spark, path)

@@ -204,8 +204,9 @@ def ingest_margin(spark, d):
         )
     )
     path = scratch_path(spark, "sheet")
-    # The sheet is one ordered file by nature: 5 lines per month, newest month first.
-    sheet.orderBy(F.desc("Year-Month"), "p").drop("p").coalesce(1).write.option("header", True).csv(path)
+    # 5 lines per month, newest month first, landed as three files that follow each other; a month may lie in two.
+    placed = sheet.repartitionByRange(3, F.desc("Year-Month"), "p").sortWithinPartitions(F.desc("Year-Month"), "p")
+    placed.drop("p").write.option("header", True).csv(path)
     return L.normalize_margin(L.read_margin_sheet(spark, path))
 
 

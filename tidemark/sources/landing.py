@@ -133,9 +133,18 @@ def positions_panel(positions: DataFrame, labels: dict[str, str]) -> DataFrame:
 
 
 def read_margin_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """Landed sheet as CSV; the first four columns count, whatever their headings say."""
+    """Landed sheet as CSV, in one file or several; the first four columns count, whatever their headings say.
+
+    ``src_order`` is the place of a row: files by name, then by the part of the
+    file that a task reads, then as they follow in it.
+    """
     rows = spark.read.schema(MARGIN_SHEET).option("header", True).option("enforceSchema", True).csv(path)
-    return rows.withColumn("src_order", F.monotonically_increasing_id())
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),  # ascending within a block, which one task reads from its start
+    )
+    return rows.withColumn("src_order", place)
 
 
 def normalize_margin(raw: DataFrame) -> DataFrame:

@@ -15,6 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
+import pyarrow
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,12 +62,18 @@ def write_features(features: DataFrame, path: str, buckets: int = BUCKETS, mode:
     write_store(features, path, ["series_id", "transform", "date"], buckets, mode)
 
 
+def _plain(path: str) -> str:
+    """A local path in one spelling, whoever listed it."""
+    return path.replace("file:///", "file:/", 1)
+
+
 def _read(spark: SparkSession, path: str, schema, series: Sequence[str] | None, buckets: int, bad: Sequence[str] = ()) -> DataFrame:
     """The store's rows; a damaged file fails the job, unless it is one of ``bad``, which are left out."""
     with_bucket = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
     df = spark.read.schema(with_bucket).parquet(path)
     if bad:
-        good = [f for f in df.inputFiles() if f not in set(bad)]
+        left_out = {_plain(f) for f in bad}
+        good = [f for f in df.inputFiles() if _plain(f) not in left_out]
         df = spark.read.schema(with_bucket).option("basePath", path).parquet(*good) if good else spark.createDataFrame([], with_bucket)
     if series is not None:
         # The hashes are constants to the optimizer, so this prunes folders.
@@ -72,21 +82,56 @@ def _read(spark: SparkSession, path: str, schema, series: Sequence[str] | None,
     return df.drop("bucket")
 
 
-def damaged_files(spark: SparkSession, path: str, schema: T.StructType = PANEL) -> list[str]:
-    """Paths of the files below ``path`` that cannot be read to their end: the quarantine list of a repair.
+DAMAGE = "path string, error string"
+
+
+def damage_report(spark: SparkSession, path: str, schema: T.StructType | str = PANEL) -> DataFrame:
+    """``path, error`` of the files below ``path`` that cannot be read to their end: a damaged file is a row, not a failure.
 
-    Each file is read by a job of its own, as one job over all of them stops at
-    the first bad one.  Meant for a store that a normal read has refused.
+    The paths are the rows of one job; each file is read by the task that has its
+    path, row group by row group with the checksums compared, so memory is that
+    of one batch.  A file that lacks a column of ``schema``, or holds it in a type
+    of another kind, counts as damaged too.  A file without a byte is passed over
+    by every Spark reader, this one included.
     """
-    bad = []
-    for name in spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path).inputFiles():
-        try:
-            spark.read.schema(schema).parquet(name).write.format("noop").mode("overwrite").save()
-        except Exception as e:  # Spark wraps whatever the file format found wrong
-            if "FAILED_READ_FILE" not in str(e) and "is not a Parquet file" not in str(e):
-                raise
-            bad.append(name)
-    return sorted(bad)
+    wanted = {f.name: f.dataType.typeName() for f in (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path")
+
+    def examine(batches):
+        for batch in batches:
+            found = [(p, fault_of(p, wanted)) for p in batch["path"]]
+            yield pd.DataFrame([f for f in found if f[1] is not None], columns=["path", "error"])
+
+    # The listing packs many small files into a task; reading them is the work, so they are dealt out.
+    return files.repartition("path").mapInPandas(examine, DAMAGE)
+
+
+def fault_of(uri: str, wanted: dict[str, str]) -> str | None:
+    """What is wrong with one parquet file, None when it can be read to its end."""
+    kinds = {"string": ("string", "large_string"), "date": ("date32", "date64"), "double": ("double", "float"), "timestamp": ("timestamp",)}
+    # ``file:/a`` as the listing writes it is ``file:///a`` elsewhere.
+    name = "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+    try:
+        system, inner = pyarrow.fs.FileSystem.from_uri(name)
+    except (pyarrow.ArrowInvalid, NotImplementedError) as e:
+        raise ValueError(f"no way to read {uri} in tasks") from e
+    try:
+        with system.open_input_file(inner) as source, pq.ParquetFile(source, page_checksum_verification=True) as file:
+            have = {f.name: str(f.type).split("[")[0] for f in file.schema_arrow}
+            for column, kind in wanted.items():
+                if column not in have:
+                    return f"no column {column}"
+                if kind in kinds and have[column] not in kinds[kind]:
+                    return f"column {column} is {have[column]}, not {kind}"
+            seen = sum(batch.num_rows for batch in file.iter_batches(batch_size=65_536))
+            return None if seen == file.metadata.num_rows else f"{seen} of {file.metadata.num_rows} rows"
+    except (pyarrow.ArrowException, OSError, EOFError) as e:
+        return f"{type(e).__name__}: {str(e)[:200]}"
+
+
+def damaged_files(spark: SparkSession, path: str, schema: T.StructType | str = PANEL) -> list[str]:
+    """Paths of the damaged files, for ``quarantined=``: as many as there are damaged ones, not files."""
+    return sorted(r.path for r in damage_report(spark, path, schema).select("path").collect())
 
 
 def read_panel(
@@ -162,3 +207,47 @@ def append_new(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequen
 
     stored = spark.read.parquet(path)
     insert_ignore(stored, incoming.select(*stored.columns), keys).write.mode("append").parquet(path)
+
+
+def write_keyed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS, mode: str = "errorifexists") -> None:
+    """Rows in folders by a hash of the first key, sorted by all keys within a file."""
+    placed = rows.withColumn("bucket", _bucket(F.col(keys[0]), buckets)).hint("rebalance", F.col("bucket"))
+    placed.sortWithinPartitions("bucket", *keys).write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def touched_part(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], schema: T.StructType, buckets: int = BUCKETS) -> DataFrame:
+    """The stored rows that can share a key with ``incoming``: its buckets, and its range of the other keys.
+
+    Both come from one small aggregation over the incoming rows (at most one row
+    per bucket reaches the driver) and are constants in the scan: folders are
+    pruned, and row groups outside the range skipped by their statistics.
+    """
+    ranged = keys[1:]
+    bounds = [f(F.col(k)).alias(f"{n}_{k}") for k in ranged for n, f in (("lo", F.min), ("hi", F.max))]
+    found = incoming.groupBy(_bucket(F.col(keys[0]), buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), *bounds).collect()
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(path)
+    stored = stored.where(F.col("bucket").isin([r.bucket for r in found]))
+    for k in ranged:
+        los, his = [r[f"lo_{k}"] for r in found if r[f"lo_{k}"] is not None], [r[f"hi_{k}"] for r in found if r[f"hi_{k}"] is not None]
+        if los:
+            stored = stored.where(F.col(k).between(F.lit(min(los)), F.lit(max(his))))
+    return stored.drop("bucket")
+
+
+def append_new_keyed(
+    spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = (), buckets: int = BUCKETS
+) -> None:
+    """As ``append_new`` for a table of ``write_keyed``: a load reads the part of the table it can touch, not all of it.
+
+    Rows with a NULL key are not in a table of keys and fail the load.  Pass
+    stored rows: ``incoming`` is read twice.
+    """
+    from tidemark.operators.merge import insert_ignore
+
+    schema = T.StructType([f for f in spark.read.parquet(path).schema.fields if f.name != "bucket"])
+    whole = incoming.select(*schema.fieldNames())
+    for k in keys:
+        message = F.lit(f"NULL in key {k} of a load")
+        whole = whole.withColumn(k, F.coalesce(F.col(k), F.raise_error(message).cast(schema[k].dataType)))
+    stored = touched_part(spark, path, whole, keys, schema, buckets)
+    write_keyed(insert_ignore(stored, whole, keys, order), path, keys, buckets, mode="append")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 STATE = "series_id string, date date, value double, ts timestamp, load_seq long"
 
 
-def _folded(rows: DataFrame, *order: str) -> DataFrame:
+def folded(rows: DataFrame, *order: str) -> DataFrame:
     """``series_id, date, value, ts``: the value observed last, and when; a missing value never replaces one.
 
     Two values of one instant are settled by ``order`` after the time, then by
@@ -33,7 +33,7 @@ def merge_stream(spark: SparkSession, observations: DataFrame, log_path: str, ch
     """
 
     def write_load(batch: DataFrame, batch_id: int) -> None:
-        merged = _folded(batch.withColumn("ts", F.col(time).cast("timestamp")))
+        merged = folded(batch.withColumn("ts", F.col(time).cast("timestamp")))
         merged.withColumn("load_seq", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(
             f"{log_path}/load={batch_id}"
         )
@@ -52,10 +52,10 @@ def _log(spark: SparkSession, *paths: str) -> DataFrame:
 
 def read_merged(spark: SparkSession, *log_paths: str) -> DataFrame:
     """The panel the logs stand for: the value observed last, of one instant that of the later load."""
-    return _folded(_log(spark, *log_paths), "load_seq").select("series_id", "date", "value")
+    return folded(_log(spark, *log_paths), "load_seq").select("series_id", "date", "value")
 
 
 def compact(spark: SparkSession, log_path: str, target: str) -> None:
     """Fold a log, its query stopped, into one load at ``target``, to be read along with the log that goes on."""
-    folded = _folded(_log(spark, log_path), "load_seq")
+    folded = folded(_log(spark, log_path), "load_seq")
     folded.withColumn("load_seq", F.lit(-1).cast("long")).write.mode("errorifexists").parquet(target)
