@@ -57,5 +57,5 @@ def read_merged(spark: SparkSession, *log_paths: str) -> DataFrame:
 
 def compact(spark: SparkSession, log_path: str, target: str) -> None:
     """Fold a log, its query stopped, into one load at ``target``, to be read along with the log that goes on."""
-    folded = folded(_log(spark, log_path), "load_seq")
-    folded.withColumn("load_seq", F.lit(-1).cast("long")).write.mode("errorifexists").parquet(target)
+    rows = folded(_log(spark, log_path), "load_seq")
+    rows.withColumn("load_seq", F.lit(-1).cast("long")).write.mode("errorifexists").parquet(target)
