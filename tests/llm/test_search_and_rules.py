@@ -6,9 +6,12 @@ import itertools
 import math
 import random
 import re
+import time
 
+import duckdb
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -95,52 +98,96 @@ def plain_site(url):
 
 def plain_tokens(url):
     host, path = plain_site(url)
-    low = "".join(c.lower() if c.isascii() else c for c in path)
-    words = lambda t, mark: {mark + w for w in re.split("[^a-z]+", t) if len(w) >= 2}
-    return words(host, "host:") | words(low, "path:")
+    rest = url.split("://", 1)[1][len(host) + len(path) :] if url and "://" in url else ""
+    query, _, fragment = rest.partition("#")
+    out = set()
+    for mark, text in {"host": host, "path": path, "query": query, "fragment": fragment}.items():
+        low = "".join(c.lower() if c.isascii() else c for c in text)
+        out |= {f"{mark}:{w}" for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", low) if w}
+    return out
 
 
 def plain_verdicts(urls, labels, mining):
-    """Every combination of up to three tokens, counted one by one."""
+    """Every combination of tokens of any length, counted one by one; rules that differ in tokens of the same rows count once."""
     baskets = [(plain_tokens(u), b) for i, u in urls for k, b in labels if k == i]
     least = math.ceil(min(1.0, max(mining.support, mining.least_urls / max(1, len(baskets)))) * len(baskets))
-    seen, bad = collections.Counter(), collections.Counter()
-    for words, is_bad in baskets:
-        for n in range(1, mining.tokens + 1):
+    seen, bad, rows = collections.Counter(), collections.Counter(), collections.defaultdict(list)
+    for at, (words, is_bad) in enumerate(baskets):
+        for w in words:
+            rows[w].append(at)
+        for n in range(1, len(words) + 1):
             for c in itertools.combinations(sorted(words), n):
                 seen[c] += 1
                 bad[c] += bool(is_bad)
-    rules = {c for c, n in bad.items() if n >= least and n / seen[c] >= mining.confidence}
+    sure = {frozenset(c) for c, n in bad.items() if n >= least and n / seen[c] >= mining.confidence}
+    minimal = [c for c in sure if not any(c - {w} in sure for w in c) and not any(o < c for o in sure)]
     out = []
     for i, u in urls:
         host, path = plain_site(u)
         fits = [r for r, _ in urlrules.RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/") :])]
         rule = max(fits, key=len) if fits else None
-        n = sum(set(c) <= plain_tokens(u) for c in rules)
+        words = plain_tokens(u)
+        n = len({frozenset(tuple(rows[w]) for w in c) for c in minimal if c <= words})
         verdict = dict(urlrules.RULES)[rule] if rule else "block" if n else "allow"
         out.append((i, host, path, rule, verdict, n))
     return out
 
 
+COLUMNS = ("page_id", "host", "path", "rule", "verdict", "n_rules")
+
+
 def test_url_filters(write, spark):
     rng = random.Random(3)
     urls, labels = [], []
     for i in range(700):
         host = rng.choice(["Example.com", "www.example.net", "a.example.org", "casino-win.org", "shop.example.com", "b.co", "net", "xnet"])
         path = rng.choice(["", "/", "/en/1", "/de/2.html", "/fr/win/now", "/de", "/EN/free/win", "/q%20é"])
-        urls.append((i, f"https://{host}{path}" + rng.choice(["", "?a=/x", "#f"])))
-        bad = rng.random() < (0.9 if "win" in host + path else 0.1)
+        tail = rng.choice(["", "?a=/x", "#f", "?aff=Kasino9&x=1", "?page=7#賭場", "?utm_source=a"])
+        url = f"https://{host}{path}{tail}"
+        urls.append((i, url))
+        pair = "b.co" in url and "page=7" in url  # bad together, not apart
         if rng.random() < 0.8:
-            labels.append((i, int(not bad), 0))
+            labels.append((i, int(rng.random() >= (0.9 if "win" in url or "Kasino9" in url or pair else 0.1)), 0))
+    # Bad only where four words meet, each three of which are mostly good.
+    for i, left_out in enumerate(30 * [None] + 40 * list(range(4))):
+        words = [w for k, w in enumerate(("alpha", "beta", "gamma", "delta")) if k != left_out]
+        urls.append((2000 + i, "http://four.example/" + "/".join(words)))
+        labels.append((2000 + i, int(left_out is not None), 0))
     urls += [(900, None), (901, ""), (902, "no scheme/de/"), (903, "x://"), (904, "ftp://HOST?q"), (5, "http://net/"), (5, "http://net/"), (905, "http://a\nb.org/fr/")]
+    labels += [(900, 0, 1), (901, 0, None), (5, None, None), (None, 0, 1)]
     folder = write(
-        pages=spark.createDataFrame([(i, u, "h") for i, u in urls], "page_id long, url string, host string"),
-        labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"),
+        pages=spark.createDataFrame([(i, u, "h", "t", False) for i, u in urls], "page_id long, url string, host string, tokens string, bad boolean"),
+        labels=spark.createDataFrame([(*x, "u") for x in labels], "doc_id long, quality int, toxic int, url string"),
     )
-    got = sorted((tuple(r[c] for c in ("page_id", "host", "path", "rule", "verdict", "n_rules")) for r in queries.QUERIES["op3_url_filters"](spark, folder).collect()), key=str)
-    want = plain_verdicts(urls, [(i, q == 0 or t == 1) for i, q, t in labels], urlrules.Mining())
+    got = sorted((tuple(r[c] for c in COLUMNS) for r in queries.QUERIES["op3_url_filters"](spark, folder).collect()), key=str)
+    want = plain_verdicts(urls, [(i, bool(q == 0 or t == 1)) for i, q, t in labels], urlrules.Mining())
     assert got == sorted(want, key=str)
-    assert any(n for *_, n in want)
+    by_url = dict(urls)
+    told = {by_url[i]: (v, n) for i, _, _, rule, v, n in want if rule is None}
+    assert told["http://four.example/alpha/beta/gamma/delta"][0] == "block"
+    assert told["http://four.example/alpha/beta/gamma"] == ("allow", 0)
+    assert any("Kasino9" in (u or "") and v == "block" for u, (v, _) in told.items())
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    cur = con.execute(queries.SQL["op3_url_filters"])
+    at = [[c[0] for c in cur.description].index(c) for c in COLUMNS]
+    assert sorted((tuple(r[i] for i in at) for r in cur.fetchall()), key=str) == got
+
+
+def test_url_filters_with_forty_words_that_always_meet(spark):
+    """Equal words are one item: mining ends in seconds, bad or not, and one of the words is enough."""
+    rules = spark.createDataFrame(list(urlrules.RULES), "rule string, verdict string")
+    words = "/".join(f"w{i}" for i in range(40))
+    good = "/".join(f"v{i}" for i in range(40))
+    rows = [(i, f"http://a.com/{words}/{i}") for i in range(40)] + [(100 + i, f"http://a.com/{good}/{i}") for i in range(80)]
+    rows += [(900, "http://b.com/w7"), (901, "http://b.com/v7"), (902, "http://b.com/" + "x/" * 200_000)]
+    labels = spark.createDataFrame([(i, i < 40 or i % 3 == 0) for i in [*range(40), *range(100, 180)]], "id long, bad boolean")
+    began = time.monotonic()
+    got = {r["id"]: (r["verdict"], r["n_rules"]) for r in urlrules.judge(spark.createDataFrame(rows, "id long, url string"), rules, labels).collect()}
+    assert time.monotonic() - began < 60
+    assert got[0] == got[900] == ("block", 1)
+    assert got[100] == got[901] == got[902] == ("allow", 0)
 
 
 def test_url_filters_without_labels_or_rows(spark):

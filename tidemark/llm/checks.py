@@ -56,24 +56,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 _MINING = urlrules.Mining()
 _CURATED = ", ".join(f"('{r}', '{v}', '{r[: r.index('/')]}', '{r[r.index('/') :]}')" for r, v in urlrules.RULES)
-URLS = f"""WITH p AS (SELECT row_number() OVER () AS k, page_id, translate(host, '{urlrules.UPPER}', '{urlrules.LOWER}') AS host,
-  regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path FROM (SELECT *, regexp_extract(rest, '^[^/?#]*') AS host FROM (
-    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages))),
-t AS (SELECT *, list_distinct(list_concat(
-    list_transform(list_filter(string_split_regex(host, '[^a-z]+'), lambda x: length(x) >= 2), lambda x: 'host:' || x),
-    list_transform(list_filter(string_split_regex(translate(path, '{urlrules.UPPER}', '{urlrules.LOWER}'), '[^a-z]+'), lambda x: length(x) >= 2), lambda x: 'path:' || x))) AS tokens FROM p),
+_PART = "list_transform(list_filter(string_split_regex(translate({text}, '{upper}', '{lower}'), '{between}'), lambda x: x <> ''), lambda x: '{name}:' || x)"
+_TOKENS = ",\n    ".join(
+    _PART.format(text=p, name=p, upper=urlrules.UPPER, lower=urlrules.LOWER, between=urlrules.BETWEEN) for p in ("host", "path", "query", "fragment")
+)
+URLS = f"""WITH RECURSIVE p0 AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS given FROM (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+p1 AS (SELECT page_id, given, substr(rest, length(given) + 1) AS rest FROM p0),
+p2 AS (SELECT page_id, given, regexp_extract(rest, '^[^?#]*') AS path, rest FROM p1),
+p3 AS (SELECT page_id, given, path, substr(rest, length(path) + 1) AS rest FROM p2),
+p4 AS (SELECT page_id, given, path, regexp_extract(rest, '^[^#]*') AS query, rest FROM p3),
+p AS MATERIALIZED (SELECT row_number() OVER () AS k, page_id, translate(given, '{urlrules.UPPER}', '{urlrules.LOWER}') AS host, path, query,
+  substr(rest, length(query) + 1) AS fragment FROM p4),
+t AS (SELECT *, list_distinct(flatten([
+    {_TOKENS}])) AS tokens FROM p),
 cur AS (SELECT k, rule, verdict FROM p JOIN (VALUES {_CURATED}) r(rule, verdict, domain, prefix)
   ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, prefix)
   QUALIFY row_number() OVER (PARTITION BY k ORDER BY length(rule) DESC) = 1),
-b AS (SELECT row_number() OVER () AS b, tokens, (quality = 0 OR toxic = 1) AS bad FROM t JOIN labels ON page_id = doc_id),
-least AS (SELECT ceil(least(1.0, greatest({_MINING.support}, CAST({_MINING.least_urls} AS DOUBLE) / n)) * n) AS n FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM b)),
+b AS MATERIALIZED (SELECT row_number() OVER () AS b, tokens, coalesce(quality = 0 OR toxic = 1, false) AS bad FROM t JOIN labels ON page_id = doc_id),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM b),
+least AS (SELECT ceil(least(1.0, greatest({_MINING.support}, CAST({_MINING.least_urls} AS DOUBLE) / n)) * n) AS n FROM total),
 x AS (SELECT b, bad, unnest(tokens) AS w FROM b),
-combos AS (SELECT b, bad, [w] AS needs FROM x
-  UNION ALL SELECT x.b, x.bad, [x.w, y.w] FROM x JOIN x y ON x.b = y.b AND x.w < y.w
-  UNION ALL SELECT x.b, x.bad, [x.w, y.w, z.w] FROM x JOIN x y ON x.b = y.b AND x.w < y.w JOIN x z ON x.b = z.b AND y.w < z.w),
-rules AS (SELECT needs FROM combos GROUP BY 1 HAVING count(*) FILTER (bad) >= (SELECT n FROM least)
-  AND CAST(count(*) FILTER (bad) AS DOUBLE) / count(*) >= {_MINING.confidence}),
-hits AS (SELECT k, count(*) AS n FROM t JOIN rules ON list_has_all(tokens, needs) GROUP BY 1)
+s AS (SELECT w, count(*) AS n, count(*) FILTER (bad) AS n_bad, list(b ORDER BY b) AS held FROM x GROUP BY w
+  HAVING count(*) FILTER (bad) >= (SELECT n FROM least)),
+i AS MATERIALIZED (SELECT w, min(w) OVER (PARTITION BY held) AS item, n, CAST(n_bad AS DOUBLE) / n >= {_MINING.confidence} AS sure FROM s),
+y AS MATERIALIZED (SELECT DISTINCT b, bad, item FROM x JOIN i USING (w) WHERE NOT sure AND n < (SELECT n FROM total)),
+g AS (SELECT [item] AS needs, item AS final, b, bad, false AS sure FROM y
+  UNION ALL SELECT needs, final, b, bad, CAST(count(*) FILTER (bad) OVER r AS DOUBLE) / count(*) OVER r >= {_MINING.confidence}
+    FROM (SELECT list_append(g.needs, y.item) AS needs, y.item AS final, g.b, g.bad FROM g JOIN y ON g.b = y.b AND y.item > g.final WHERE NOT g.sure)
+    WINDOW r AS (PARTITION BY needs) QUALIFY count(*) FILTER (bad) OVER r >= (SELECT n FROM least)),
+told AS MATERIALIZED (SELECT DISTINCT [item] AS needs FROM i WHERE sure UNION ALL SELECT DISTINCT needs FROM g WHERE sure),
+rules AS (SELECT needs FROM told l WHERE NOT EXISTS (SELECT 1 FROM told o WHERE len(o.needs) < len(l.needs) AND list_has_all(l.needs, o.needs))),
+u AS (SELECT k, list(DISTINCT item) AS items FROM (SELECT k, unnest(tokens) AS w FROM t) JOIN i USING (w) GROUP BY k),
+hits AS (SELECT k, count(*) AS n FROM u JOIN rules ON list_has_all(items, needs) GROUP BY 1)
 SELECT page_id, host, path, rule, coalesce(cur.verdict, CASE WHEN hits.n > 0 THEN 'block' ELSE 'allow' END) AS verdict, CAST(coalesce(hits.n, 0) AS BIGINT) AS n_rules
 FROM p LEFT JOIN cur USING (k) LEFT JOIN hits USING (k)"""
 
