@@ -11,6 +11,7 @@ from catalog.base import (
     job_registry,
     money,
     ordered_vintages,
+    orders_daily,
     query,
     r,
     supplier_daily,
@@ -21,10 +22,12 @@ from catalog.base import (
 )
 from catalog.jobs import FACT_SQL, fact
 from catalog.merging import LOADS_SQL, newer_load
+from catalog.pit import PIT_PANEL_SQL
 from tidemark.operators import calendar as C
 from tidemark.operators import merge as M
 from tidemark.operators import quality as Q
 from tidemark.operators import stats as T
+from tidemark.operators.watch import join_registered_whole
 from tidemark.plans import pipeline
 from tidemark.plans import warehouse as W
 from tidemark.plans.features import OwnTransform, apply_transforms
@@ -135,6 +138,43 @@ def pipeline_run(spark, d):
     return spark.read.parquet(paths["monitoring"]).select("series_id", "transform", "date", r("value", 5))
 
 
+#: The tables of the job as the SQL of the queries on them builds them.
+_STAGES = {
+    "raw": with_ctes("s3", body="SELECT date, value FROM s3"),
+    "monitoring": SQL["features_mon"],
+    "pit": with_ctes("fixed", "first", body=PIT_PANEL_SQL),
+}
+
+
+@query(
+    "pipeline_metrics",
+    " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, count(*) AS n_rows, count(value) AS n_valued, min(date) AS first_date, max(date) AS last_date FROM ({sql})"
+        for stage, sql in _STAGES.items()
+    ),
+)
+def pipeline_metrics(spark, d):
+    """What the batch job counted while it wrote its tables, with floors that hold and values none of which is lost."""
+    panel = supplier_daily(spark, d)
+    floors = panel.groupBy("series_id").agg(F.date_add(F.max("date"), 30).alias("first_by"), F.lit(1).alias("min_n"))
+    paths = pipeline.run(
+        spark, panel, job_registry(spark, d), scratch_path(spark, "job"), ordered_vintages(spark, d), floors=floors, buckets=8, check_frequency=False
+    )
+    return spark.read.parquet(paths["metrics"]).where(F.col("stage").isin(*_STAGES))
+
+
+@query(
+    "join_whole",
+    with_ctes("s1", "s3", "reg", body="""SELECT * FROM s1 UNION ALL SELECT * FROM s3
+WHERE series_id IN (SELECT series_id FROM reg WHERE lag IS NOT NULL) AND date IN (SELECT date FROM s1)"""),
+)
+def join_whole(spark, d):
+    """The orders' days joined by supplier values none of which may be lost: those on other days are withdrawn first."""
+    orders, panel = orders_daily(spark, d), supplier_daily(spark, d)
+    known = panel.join(orders.select("date").distinct(), "date", "left_semi")
+    return join_registered_whole(orders, known, supplier_registry(spark, d))
+
+
 #: The supplier values at the frequency each series declares; weekly instead of daily, and monthly for those of vintages.
 _DECLARED = """SELECT series_id, CASE frequency WHEN 'W' THEN CAST(date_trunc('week', date) AS DATE) + 6 WHEN 'M' THEN last_day(date)
   ELSE last_day(date_trunc('quarter', date) + INTERVAL 2 MONTH) END AS date, arg_max(value, date) AS value

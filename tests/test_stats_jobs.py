@@ -7,8 +7,9 @@ import pytest
 from conftest import collect, day, walk
 from pyspark.sql import functions as F
 
+from tidemark.operators import quality, runs, watch
 from tidemark.operators import stats as T
-from tidemark.operators.pit import pit_panel
+from tidemark.operators.pit import pit_panel, pit_runs
 from tidemark.plans import pipeline
 from tidemark.plans import warehouse as W
 from tidemark.session import scratch_path
@@ -154,10 +155,17 @@ def test_pipeline_end_to_end(spark, panel_of, vintages_of, registry_of):
     names = {(r.series_id, r.transform) for r in features.select("series_id", "transform").distinct().collect()}
     assert names == {("d", "level"), ("d", "diff_bps"), ("d", "zscore_exp"), ("p", "level"), ("p", "diff"), ("m", "level"), ("m", "yoy")}
     assert features.groupBy("series_id", "transform", "date").count().where("count > 1").isEmpty()
+    counted = {r.stage: r for r in spark.read.parquet(paths["metrics"]).collect()}
+    assert list(counted) and set(counted) == {"raw", "monitoring", "runs", "pit", "features"}
+    for stage in ("raw", "monitoring", "pit", "features"):
+        table = spark.read.parquet(paths[stage])
+        want = table.agg(F.count(F.lit(1)), F.count("value"), F.min("date"), F.max("date")).first()
+        assert tuple(counted[stage])[1:] == tuple(want), stage
     # The same job over bucketed tables gives the same features.
     again = pipeline.run(
         spark, panel_of({"d": daily}), reg, scratch_path(spark, "pipeline"), v, [panel_of({"p": weekly})], floors, 4, tables="job"
     )
+    assert spark.read.parquet(again["metrics"]).exceptAll(spark.read.parquet(paths["metrics"])).isEmpty()
     other = spark.read.parquet(again["features"]).select(*features.columns)
     assert features.exceptAll(other).isEmpty() and other.exceptAll(features).isEmpty()
     monitoring = spark.read.parquet(paths["monitoring"])
@@ -173,6 +181,38 @@ def test_pipeline_stops_before_writing_on_short_history(spark, panel_of, registr
         spark.read.parquet(f"{out}/pit")
 
 
+def test_floors_in_the_pass_say_what_the_guard_says(spark, panel_of, registry_of):
+    """Series by series the pass fails exactly where ``coverage_violations`` has a row; missing bounds and unknown series say nothing."""
+    series = {f"s{i}": walk(40 + 3 * i, i) for i in range(2)}
+    held = pit_runs(panel_of(series), None, registry_of({s: {"lag": 1} for s in series}), end="2020-12-31")
+    days = runs.coverage(held).orderBy("series_id").collect()
+    kind = "series_id string, first_by date, min_n int"
+    for r in days:
+        before = r.first_valid - dt.timedelta(days=1)
+        for floor in [(r.first_valid, r.n), (before, 1), (r.first_valid, r.n + 1), (None, None), (None, r.n + 1), (before, None)]:
+            floors = spark.createDataFrame([(r.series_id, *floor), ("unknown", before, 10**6)], kind)
+            want = quality.coverage_violations(runs.spread(held), floors).count()
+            try:
+                with watch.guarded():
+                    assert watch.covered(held, floors).exceptAll(held).isEmpty()
+                failed = 0
+            except ValueError as e:
+                assert str(e).startswith(f"protected history is too short: series {r.series_id} from {r.first_valid} with {r.n} days")
+                failed = 1
+            assert failed == want, (r, floor)
+
+
+def test_a_watch_counts_an_empty_table(spark):
+    seen = watch.Watch("none")
+    S.write_panel(spark.createDataFrame([], "series_id string, date date, value double"), scratch_path(spark, "empty"), 4, watch=seen)
+    assert seen.row() == ("none", 0, 0, None, None)
+
+
+def test_guarded_leaves_other_errors_alone():
+    with pytest.raises(KeyError), watch.guarded():
+        raise KeyError("x")
+
+
 def test_pipeline_stops_when_a_join_loses_values(spark, panel_of, registry_of):
     weekend = pd.Series([1.0], index=pd.to_datetime(["2020-01-04"]))
     with pytest.raises(ValueError, match="values lost"):

@@ -7,10 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import accumulate, join_registered
+from tidemark.operators.merge import accumulate
 from tidemark.operators.pit import pit_runs
-from tidemark.operators.quality import coverage_violations, dropped_counts, enforce, require_rows
+from tidemark.operators.quality import require_rows
 from tidemark.operators.runs import spread, split_at
+from tidemark.operators.watch import Watch, covered, guarded, join_registered_whole, metrics
 from tidemark.plans.features import OwnTransform, apply_transforms, with_checked_frequency
 from tidemark.sources import store
 from tidemark.sources.registry import validate
@@ -41,7 +42,9 @@ def run(
     ``extra`` are further sources (positions, margin) joined onto the dates of
     the observations; losing a value there is an error.  ``floors`` protect the
     history of named series: a violation stops the job before the
-    point-in-time tables are written.  Each stage reads the stored result of the
+    point-in-time tables are written.  Both checks are made by the pass that
+    writes the table, which fails with nothing committed; so are the counts of the
+    table ``metrics`` (rows, values, first and last date of each stage).  Each stage reads the stored result of the
     one before, so nothing is computed twice and a lost executor costs its tasks
     only.  A rolling window of a series whose data dates contradict its declared
     frequency stops the job in either list, for a series of vintages by the
@@ -49,13 +52,19 @@ def run(
     further transforms by name.  With a table name prefix in ``tables`` the two panels are saved as
     tables bucketed by series, and the passes over them do not shuffle.
     """
-    paths = {name: f"{out}/{name}" for name in ("raw", "monitoring", "runs", "pit", "features")}
+    paths = {name: f"{out}/{name}" for name in ("raw", "monitoring", "runs", "pit", "features", "metrics")}
     validate(registry)
+    watches: list[Watch] = []
+
+    def watched(name: str, date: str = "date") -> Watch:
+        watches.append(Watch(name, date))
+        return watches[-1]
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        if tables is not None:
-            return store.save_panel_table(df, f"{tables}_{name}", paths[name], buckets, mode)
-        store.write_panel(df, paths[name], buckets, mode)
+        with guarded():
+            if tables is not None:
+                return store.save_panel_table(df, f"{tables}_{name}", paths[name], buckets, mode, watched(name))
+            store.write_panel(df, paths[name], buckets, mode, watched(name))
         return store.read_panel(spark, paths[name], buckets=buckets)
 
     if end is not None:
@@ -74,21 +83,16 @@ def run(
         beyond.write.mode(mode).parquet(paths["quarantine"])
     panel = accumulate(require_rows(observations, "observations"))
     for source in extra or []:
-        joined = join_registered(panel, source, registry)
-        listed = registry.where("lag IS NOT NULL").select("series_id")
-        kept = joined.join(source.select("series_id").distinct(), "series_id", "left_semi")
-        lost = dropped_counts(source.join(listed, "series_id", "left_semi"), kept, panel).where("dropped")
-        enforce(lost, "values lost when joining onto the panel dates")
-        panel = joined
+        panel = join_registered_whole(panel, source, registry)
     raw = stored(panel, "raw")
 
-    store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency, own=own), paths["monitoring"], buckets, mode)
+    store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency, own=own), paths["monitoring"], buckets, mode, watched("monitoring"))
 
-    pit_runs(raw, vintages, registry, end=end).write.mode(mode).parquet(paths["runs"])
+    held = pit_runs(raw, vintages, registry, end=end)
+    with guarded():
+        watched("runs", "since").on(held if floors is None else covered(held, floors)).write.mode(mode).parquet(paths["runs"])
     held = spark.read.parquet(paths["runs"])
     pit = spread(held)
-    if floors is not None:
-        enforce(coverage_violations(pit, floors), "protected history is too short")
     # The stored grid is daily for every series, so the list is checked on the dates behind it.
     checked = registry
     if check_frequency:
@@ -98,5 +102,6 @@ def run(
             dates = dates.unionByName(vintages.select("series_id", "date", "value").join(listed, "series_id", "left_semi"))
         checked = with_checked_frequency(registry, dates, "fm_transforms")
     features = apply_transforms(stored(pit, "pit"), checked, "fm", check_frequency=False, own=own, runs=held)
-    store.write_features(features, paths["features"], buckets, mode)
+    store.write_features(features, paths["features"], buckets, mode, watched("features"))
+    metrics(spark, watches).write.mode(mode).parquet(paths["metrics"])
     return paths

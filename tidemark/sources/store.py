@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.watch import Watch
 from tidemark.schema import PANEL, VINTAGE
 
 BUCKETS = 256
@@ -32,9 +33,16 @@ def _bucket(series_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(series_id), F.lit(buckets)).cast("int")
 
 
-def write_store(df: DataFrame, path: str, sort: Sequence[str], buckets: int = BUCKETS, mode: str = "errorifexists") -> None:
-    """Write rows bucketed by series and sorted; AQE splits a bucket a hot series makes too large."""
+def write_store(
+    df: DataFrame, path: str, sort: Sequence[str], buckets: int = BUCKETS, mode: str = "errorifexists", watch: Watch | None = None
+) -> None:
+    """Write rows bucketed by series and sorted; AQE splits a bucket a hot series makes too large.
+
+    ``watch`` counts the rows on their way to the files.
+    """
     laid_out = df.withColumn("bucket", _bucket(F.col("series_id"), buckets)).hint("rebalance", F.col("bucket"))
+    if watch is not None:
+        laid_out = watch.on(laid_out)
     (
         laid_out.sortWithinPartitions("bucket", *sort)
         .write.mode(mode)
@@ -44,8 +52,8 @@ def write_store(df: DataFrame, path: str, sort: Sequence[str], buckets: int = BU
     )
 
 
-def write_panel(panel: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> None:
-    write_store(panel.select("series_id", "date", "value"), path, ["series_id", "date"], buckets, mode)
+def write_panel(panel: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists", watch: Watch | None = None) -> None:
+    write_store(panel.select("series_id", "date", "value"), path, ["series_id", "date"], buckets, mode, watch)
 
 
 def write_vintages(vintages: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> None:
@@ -58,8 +66,8 @@ def write_vintages(vintages: DataFrame, path: str, buckets: int = BUCKETS, mode:
     )
 
 
-def write_features(features: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> None:
-    write_store(features, path, ["series_id", "transform", "date"], buckets, mode)
+def write_features(features: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "errorifexists", watch: Watch | None = None) -> None:
+    write_store(features, path, ["series_id", "transform", "date"], buckets, mode, watch)
 
 
 def _plain(path: str) -> str:
@@ -165,9 +173,13 @@ def read_vintages(
     return bound_vintages(_read(spark, path, VINTAGE, series, buckets), data_from, realtime_from)
 
 
-def save_panel_table(panel: DataFrame, table: str, path: str, buckets: int = BUCKETS, mode: str = "errorifexists") -> DataFrame:
+def save_panel_table(
+    panel: DataFrame, table: str, path: str, buckets: int = BUCKETS, mode: str = "errorifexists", watch: Watch | None = None
+) -> DataFrame:
     """Panel as an external table bucketed by series id, one sorted file per bucket."""
     rows = panel.select("series_id", "date", "value").repartition(buckets, "series_id")
+    if watch is not None:
+        rows = watch.on(rows)
     (
         rows.write.mode(mode)
         .format("parquet")
