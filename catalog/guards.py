@@ -236,6 +236,18 @@ def warehouse_load(spark, d):
     return W.rows_by_transform(spark.read.parquet(path))
 
 
+@query(
+    "load_date_text",
+    FACT_SQL + """SELECT series_id, strftime(date, '%Y-%m-%d') AS date, transform, strftime(release_date, '%Y-%m-%d') AS release_date,
+  strftime(obs_date, '%Y-%m-%d') AS obs_date, block FROM fact""",
+)
+def load_date_text(spark, d):
+    """The load with its dates as text, keyed and stored like the other one."""
+    path = scratch_path(spark, "facts")
+    W.load_facts(spark, W.dates_as_text(fact(spark, d)), path, first=True, buckets=8)
+    return spark.read.parquet(path).select("series_id", "date", "transform", "release_date", "obs_date", "block")
+
+
 @query(
     "load_insert_ignore",
     with_ctes(

@@ -412,3 +412,14 @@ def test_own_transforms_join_the_dispatch(spark, panel_of, registry_of):
         apply_transforms(panel, reg, "mon", own={"diff": own["step"]})
     with pytest.raises(ValueError, match="counts"):
         OwnTransform("x", own["step"].build, counts="weeks")
+
+
+def test_dates_as_text_and_back(spark):
+    rows = spark.createDataFrame([("a", day("2024-02-29"), None, 1.0), ("b", None, day("0999-01-02"), None)], "k string, d date, e date, v double")
+    text = W.dates_as_text(rows)
+    listed = lambda df: [tuple(r) for r in df.orderBy("k").collect()]
+    assert listed(text) == [("a", "2024-02-29", None, 1.0), ("b", None, "0999-01-02", None)]
+    assert listed(W.dates_from_text(text, ["d", "e"])) == listed(rows)
+    assert W.dates_as_text(rows.select("k")).columns == ["k"]
+    with pytest.raises(Exception, match="2024-13-01"):
+        W.dates_from_text(spark.createDataFrame([("2024-13-01",)], "d string"), ["d"]).collect()

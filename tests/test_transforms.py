@@ -4,6 +4,7 @@ import pytest
 from conftest import as_dict, assert_same, collect, day, walk
 from pyspark.sql import functions as F
 
+from tidemark.operators import calendar as C
 from tidemark.operators import transforms as X
 from tidemark.operators import windows as W
 from tidemark.plans.features import apply_transforms
@@ -186,3 +187,21 @@ def test_dispatch_rejects_unknown_names(panel_of, registry_of):
         apply_transforms(p, registry_of({"a": {}}), "other")
     with pytest.raises(Exception, match="unknown transform"):
         apply_transforms(p, registry_of({"a": {"transforms": ["zscore_2y"]}}), "mon").collect()
+
+
+def test_year_over_year_does_not_hang_on_density(panel_of, registry_of):
+    """An index going from 300 to 312 in a year: 4.00 % on monthly rows and on the same values held over days.
+
+    Counting 12 rows of the held form would give 0.00 %, and 252 rows, which are
+    11.6 months, 3.65 % (published anchors).
+    """
+    months = pd.date_range("2020-01-31", periods=25, freq="ME")
+    monthly = pd.Series(300 * 1.04 ** (np.arange(25) / 12), index=months)
+    held = monthly.reindex(pd.bdate_range("2020-01-31", "2022-01-31"), method="ffill")
+    reg = registry_of({"m": {"frequency": "M"}})
+    last = lambda df: df.orderBy(F.desc("date")).first().yoy
+    assert last(X.yoy(panel_of({"m": monthly}), 12)) == pytest.approx(4.0)
+    assert last(X.yoy(C.to_native(panel_of({"m": held}), reg), 12)) == pytest.approx(4.0)
+    dense = panel_of({"m": held[: "2022-01-28"]})
+    assert last(X.yoy(dense, 12)) == pytest.approx(0.0)
+    assert last(X.yoy(dense, 252)) == pytest.approx(3.65, abs=0.02)
