@@ -200,3 +200,22 @@ def test_navigation_share_holds_for_lines_of_any_length():
     word = sorted(quality.NAVIGATION_WORDS)[0]
     for n in (5, 25, 400):
         assert quality.line_failure(" ".join([word] * n) + ".", rules) == "navigation"
+
+
+def test_html_cells_that_reach_down():
+    """A cell with rowspan keeps its column in the rows below, to the end of its group at most."""
+    shown = htmltext.visible_text
+    assert shown("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>") == "a | b\n  | c"
+    assert shown("<table><tr><td>a<td rowspan=3>bb<td>c<tr><td>d<td>e<tr><td>f</table>") == "a | bb | c\nd |    | e\nf"
+    assert shown("<table><tr><td rowspan=2 colspan=2>x<td>y<tr><td>z<tr><td>1<td>2<td>3</table>").split("\n")[1].endswith("| z")
+    assert shown("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>") == "a | b\n  | c\nd | e"
+    assert shown("<table><tr><td rowspan=x>a<td rowspan=-1>b<tr><td rowspan=99999999999>c<td>d</table>") == "a | b\nc | d"
+    table = htmltext.Table()
+    table.rows = [[("a", 1, 3), ("b", 2, 2), ("c", 1, 1)], [("d", 1, 1), ("e", 1, 1)], [("f", 1, 1)]]
+    assert table.placed() == [[(0, "a", 1), (1, "b", 2), (3, "c", 1)], [(3, "d", 1), (4, "e", 1)], [(1, "f", 1)]]
+
+
+def test_html_closed_details_show_their_summary():
+    page = "<details{}><summary>More</summary><p>inside</details>end"
+    assert htmltext.visible_text(page.format("")) == "More\nend"
+    assert "inside" in htmltext.visible_text(page.format(" open"))

@@ -87,6 +87,13 @@ class Node:
         return "hidden" in found or bool(_UNSEEN.search(found.get("style", "")))
 
 
+    def shown(self) -> list:
+        """The children that count: of a closed ``details`` its first summary only."""
+        if self.name != "details" or "open" in self.attributes():
+            return self.children
+        return [c for c in self.children if isinstance(c, Node) and c.name == "summary"][:1]
+
+
 class Builder:
     """Open elements from the root down, with a count of each name."""
 
@@ -245,36 +252,82 @@ class Lines:
         return "".join(self.out).rstrip()
 
 
-def aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
+class Table:
+    """Rows of cells (text, columns, rows down to the end of its group if 0), and the rows that begin a group."""
+
+    def __init__(self):
+        self.rows: list[list[tuple[str, int, int]]] = []
+        self.groups: set[int] = set()
+
+    def placed(self) -> list[list[tuple[int, str, int]]]:
+        """Column, text and span of the cells of each row; a cell of an earlier row that reaches down keeps its columns.
+
+        Columns taken so are kept as ranges in order.  The work of a row is that
+        of its cells and of the ranges it passes over.
+        """
+        out: list[list[tuple[int, str, int]]] = []
+        taken: list[tuple[int, int, float]] = []  # first column, column behind the last, row behind the last
+        for r, row in enumerate(self.rows):
+            taken = [] if r in self.groups else [t for t in taken if t[2] > r]
+            cells, reaching, at, k = [], [], 0, 0
+            for text, span, down in row:
+                while k < len(taken) and taken[k][0] <= at:
+                    at, k = max(at, taken[k][1]), k + 1
+                cells.append((at, text, span))
+                if down != 1:
+                    until = r + down if down else float("inf")
+                    if reaching and reaching[-1][1] == at and reaching[-1][2] == until:
+                        reaching[-1] = (reaching[-1][0], at + span, until)
+                    else:
+                        reaching.append((at, at + span, until))
+                at += span
+            if reaching:
+                taken = sorted(taken + reaching)
+            out.append(cells)
+        return out
+
+
+def aligned(table: Table) -> list[str]:
     """Lines of a table; cells of a column begin below each other, unless an earlier one is too wide."""
+    rows = table.placed()
     widths: dict[int, int] = {}
     for row in rows:
-        at = 0
-        for text, span in row:
+        for at, text, span in row:
             if span == 1:
                 widest = max((len(x) for x in text.split("\n")), default=0)
                 if widest <= CELL_WIDTH:
                     widths[at] = max(widths.get(at, 0), widest)
-            at += span
+
+    def width(at: int, stop: int) -> int:
+        """Of the columns and the marks between them; as wide as four cells at most, whatever a page asks for."""
+        found = sum(widths.get(c, 0) for c in range(at, min(stop, at + 1000))) + 3 * (stop - at - 1)
+        return min(found, 4 * CELL_WIDTH)
+
     lines = []
     for row in rows:
-        cells = [(text.split("\n"), span) for text, span in row]
-        for k in range(max((len(c) for c, _ in cells), default=0)):
-            parts, at = [], 0
-            for cell, span in cells:
-                width = sum(widths.get(c, 0) for c in range(at, min(at + span, at + 1000))) + 3 * (span - 1)
-                parts.append((cell[k] if k < len(cell) else "").ljust(min(width, 4 * CELL_WIDTH)))
-                at += span
+        cells = [(at, text.split("\n"), span) for at, text, span in row]
+        for k in range(max((len(c) for _, c, _ in cells), default=0)):
+            parts, behind = [], 0
+            for at, cell, span in cells:
+                if at > behind:  # columns of cells that reach down from above
+                    parts.append(" " * width(behind, at))
+                parts.append((cell[k] if k < len(cell) else "").ljust(width(at, at + span)))
+                behind = at + span
             lines.append(" | ".join(parts).rstrip())
     return lines
 
 
+def _number(text: str | None, most: int) -> int:
+    """A whole number of ASCII digits, 1 for anything else, at most what a browser takes."""
+    return min(int(text), most) if text and text.isascii() and text.isdigit() and len(text) < 10 else most if text and text.isascii() and text.isdigit() else 1
+
+
 class Renderer:
     """A walk over the tree with a stack of outputs: the page, and a cell within a table within it."""
 
     def __init__(self):
         self.outputs = [Lines()]
-        self.tables: list[list[list[tuple[str, int]]]] = []
+        self.tables: list[Table] = []
         self.lists: list[int | None] = []
         self.preformatted = 0
 
@@ -289,7 +342,7 @@ class Renderer:
             elif not item.hidden():
                 self._enter(item)
                 todo.append((False, item))
-                todo.extend((True, c) for c in reversed(item.children))
+                todo.extend((True, c) for c in reversed(item.shown()))
         return self.outputs[0].result()
 
     def _text(self, text: str) -> None:
@@ -312,9 +365,11 @@ class Renderer:
         elif name in BLOCKS:
             out.line_break(2 if name in APART and not self.lists else 1)
         if name == "table":
-            self.tables.append([])
+            self.tables.append(Table())
         elif name == "tr" and self.tables:
-            self.tables[-1].append([])
+            self.tables[-1].rows.append([])
+        elif name in ("tbody", "thead", "tfoot") and self.tables:
+            self.tables[-1].groups.add(len(self.tables[-1].rows))
         elif name in ("td", "th") and self.tables:
             self.outputs.append(Lines())
         elif name in ("ul", "ol", "menu"):
@@ -335,10 +390,11 @@ class Renderer:
         name, out = node.name, self.outputs[-1]
         if name in ("td", "th") and self.tables and len(self.outputs) > 1:
             self.outputs.pop()
-            span = node.attributes().get("colspan", "1") if node.rest else "1"
-            if not self.tables[-1]:
-                self.tables[-1].append([])
-            self.tables[-1][-1].append((out.result(), min(int(span), 1000) if span.isdigit() and int(span) else 1))
+            found = node.attributes() if node.rest else {}
+            rows = self.tables[-1].rows
+            if not rows:
+                rows.append([])
+            rows[-1].append((out.result(), _number(found.get("colspan"), 1000) or 1, _number(found.get("rowspan"), 65534)))
             return
         if name == "table":
             out.line_break(2)
