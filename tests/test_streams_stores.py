@@ -104,7 +104,7 @@ def test_publishing_is_all_or_nothing(spark, tmp_path, panel_of, registry_of):
     assert versions.current(spark, root) is None
     first = versions.run_published(spark, root, job(walk(30)))
     levels = collect(spark.read.parquet(versions.current(spark, root)["pit"]), "value")
-    assert versions.current(spark, root) == first and set(first) == {"raw", "monitoring", "runs", "pit", "features"}
+    assert versions.current(spark, root) == first and set(first) == {"raw", "monitoring", "runs", "pit", "features", "metrics"}
 
     def fails_late(out):
         job(walk(40))(out)
