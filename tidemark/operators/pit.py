@@ -112,7 +112,7 @@ def asof_backward(releases: DataFrame, queries: DataFrame, lag_days: int = 0, wi
     asked = queries.select("series_id", "query_date").distinct()
     carry = ["pit_value", "data_date", "effective_date"]
     if width is not None:
-        return prefix.asof_last(asked, known, "query_date", "usable_from", ["series_id"], carry, ["data_date"], width)
+        return prefix.asof_last(asked, known, "query_date", "usable_from", ["series_id"], carry, ["data_date"], width, one_per_day=True)
     return asof_last(
         asked,
         known,

@@ -36,17 +36,20 @@ def asof_last(
     carry: Sequence[str],
     ties: Sequence[str] = (),
     width: int = WIDTH,
+    one_per_day: bool = False,
 ) -> DataFrame:
     """As ``asof.asof_last`` with dates, each (by, stretch of days) being a task of its own.
 
     The left side may hold any number of rows of one day: distinct (by, day)
-    pairs are matched and joined back.
+    pairs are matched and joined back.  ``one_per_day`` says that the left side
+    consists of such pairs, none of them twice and no day missing: nothing is joined back then.
     """
     by = list(by)
     slot = [*by, "__bucket"]
     tie_names = [f"__tie{i}" for i in range(len(ties))]
     types = dict(right.dtypes)
-    requests = left.select(*by, F.col(left_on).alias("__day")).where(F.col("__day").isNotNull()).distinct()
+    requests = left.select(*by, F.col(left_on).alias("__day"))
+    requests = requests if one_per_day else requests.where(F.col("__day").isNotNull()).distinct()
     requests = requests.withColumns(
         {"__side": F.lit(1)}
         | {n: F.lit(None).cast(types[t]) for t, n in zip(ties, tie_names)}
@@ -65,6 +68,9 @@ def asof_last(
     known = F.when(F.col("__side") == 0, F.col("__row"))
     inside = Window.partitionBy(*slot).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = F.lit(True)  # a missing key matches nothing
+    for c in by:
+        keyed = keyed & F.col(c).isNotNull()
     # The carried row of every bucket, also of those that hold requests only.
     summary = (
         both.groupBy(*slot)
@@ -76,10 +82,10 @@ def asof_last(
         both.withColumn("__here", F.last(known, ignorenulls=True).over(inside))
         .where(F.col("__side") == 1)
         .join(summary, slot, "left")
-        .select(*by, F.col("__day").alias(left_on), F.coalesce("__here", "__before").alias("__hit"))
+        .select(*by, F.col("__day").alias(left_on), F.when(keyed, F.coalesce("__here", "__before")).alias("__hit"))
     )
     found = matched.select(*by, left_on, *[F.col(f"__hit.{c}").alias(c) for c in carry])
-    return left.join(found, [*by, left_on], "left")
+    return found if one_per_day else left.join(found, [*by, left_on], "left")
 
 
 def expanding_moments(df: DataFrame, lag: int = 0, value: str = "value", by: str = "series_id", order: str = "date", width: int = WIDTH) -> DataFrame:
