@@ -155,6 +155,18 @@ def test_encoder_forgets_and_stays_right(monkeypatch):
         assert len(encoder._number) <= 20 + 41
 
 
+def test_pieces_end_before_marks_and_are_shared():
+    """Words and the marks behind them are remembered apart, wide white space and signs do not count as letters."""
+    encoder = tokenfile.Encoder(queries.TOKENIZER_FILE)
+    texts = [f" {w}{m}" for w in ("alpha", "béta", "x9", "×", "a×", "a÷", "日本", "a\u3000", "a\u2003 ", "b\xa0 ", "c\x85 ", "…") for m in ("", ".", ",$$$", "'s", "'ll.", " <|endoftext|>")]
+    for text, ids in zip(texts, encoder.encode_block(texts), strict=True):
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert {b" alpha", " béta".encode(), b" x9", b",$$$"} <= set(encoder._number)
+    assert not any(p.startswith(b" alpha") for p in set(encoder._number) - {b" alpha"})
+    whole = "".join(texts)
+    assert encoder.encode(whole).tolist() == encoder.tokenizer.encode(whole, add_special_tokens=False).ids
+
+
 def test_places_read_back_from_the_files(spark, tmp_path, docs_of):
     rows = [(i * 7 % 101, t) for i, t in enumerate(HARD_TEXTS * 3)]
     rows = list({r[0]: r for r in rows}.values())

@@ -10,9 +10,10 @@ gives the rows, ``lookup`` those of some documents, ``positions`` the place of
 every document in the one long sequence of ids.
 
 Encoding is exact and cheap: a text is cut where white space follows something
-else, which no match of a byte-level pattern crosses, and the library encodes
-each distinct piece once while it is remembered.  The memory of pieces is
-bounded and only saves time.
+else, or a punctuation mark a letter or digit, which no match of a byte-level
+pattern crosses, and the library encodes each distinct piece once while it is
+remembered.  Cuts and distinct pieces are found on the bytes of a block.  The
+memory of pieces is bounded and only saves time.
 
 Defined results: a null text counts as empty; an empty text is stored as the
 end id alone.  Null ids come first.  Rows with the same id follow the hash of
@@ -23,9 +24,7 @@ Long texts are encoded piece by piece and never shortened.
 
 from __future__ import annotations
 
-import itertools
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,19 +36,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import split_safely
-from tidemark.llm.textblocks import text_slices
+from tidemark.llm.textblocks import IS_SPACE, as_bytes, text_slices
 from tidemark.session import materialize
 
 #: Id put behind every document.
 END_ID = 2
 #: Characters of white space as the pattern of the tokenizer knows them (the property White_Space); a fixed value.
-WHITE = r"\t-\r \x85\xa0  -     　"
-#: Pieces remembered per Python worker, and ids of theirs; a piece longer than PIECE_CHARS is forgotten first.
+WHITE = frozenset("\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))))
+#: Those of two and of three bytes, as numbers.
+WHITE_2, WHITE_3 = (np.array([int.from_bytes(c.encode()) for c in sorted(WHITE) if len(c.encode()) == n]) for n in (2, 3))
+#: ASCII letters and digits, and the other visible ASCII characters.
+IS_ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+IS_MARK = np.array([32 < i < 127 and not chr(i).isalnum() for i in range(256)])
+#: Pieces remembered per Python worker, and ids of theirs; a piece longer than PIECE_BYTES is forgotten first.
 REMEMBERED = 700_000
 REMEMBERED_IDS = 8_000_000
-PIECE_CHARS = 64
+PIECE_BYTES = 64
 #: Characters given to the library at once.
-CALL_CHARS = 20_000
+CALL_CHARS = 2_000
 #: Bytes of text looked up together; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
 
@@ -93,8 +97,6 @@ class Encoder:
         self._bytes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self._bytes[number] = len(token)
-        self._pieces = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self._white = frozenset(re.findall(f"[{WHITE}]", "".join(map(chr, range(0x3001)))))
         self._remember({}, np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     @classmethod
@@ -104,13 +106,13 @@ class Encoder:
             _ENCODERS[tokenizer_file] = cls(tokenizer_file)
         return _ENCODERS[tokenizer_file]
 
-    def _remember(self, number: dict[str, int], ids: np.ndarray, counts: np.ndarray) -> None:
+    def _remember(self, number: dict[bytes, int], ids: np.ndarray, counts: np.ndarray) -> None:
         self._number, self._ids, self._counts = number, ids, counts
         self._hits = np.zeros(len(counts), dtype=np.int64)
 
     def _forget(self) -> None:
         """Keep the short pieces met more than once since the last time, half of the room at most."""
-        known = [(p, i) for p, i in self._number.items() if len(p) <= PIECE_CHARS and self._hits[i] > 1][-REMEMBERED // 2 :]
+        known = [(p, i) for p, i in self._number.items() if len(p) <= PIECE_BYTES and self._hits[i] > 1][-REMEMBERED // 2 :]
         kept = np.array([i for _, i in known], dtype=np.int64)
         ids = _gather(self._ids, np.cumsum(self._counts) - self._counts, self._counts, kept)
         number = {p: i for i, (p, _) in enumerate(known)}
@@ -118,52 +120,60 @@ class Encoder:
             number, kept, ids = {}, kept[:0], ids[:0]
         self._remember(number, ids, self._counts[kept])
 
-    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces in a row and how many each has, by few calls of the library.
 
         Pieces from white space to something else may stand one behind the
         other without meeting in a token, so they are encoded as one string;
         the bytes of the tokens tell where a piece ends.
         """
-        lengths = np.fromiter((len(p.encode()) for p in pieces), dtype=np.int64, count=len(pieces))
-        white = self._white
-        strings, start, size, closed = [], 0, 0, False
-        for at, p in enumerate(pieces):
-            ends_white = p[-1] in white
-            if at and (not closed or size > CALL_CHARS or ends_white or p[0] not in white):
-                strings.append("".join(pieces[start:at]))
-                start, size = at, 0
-            size += len(p)
-            closed = not ends_white
-        strings.append("".join(pieces[start:]))
-        ids = np.concatenate([np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        strings, size, open_ended = [], CALL_CHARS, False
+        for piece in pieces:
+            text = piece.decode()
+            joins = piece[:1].isspace() and text[-1] not in WHITE
+            if joins and open_ended and size < CALL_CHARS:
+                strings[-1].append(text)
+                size += len(text)
+            else:
+                strings.append([text])
+                size, open_ended = len(text), joins
+        batch = ["".join(x) for x in strings]
+        ids = np.concatenate([np.array(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)])
         ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(lengths), side="right")
         return ids, np.diff(ends, prepend=0)
 
-    def _lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _lookup(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces in a row, and how many each piece has."""
         if len(self._number) > REMEMBERED or len(self._ids) > REMEMBERED_IDS:
             self._forget()
-        new = list(set(pieces).difference(self._number))
+        coded = pieces.dictionary_encode()
+        distinct, place = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(coded.indices)
+        new = sorted((p for p in distinct if p not in self._number), key=lambda p: not p[:1].isspace())
         if new:
             ids, counts = self._encode(new)
             self._number.update(zip(new, range(len(self._counts), len(self._counts) + len(new)), strict=True))
             self._ids = np.concatenate([self._ids, ids])
             self._counts = np.concatenate([self._counts, counts])
             self._hits = np.concatenate([self._hits, np.zeros(len(new), dtype=np.int64)])
-        which = np.fromiter(map(self._number.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        self._hits += np.bincount(which, minlength=len(self._hits))
+        known = np.fromiter(map(self._number.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        self._hits[known] += np.bincount(place, minlength=len(distinct))
+        which = known[place]
         return _gather(self._ids, np.cumsum(self._counts) - self._counts, self._counts, which), self._counts[which]
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where those of each text begin (one more at the end); the texts are looked up together."""
+        data, offsets = as_bytes(texts)
+        if not len(data):
+            return np.zeros(0, dtype=np.int32), np.zeros(len(offsets), dtype=np.int64)
+        cuts = _cuts(data, offsets)
+        bounds = np.append(cuts, len(data)).astype(np.int32)
+        ids, counts = self._lookup(pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]))
+        return ids, np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(cuts, offsets)]
+
     def encode_block(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; the texts of a block are looked up together."""
-        cut = [self._pieces.findall(t) for t in texts]
-        everything = list(itertools.chain.from_iterable(cut))
-        if not everything:
-            return [np.zeros(0, dtype=np.int32)] * len(texts)
-        ids, counts = self._lookup(everything)
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        bounds = ends[np.concatenate([[0], np.cumsum([len(c) for c in cut])])]
+        """Ids of each text."""
+        ids, bounds = self.encode_column(pa.array(texts, pa.large_string()))
         return [ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
 
     def encode(self, text: str) -> np.ndarray:
@@ -172,6 +182,26 @@ class Encoder:
         return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
 
 
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of the texts begin: places that are the edge of two matches, whatever stands around them.
+
+    These are ASCII white space behind something else, and a mark behind an
+    ASCII letter or digit or a letter from U+00C0 to U+00FF.
+    """
+    edge = np.zeros(len(data) + 1, dtype=bool)
+    space, last = IS_SPACE[data], data[:-1]
+    edge[1:-1] = space[1:] & ~space[:-1]
+    wide = np.flatnonzero(edge[1:-1] & (last >= 0x80))  # the last byte of a longer character
+    code = data[wide].astype(np.int64) | data[wide - 1].astype(np.int64) << 8
+    edge[wide + 1] = ~np.isin(code, WHITE_2) & ~np.isin(code | data[wide - 2].astype(np.int64) << 16, WHITE_3)
+    mark = np.flatnonzero(IS_MARK[data[1:]])
+    before, two = data[mark], data[mark - 1]
+    latin = (before >= 0x80) & (two == 0xC3) & (before != 0x97) & (before != 0xB7)
+    edge[mark[IS_ALNUM[before] | latin] + 1] = True
+    edge[offsets] = True
+    return np.flatnonzero(edge[:-1])
+
+
 def _gather(flat: np.ndarray, first: np.ndarray, counts: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The runs ``flat[first : first + counts]`` of the numbered pieces, one behind the other."""
     n = counts[which]
@@ -183,15 +213,20 @@ def _gather(flat: np.ndarray, first: np.ndarray, counts: np.ndarray, which: np.n
 def _encoded(tokenizer_file: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer_file)
-        end = np.array([end_id], dtype=np.int32)
         for batch in batches:
             for low, high in text_slices(batch.column("text"), BLOCK_BYTES):
                 part = batch.slice(low, high - low)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = [encoder.encode(texts[0])] if len(texts) == 1 else encoder.encode_block(texts)
-                offsets = np.concatenate([[0], np.cumsum([len(x) + 1 for x in ids])]).astype(np.int32)
-                flat = np.concatenate([y for x in ids for y in (x, end)])
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+                if len(part) == 1:
+                    flat = encoder.encode(part.column("text")[0].as_py() or "")
+                    bounds = np.array([0, len(flat)])
+                else:
+                    flat, bounds = encoder.encode_column(part.column("text"))
+                offsets = (bounds + np.arange(len(bounds))).astype(np.int32)
+                closed = np.full(offsets[-1], end_id, dtype=np.int32)
+                inside = np.ones(len(closed), dtype=bool)
+                inside[offsets[1:] - 1] = False
+                closed[inside] = flat
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(closed))
                 yield pa.record_batch([part.column("id"), part.column("tie"), lists], names=["id", "tie", "ids"])
 
     return run
