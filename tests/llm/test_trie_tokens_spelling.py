@@ -267,7 +267,7 @@ def word_texts(seed, n_docs, letters="abé", pool=150):
     ids=["production", "many cells, poor sample", "tiny cells and leaves"],
 )
 def test_variants_against_all_pairs(docs_of, setting):
-    rows = word_texts(1, 120)
+    rows = [*word_texts(1, 120), (1000, "zzzzab " * 150 + "zzzzaa " * 28 + "zzzzba " * 5)]  # the last word's form has a form
     got = spelling.variants(docs_of(rows).repartition(3), setting)
     assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
     want = brute_variants(rows)
