@@ -314,6 +314,28 @@ def test_repeated_words_equal_brute_force(docs_of):
     assert suffixdedup.inner_words(data, np.array([0, 13]), 6).tolist() == plain
 
 
+@pytest.mark.parametrize("limit", [1000, 2])
+def test_texts_are_fetched_once_for_bytes_and_words(docs_of, monkeypatch, limit):
+    """Both kinds of repeats in one pass over the texts, the same as each alone; bytes of pieces are stored only for large groups."""
+    monkeypatch.setattr(suffixdedup, "GROUP", limit)
+    rows = neardup.keyed(docs_of(repeat_texts()), "doc_id", "text")
+    alone = {(*r, False) for r in suffixdedup.repeated_stretches(rows, 60, 9, keep_first=True).collect()}
+    alone |= {(*r, True) for r in suffixdedup.repeated_words(rows, 9, keep_first=True).collect()}
+    stored, both, write = collections.defaultdict(list), [], suffixdedup.materialize
+
+    def watched(df, label):
+        stored[label].append(df._jdf.queryExecution().executedPlan().toString())
+        out = write(df, label)
+        both[:] = [out]
+        return out
+
+    monkeypatch.setattr(suffixdedup, "materialize", watched)
+    suffixdedup.without_repeats(docs_of(repeat_texts()), 60, words=9, keep_first=True).count()
+    fetched = "suffix-bodies" if limit == 2 else "suffix-stretches"
+    assert [p.count("MapInArrow") for p in stored[fetched]] == [1] and len(stored["suffix-bodies"]) == (limit == 2)
+    assert {tuple(r) for r in both[0].collect()} == alone and {r[3] for r in alone} == {False, True}
+
+
 def plain_targets(sizes, cap=3):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}

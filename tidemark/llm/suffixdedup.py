@@ -29,6 +29,7 @@ empty table; further columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -202,14 +203,14 @@ def _pieces(rows: DataFrame, length: int, under_words: int | None = None, keep_f
 
 
 NAMES = ["anchor", "content", "weight", "row_key", "low", "at", "high"]
-FIELDS = ["anchor", "content", "weight", "low", "at", "high", "in_group"]
+FIELDS = ["in_words", "anchor", "content", "weight", "low", "at", "high", "in_group"]
 
 
-def _texts_of(pieces: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """``pieces`` with their bytes, fetched from the texts they lie in."""
-    listed = pieces.groupBy("row_key").agg(
-        F.collect_list(F.struct("anchor", "content", "weight", "low", "at", "high", "in_group")).alias("pieces")
-    )
+def _texts_of(pieces: DataFrame, rows: DataFrame, lengths: dict[bool, int]) -> DataFrame:
+    """``pieces`` with their bytes, fetched in one pass from the texts they lie in or, ``in_words``, from the codes of their words."""
+    listed = pieces.groupBy("row_key").agg(F.collect_list(F.struct(*FIELDS)).alias("pieces"))
+    # Rows with the same key have the same text; one of each is enough.
+    texts = rows.groupBy("row_key").agg(F.first("text").alias("text"))
 
     def cut(batches):
         for batch in batches:
@@ -217,26 +218,31 @@ def _texts_of(pieces: DataFrame, rows: DataFrame, length: int) -> DataFrame:
                 part = batch.slice(a, b - a)
                 flat = part.column("pieces").flatten()
                 parents = pc.list_parent_indices(part.column("pieces"))
-                texts = part.column("text").cast(pa.binary()).to_pylist()
+                in_words = flat.field("in_words").to_pylist()
+                wanted = {w: sorted({i for i, x in zip(parents.to_pylist(), in_words, strict=True) if x == w}) for w in (False, True)}
+                column = {w: part.column("text").take(pa.array(wanted[w], pa.int64())) for w in wanted}
+                found = {False: column[False].cast(pa.binary()), True: codes_of(column[True]) if wanted[True] else column[True]}
+                raw = {w: dict(zip(wanted[w], found[w].to_pylist(), strict=True)) for w in wanted}
                 low, high = flat.field("low").to_pylist(), flat.field("high").to_pylist()
-                body = [texts[i][s : e + length] for i, s, e in zip(parents.to_pylist(), low, high, strict=True)]
+                body = [raw[w][i][s : e + lengths[w]] for w, i, s, e in zip(in_words, parents.to_pylist(), low, high, strict=True)]
                 fields = [flat.field(n) for n in FIELDS]
                 yield pa.record_batch(
                     [*fields, part.column("row_key").take(parents), pa.array(body, pa.binary())],
                     names=[*FIELDS, "row_key", "body"],
                 )
 
-    found = rows.select("row_key", "text").join(listed, "row_key")
-    return found.mapInArrow(
+    return texts.join(listed, "row_key").select("row_key", "text", "pieces").mapInArrow(
         giving_back(cut),
-        "anchor bigint, content bigint, weight int, low bigint, at bigint, high bigint, in_group bigint, row_key bigint, body binary",
+        "in_words boolean, anchor bigint, content bigint, weight int, low bigint, at bigint, high bigint, in_group bigint, row_key bigint, body binary",
     )
 
 
-def _sorted_repeats(pieces: DataFrame, buckets: int, length: int, keep_first: bool = False) -> DataFrame:
-    """``row_key, start, end``: repeated stretches of single pieces, by sorting suffixes bucket by bucket."""
+def _sorted_repeats(pieces: DataFrame, buckets: dict[bool, int], lengths: dict[bool, int], keep_first: bool = False) -> DataFrame:
+    """``row_key, start, end, in_words``: repeated stretches of single pieces, by sorting suffixes bucket by bucket."""
 
-    def of_bucket(table: pa.Table) -> pa.Table:
+    def of_bucket(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        in_words = key[0].as_py()
+        length = lengths[in_words]
         t = table.combine_chunks().sort_by([("anchor", "ascending"), ("content", "ascending")])
         col = {n: np.asarray(t.column(n)) for n in ("anchor", "content", "weight", "row_key", "low", "at", "high")}
         body = t.column("body").to_pylist()
@@ -251,10 +257,13 @@ def _sorted_repeats(pieces: DataFrame, buckets: int, length: int, keep_first: bo
         i = np.array([f[0] for f in found], dtype=np.int64)
         near, far = (np.array([f[k] for f in found], dtype=np.int64) for k in (1, 2))
         at = col["at"][i]
-        return pa.table({"row_key": col["row_key"][i], "start": at - far, "end": at - near + length})
+        told = pa.array(np.full(len(i), in_words, dtype=bool))
+        return pa.table({"row_key": col["row_key"][i], "start": at - far, "end": at - near + length, "in_words": told})
 
-    bucket = F.pmod(F.xxhash64("anchor"), F.lit(buckets)).cast("int")
-    return pieces.groupBy(bucket.alias("bucket")).applyInArrow(of_bucket, "row_key bigint, start bigint, end bigint")
+    several = F.when(F.col("in_words"), F.lit(buckets.get(True, 1))).otherwise(F.lit(buckets.get(False, 1)))
+    bucket = F.pmod(F.xxhash64("anchor"), several).cast("int")
+    schema = "row_key bigint, start bigint, end bigint, in_words boolean"
+    return pieces.groupBy("in_words", bucket.alias("bucket")).applyInArrow(of_bucket, schema)
 
 
 def _counted_repeats(pieces: DataFrame, length: int, keep_first: bool = False) -> DataFrame:
@@ -284,8 +293,8 @@ def _counted_repeats(pieces: DataFrame, length: int, keep_first: bool = False) -
     return hit.select("row_key", "start", (F.col("start") + length).alias("end"))
 
 
-def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = None, keep_first: bool = False) -> DataFrame:
-    """``row_key, start, end`` of byte stretches of ``rows`` (row_key, text) to remove; they may overlap."""
+def _told_apart(rows: DataFrame, length: int, under_words: int | None, keep_first: bool) -> tuple[DataFrame, DataFrame]:
+    """``row_key, start, end`` of the repeats that need no text, and the pieces that do, with the number of those of their anchor."""
     pieces = materialize(_pieces(rows, length, under_words, keep_first), "suffix-pieces")
     sure = pieces.where("anchor is null").select("row_key", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     single = pieces.where("anchor is not null")
@@ -307,32 +316,62 @@ def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = N
     groups = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("weight").alias("least"))
     groups = groups.where("n > 1" if keep_first else "n > 1 and least = 1")
     mixed = distinct.join(groups.select("anchor", F.col("n").alias("in_group")), "anchor")
-    # Rows with the same key have the same text; one piece of each is enough.
-    bodies = _texts_of(mixed, rows, length)
-    once = bodies.groupBy("anchor", "content").agg(
-        F.min("body").alias("body"), *[F.min(c).alias(c) for c in ("weight", "row_key", "low", "at", "high", "in_group")]
-    )
-    once = materialize(once, "suffix-bodies")
-    size = once.agg(F.sum(F.octet_length("body")), F.max("in_group")).first()
-    out = sure.unionAll(equal)
-    if size[0]:
-        few = once.where(F.col("in_group") <= GROUP).drop("in_group")
-        out = out.unionAll(_sorted_repeats(few, math.ceil(size[0] / BUCKET_BYTES), length, keep_first))
-        if size[1] > GROUP:
-            out = out.unionAll(_counted_repeats(once.where(F.col("in_group") > GROUP), length, keep_first))
+    return sure.unionAll(equal), mixed
+
+
+def _stretches(rows: DataFrame, lengths: dict[bool, int], under_words: int | None = None, keep_first: bool = False) -> DataFrame:
+    """``row_key, start, end, in_words``: repeats of bytes (``lengths[False]``) and of codes of words (``lengths[True]``), in words.
+
+    The texts are shuffled once for both.
+    """
+    told, mixed = [], []
+    for in_words, length in lengths.items():
+        source = word_codes(rows) if in_words else rows
+        sure, pieces = _told_apart(source, length, None if in_words else under_words, keep_first)
+        told.append(sure.withColumn("in_words", F.lit(in_words)))
+        mixed.append(pieces.withColumn("in_words", F.lit(in_words)))
+    mixed = materialize(reduce(DataFrame.unionByName, mixed), "suffix-mixed")
+    span = F.sum(F.col("high") - F.col("low")).alias("span")
+    sizes = mixed.groupBy("in_words").agg(span, F.count(F.lit(1)).alias("n"), F.max("in_group").alias("largest")).collect()
+    if sizes:
+        bodies = _texts_of(mixed, rows, lengths)
+        large = [r["in_words"] for r in sizes if r["largest"] > GROUP]
+        if large:  # read several times
+            bodies = materialize(bodies, "suffix-bodies")
+        few = bodies.where(F.col("in_group") <= GROUP).drop("in_group")
+        buckets = {r["in_words"]: math.ceil((r["span"] + r["n"] * lengths[r["in_words"]]) / BUCKET_BYTES) for r in sizes}
+        told.append(_sorted_repeats(few, buckets, lengths, keep_first))
+        for in_words in large:
+            many = bodies.where((F.col("in_group") > GROUP) & (F.col("in_words") == in_words))
+            told.append(_counted_repeats(many, lengths[in_words], keep_first).withColumn("in_words", F.lit(in_words)))
+    out = reduce(DataFrame.unionByName, told)
+    if True in lengths:  # A hash may end like another one: only whole codes count.
+        start, end = (F.when(F.col("in_words"), f(F.col(c) / CODE)).otherwise(F.col(c)) for f, c in ((F.ceil, "start"), (F.floor, "end")))
+        out = out.select("row_key", start.alias("start"), end.alias("end"), "in_words")
+        out = out.where(~F.col("in_words") | (F.col("end") - F.col("start") >= lengths[True] // CODE))
     return materialize(out.distinct(), "suffix-stretches")
 
 
+def repeated_stretches(rows: DataFrame, length: int, under_words: int | None = None, keep_first: bool = False) -> DataFrame:
+    """``row_key, start, end`` of byte stretches of ``rows`` (row_key, text) to remove; they may overlap."""
+    return _stretches(rows, {False: length}, under_words, keep_first).drop("in_words")
+
+
+def codes_of(column: pa.Array) -> pa.Array:
+    """The words of each text as codes of ``CODE`` bytes, one after the other."""
+    data, offsets = as_bytes(column)
+    starts, ends, first = word_bounds(data, offsets)
+    codes = word_hashes(data, starts, ends)
+    return pa.array([codes[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())
+
+
 def word_codes(rows: DataFrame) -> DataFrame:
-    """``row_key, text``: the words of each text as codes of ``CODE`` bytes, one after the other."""
+    """``row_key, text``: the texts as ``codes_of`` their words."""
 
     def run(batches):
         for batch in batches:
             for a, b in text_slices(batch.column(1)):
-                data, offsets = as_bytes(batch.column(1).slice(a, b - a))
-                starts, ends, first = word_bounds(data, offsets)
-                codes = word_hashes(data, starts, ends)
-                out = pa.array([codes[x:y].tobytes() for x, y in zip(first[:-1], first[1:], strict=True)], pa.binary())
+                out = codes_of(batch.column(1).slice(a, b - a))
                 yield pa.record_batch([batch.column(0).slice(a, b - a), out], names=["row_key", "text"])
 
     return rows.select("row_key", "text").mapInArrow(giving_back(run), "row_key bigint, text binary")
@@ -340,10 +379,7 @@ def word_codes(rows: DataFrame) -> DataFrame:
 
 def repeated_words(rows: DataFrame, words: int, keep_first: bool = False) -> DataFrame:
     """``row_key, start, end``, in words: stretches of ``words`` words or more that occur again, whatever the blanks between them."""
-    found = repeated_stretches(word_codes(rows), CODE * words, keep_first=keep_first)
-    # A hash may end like another one: only whole codes count.
-    whole = found.select("row_key", F.ceil(F.col("start") / CODE).alias("start"), F.floor(F.col("end") / CODE).alias("end"))
-    return whole.where(F.col("end") - F.col("start") >= words).distinct()
+    return _stretches(rows, {True: CODE * words}, keep_first=keep_first).drop("in_words")
 
 
 def remove_repeats(
@@ -355,10 +391,11 @@ def remove_repeats(
     stretches of so many words that occur again; nothing is removed for them.
     """
     rows = keyed(docs, id_column, text_column)
-    done = _removed(rows, repeated_stretches(rows, length))
+    stretches = _stretches(rows, {False: length} if words is None else {False: length, True: CODE * words})
+    done = _removed(rows, stretches.where("not in_words"))
     if words is None:
         return done
-    again = repeated_words(rows, words).groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+    again = stretches.where("in_words").groupBy("row_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
     # Stretches may overlap: each counts from where the ones before it end.
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("at"))
 
@@ -447,9 +484,7 @@ def without_repeats(
     characters of a text that was cut.
     """
     rows = keyed(docs, id_column, text_column)
-    stretches = repeated_stretches(rows, length, words, keep_first).withColumn("in_words", F.lit(False))
-    if words is not None:
-        stretches = stretches.unionAll(repeated_words(rows, words, keep_first).withColumn("in_words", F.lit(True)))
+    stretches = _stretches(rows, {False: length} if words is None else {False: length, True: CODE * words}, words, keep_first)
     listed = stretches.groupBy("row_key").agg(F.collect_list(F.struct("start", "end", "in_words")).alias("cuts"))
     names = [f"d{i}" for i in range(len(docs.columns))]
     of = dict(zip(docs.columns, names, strict=True))
