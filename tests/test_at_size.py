@@ -7,6 +7,8 @@ from conftest import day
 from pyspark.sql import functions as F
 
 from tidemark.operators import asof, prefix
+from tidemark.operators import runs as R
+from tidemark.operators.windows import rolling_moments
 from tidemark.plans import warehouse as W
 from tidemark.plans.features import apply_transforms
 from tidemark.sources import store as S
@@ -83,3 +85,50 @@ def test_split_match_of_distinct_days_joins_nothing_back(spark, no_small_side):
     once, joined = prefix.asof_last(*args, one_per_day=True), prefix.asof_last(*args)
     assert sorted(once.collect(), key=str) == sorted(joined.collect(), key=str)
     assert plan_of(once).count("SortMergeJoin") < plan_of(joined).count("SortMergeJoin")
+
+
+def held_and_published(spark, n=6):
+    """Runs of three days with a gap after every second one, and a publication for each."""
+    starts = panel(spark, n).where("day(date) % 3 = 1")
+    held = starts.select("series_id", F.col("date").alias("since"), F.date_add("date", F.when(F.day("date") % 2 == 0, 2).otherwise(0)).alias("until"), "value", F.date_sub("date", 1).alias("obs_date"))
+    return held, held.select("series_id", F.col("since").alias("release_date"), "obs_date")
+
+
+def test_facts_of_runs_over_several_tasks(spark, monkeypatch, no_small_side):
+    """One task or one per series: the same facts, which are not sorted to meet their stamps; no array is read once per publication."""
+    held, published = held_and_published(spark)
+    wanted = F.array(*[F.lit(t) for t in ("zscore_rolling_1y", "yoy", "diff", "pct_change_1m", "diff_bps")])
+    some = F.when(F.col("series_id") != "s1", wanted).otherwise(F.array(F.lit("diff"), F.lit("zscore_expanding")))
+    reg = registry(spark).withColumns({"fm_transforms": some, "frequency": F.when(F.col("series_id") < "s3", "D").otherwise("W")})
+
+    def facts():
+        return W.fact_table(apply_transforms(R.spread(held), reg, "fm", check_frequency=False, runs=held), published, reg, "now")
+
+    whole = sorted(facts().collect(), key=str)
+    assert {r.transform for r in whole} >= {"level", "diff", "diff_bps"} and len(whole) > 100
+    monkeypatch.setattr(asof, "SERIES_A_TASK", 1)
+    split = facts()
+    assert sorted(split.collect(), key=str) == whole
+    plan = plan_of(split)
+    assert "SortMergeJoin [series_id" not in plan and "datediff(pubs" not in plan
+    counted = split.groupBy("series_id").count().collect()
+    assert len(counted) == len({r.series_id for r in counted}) == 6
+
+
+def test_transforms_of_runs_are_those_of_their_days(spark):
+    held, _ = held_and_published(spark)
+    names = ("zscore_rolling_1y", "zscore_rolling_3y", "zscore_expanding", "yoy", "diff", "pct_change_1m", "diff_bps")
+    reg = registry(spark).withColumns({"fm_transforms": F.array(*[F.lit(t) for t in names]), "frequency": F.when(F.col("series_id") < "s4", "D").otherwise("W")})
+    days = R.spread(held)
+    a, b = (apply_transforms(days, reg, "fm", check_frequency=False, runs=r) for r in (held, None))
+    assert a.count() == b.count() > 500 and a.exceptAll(b).isEmpty()
+    assert R.grid(held).exceptAll(days.select("date").distinct()).isEmpty() and R.grid(held).count() == days.select("date").distinct().count()
+
+
+def test_widths_that_are_known_save_a_sort(spark):
+    rows = panel(spark).withColumn("w", F.when(F.col("series_id") < "s3", 4).otherwise(7))
+    any_width, known = rolling_moments(rows, "w", lag=1), rolling_moments(rows, "w", lag=1, widths=[7, 4])
+    assert known.exceptAll(any_width).isEmpty() and known.count() == any_width.count()
+    assert plan_of(known).count("Sort [") < plan_of(any_width).count("Sort [")
+    with pytest.raises(Exception, match="width not given: 7"):
+        rolling_moments(rows, "w", widths=[4]).collect()
