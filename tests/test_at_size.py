@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from tidemark.operators import asof, prefix
 from tidemark.operators import runs as R
 from tidemark.operators.windows import rolling_moments
+from tidemark.plans import pipeline
 from tidemark.plans import warehouse as W
 from tidemark.plans.features import apply_transforms
+from tidemark.session import scratch_path
 from tidemark.sources import store as S
 
 PANEL = "series_id string, date date, value double"
@@ -132,3 +134,18 @@ def test_widths_that_are_known_save_a_sort(spark):
     assert plan_of(known).count("Sort [") < plan_of(any_width).count("Sort [")
     with pytest.raises(Exception, match="width not given: 7"):
         rolling_moments(rows, "w", widths=[4]).collect()
+
+
+def test_batch_job_checks_each_list_and_reads_the_vintages_once(spark, monkeypatch):
+    """A first release without a value, revised later: its date counts in the check and its value stays missing."""
+    stored, store = [], pipeline.materialize
+    monkeypatch.setattr(pipeline, "materialize", lambda df, label: stored.append(label) or store(df, label))
+    weekly = panel(spark).where("dayofweek(date) = 1")
+    reg = registry(spark).withColumns({"is_vintage": F.col("series_id") == "s5", "lag": F.when(F.col("series_id") != "s5", 1)})
+    reg = reg.withColumn("fm_transforms", F.array(F.lit("zscore_rolling_1y")))
+    vintages = weekly.where("series_id = 's5'").select("series_id", F.date_add("date", 2).alias("realtime_start"), "date", F.when(F.day("date") > 9, F.col("value")).alias("value"))
+    vintages = vintages.unionByName(vintages.withColumns({"realtime_start": F.date_add("realtime_start", 1), "value": F.lit(9.0)}))
+    paths = pipeline.run(spark, weekly, reg, scratch_path(spark, "job"), vintages, buckets=2)
+    assert stored == ["vintages", "checked", "checked"]
+    runs = spark.read.parquet(paths["runs"]).where("series_id = 's5'").collect()
+    assert len(runs) == 5 and {r.value for r in runs if r.obs_date.day <= 9} == {None}

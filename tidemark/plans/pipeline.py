@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import accumulate
-from tidemark.operators.pit import pit_runs
+from tidemark.operators.pit import first_vintages, pit_runs
 from tidemark.operators.quality import require_rows
 from tidemark.operators.runs import spread, split_at
 from tidemark.operators.watch import Watch, covered, guarded, join_registered_whole, metrics
 from tidemark.plans.features import OwnTransform, apply_transforms, with_checked_frequency
+from tidemark.session import materialize
 from tidemark.sources import store
 from tidemark.sources.registry import validate
 
@@ -86,22 +87,26 @@ def run(
         panel = join_registered_whole(panel, source, registry)
     raw = stored(panel, "raw")
 
-    store.write_features(apply_transforms(raw, registry, "mon", check_frequency=check_frequency, own=own), paths["monitoring"], buckets, mode, watched("monitoring"))
+    def checked(dates: DataFrame, transforms: str) -> DataFrame:
+        # Stored, as every pass that uses the list would check all dates again.
+        return materialize(with_checked_frequency(registry, dates, transforms), "checked") if check_frequency else registry
+
+    if vintages is not None:
+        vintages = materialize(first_vintages(vintages, registry), "vintages")
+    monitored = checked(raw, "mon_transforms")
+    store.write_features(apply_transforms(raw, monitored, "mon", check_frequency=False, own=own), paths["monitoring"], buckets, mode, watched("monitoring"))
 
     held = pit_runs(raw, vintages, registry, end=end)
     with guarded():
         watched("runs", "since").on(held if floors is None else covered(held, floors)).write.mode(mode).parquet(paths["runs"])
     held = spark.read.parquet(paths["runs"])
-    pit = spread(held)
+    pit = stored(spread(held), "pit")
     # The stored grid is daily for every series, so the list is checked on the dates behind it.
-    checked = registry
-    if check_frequency:
-        listed = registry.where("is_vintage").select("series_id")
-        dates = raw.select("series_id", "date", "value").join(listed, "series_id", "left_anti")
-        if vintages is not None:
-            dates = dates.unionByName(vintages.select("series_id", "date", "value").join(listed, "series_id", "left_semi"))
-        checked = with_checked_frequency(registry, dates, "fm_transforms")
-    features = apply_transforms(stored(pit, "pit"), checked, "fm", check_frequency=False, own=own, runs=held)
+    listed = registry.where("is_vintage").select("series_id")
+    dates = raw.select("series_id", "date", "value").join(listed, "series_id", "left_anti")
+    if vintages is not None:
+        dates = dates.unionByName(vintages.select("series_id", "date", F.col("any_value").alias("value")))
+    features = apply_transforms(pit, checked(dates, "fm_transforms"), "fm", check_frequency=False, own=own, runs=held)
     store.write_features(features, paths["features"], buckets, mode, watched("features"))
     metrics(spark, watches).write.mode(mode).parquet(paths["metrics"])
     return paths
